@@ -43,7 +43,7 @@ def words(x: str) -> str:
     return f"regexp_extract_all({x}, {literal(WORD)})"
 
 
-def parts(word: str) -> str:
+def spaced_parts(word: str) -> str:
     spaced = word
     for pattern, replacement in [
         (r"'[sS]([^\p{L}\p{N}]|$)", r"\1"),
@@ -52,8 +52,12 @@ def parts(word: str) -> str:
         (r"(\p{N})(\p{L})", r"\1 \2"),
     ]:
         spaced = f"regexp_replace({spaced}, {literal(pattern)}, {literal(replacement)}, 'g')"
+    return spaced
+
+
+def parts(word: str, spaced: str) -> str:
     found = f"regexp_extract_all({spaced}, {literal(r'[\p{L}\p{M}\p{N}]+')})"
-    return f"CASE WHEN {found} = [{word}] THEN [{word}] ELSE list_concat([{word}], {found}) END"
+    return f"CASE WHEN {spaced} = {word} AND regexp_full_match({word}, {literal(r'[\p{L}\p{M}\p{N}]+')}) THEN [{word}] ELSE list_concat([{word}], {found}) END"
 
 
 def stem_english(w: str) -> str:
@@ -81,7 +85,7 @@ def fold(x: str) -> str:
     folded = f"translate({x}, {literal(ACCENTED)}, {literal(UNACCENTED)})"
     for letter, plain in LIGATURES.items():
         folded = f"replace({folded}, {literal(letter)}, {literal(plain)})"
-    return folded
+    return f"CASE WHEN regexp_matches({x}, '[^\\x00-\\x7F]') THEN {folded} ELSE {x} END"
 
 
 def sort_key(x: str) -> str:
@@ -111,7 +115,8 @@ def term_views(source: str, keep: str, text: str, language: str, prefix: str = "
     stop_list = ", ".join(literal(word) for word in stop)
     return [
         *token_views(source, keep, text, prefix),
-        (f"{prefix}p0", f"SELECT {keep}, pos, {parts('word')} AS ps FROM {prefix}tokens"),
+        (f"{prefix}s0", f"SELECT {keep}, pos, word, {spaced_parts('word')} AS spaced FROM {prefix}tokens"),
+        (f"{prefix}p0", f"SELECT {keep}, pos, {parts('word', 'spaced')} AS ps FROM {prefix}s0"),
         (
             f"{prefix}p1",
             f"SELECT {keep}, pos, unnest(range(len(ps))) AS part, lower(unnest(ps)) AS word FROM {prefix}p0",
@@ -122,10 +127,11 @@ def term_views(source: str, keep: str, text: str, language: str, prefix: str = "
             f"FROM {prefix}p1 WHERE word NOT IN ({stop_list})",
         ),
         (f"{prefix}p3", f"SELECT {keep}, pos, part, {stem} AS word FROM {prefix}p2"),
+        (f"{prefix}s3", f"SELECT {keep}, pos, part, word, {fold('word')} AS folded FROM {prefix}p3"),
         (
             f"{prefix}p4",
-            f"SELECT {keep}, pos, part, unnest(CASE WHEN {fold('word')} <> word "
-            f"THEN [{fold('word')}, word] ELSE [word] END) AS word FROM {prefix}p3",
+            f"SELECT {keep}, pos, part, unnest(CASE WHEN folded <> word THEN [folded, word] ELSE [word] END) "
+            f"AS word FROM {prefix}s3",
         ),
         (f"{prefix}p5", f"SELECT {keep}, pos, part, {finish} AS term FROM {prefix}p4"),
         (f"{prefix}terms", f"SELECT * FROM {prefix}p5 WHERE term <> ''"),

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import html.entities
 import unicodedata
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -120,21 +122,23 @@ def words(text: Column) -> Column:
     )
 
 
+# Where a word falls into parts.
+_PART_BREAK = r"[^\p{L}\p{M}\p{N}]|\p{Ll}\p{Lu}|\p{L}\p{M}*\p{N}|\p{N}\p{L}"
+
+
 def with_word_parts(word: Column) -> Column:
     """A word and its parts: ``[word]``, or ``[word, part, part, …]``.
 
     Parts end at punctuation, at a lower-to-upper case change and between
-    letters and digits; a possessive ``'s`` is dropped from them.
+    letters and digits; a possessive ``'s`` is dropped from them.  Most words
+    have no parts and cost a single match.
     """
     spaced = F.regexp_replace(word, r"'[sS]([^\p{L}\p{N}]|$)", "$1")
     spaced = F.regexp_replace(spaced, r"(\p{Ll})(\p{Lu})", "$1 $2")
     spaced = F.regexp_replace(spaced, r"(\p{L}\p{M}*)(\p{N})", "$1 $2")
     spaced = F.regexp_replace(spaced, r"(\p{N})(\p{L})", "$1 $2")
     parts = F.array_remove(F.split(spaced, r"[^\p{L}\p{M}\p{N}]+"), "")
-    whole = F.array(word)
-    return F.when(
-        word.rlike(r"[^\p{Ll}]"), F.when(parts == whole, whole).otherwise(F.concat(whole, parts))
-    ).otherwise(whole)
+    return F.when(word.rlike(_PART_BREAK), F.concat(F.array(word), parts)).otherwise(F.array(word))
 
 
 def lowercase(word: Column) -> Column:
@@ -145,30 +149,35 @@ def is_stop_word(word: Column, stop_words: list[str]) -> Column:
     return word.isin(*stop_words)
 
 
+def _without_last(word: Column, count: int | Column) -> Column:
+    return F.left(word, F.length(word) - count)
+
+
 def stem_english(word: Column) -> Column:
     """Plural stripping (the S-stemmer of Harman, 1991)."""
+    keeps = [word.endswith(ending) for ending in ("us", "ss", "aes", "ees", "oes")]
+    ies = word.endswith("ies")
     return (
-        F.when((F.length(word) < 3) | ~word.endswith("s"), word)
-        .when(word.rlike("[us]s$"), word)
-        .when(word.rlike("[^ae]ies$"), F.regexp_replace(word, "ies$", "y"))
-        .when(word.rlike("[aeio]es$"), word)
-        .otherwise(F.regexp_replace(word, "s$", ""))
+        F.when((F.length(word) < 3) | ~word.endswith("s") | reduce(or_, keeps), word)
+        .when(ies & ((F.length(word) == 3) | word.endswith("aies") | word.endswith("eies")), word)
+        .when(ies, F.concat(_without_last(word, 3), F.lit("y")))
+        .otherwise(_without_last(word, 1))
     )
 
 
 def stem_french(word: Column) -> Column:
-    """Minimal French stemmer (Savoy, 1999): words under six letters stay."""
-    ending = F.regexp_replace(word, "é?e?r?s?$", "")
-    twice = F.right(ending, F.lit(1)) == F.substring(ending, -2, 1)
-    letter = ending.rlike(r"\p{L}$")
-    single = F.when(
-        (F.length(ending) > 1) & letter & twice, F.left(ending, F.length(ending) - 1)
-    ).otherwise(ending)
+    """Minimal French stemmer (Savoy, 1999): words under six letters stay.
+
+    A word loses a final s, then r, e and é, then one of two equal last letters.
+    One match does all of it: a doubled letter just before those endings starts
+    further left, hence wins.
+    """
+    ending = "é?e?r?s?$"
     return (
         F.when(F.length(word) < 6, word)
-        .when(word.endswith("aux"), F.regexp_replace(word, "aux$", "al"))
-        .when(word.endswith("x"), F.regexp_replace(word, "x$", ""))
-        .otherwise(single)
+        .when(word.endswith("aux"), F.concat(_without_last(word, 3), F.lit("al")))
+        .when(word.endswith("x"), _without_last(word, 1))
+        .otherwise(F.regexp_replace(word, rf"(\p{{L}})\1{ending}|{ending}", "$1"))
     )
 
 
@@ -193,23 +202,28 @@ ACCENTED, UNACCENTED = _accent_table()
 LIGATURES = {"ß": "ss", "œ": "oe", "æ": "ae", "þ": "th", "Œ": "OE", "Æ": "AE", "Þ": "TH"}
 
 
+def _is_ascii(text: Column) -> Column:
+    """One byte per character."""
+    return F.length(text) == F.octet_length(text)
+
+
 def fold_accents(text: Column) -> Column:
     folded = F.translate(text, ACCENTED, UNACCENTED)
     for letter, plain in LIGATURES.items():
         folded = F.replace(folded, F.lit(letter), F.lit(plain))
-    return F.when(text.rlike(r"[^\x00-\x7F]"), folded).otherwise(text)
+    return F.when(_is_ascii(text), text).otherwise(folded)
 
 
 def with_folded(word: Column) -> Column:
     """A word, preceded by its accent-free form where that differs."""
-    return F.when(
-        word.rlike(r"[^\x00-\x7F]"), F.array_distinct(F.array(fold_accents(word), word))
-    ).otherwise(F.array(word))
+    folded = F.array_distinct(F.array(fold_accents(word), word))
+    return F.when(_is_ascii(word), F.array(word)).otherwise(folded)
 
 
 def drop_article(word: Column) -> Column:
     """French elision: ``l'arche`` → ``arche``."""
-    return F.regexp_replace(word, rf"^(?:{'|'.join(ELISION_ARTICLES)})['’]", "")
+    elided = F.regexp_replace(word, rf"^(?:{'|'.join(ELISION_ARTICLES)})['’]", "")
+    return F.when(F.contains(word, F.lit("'")) | F.contains(word, F.lit("’")), elided).otherwise(word)
 
 
 def path_hierarchy(path: Column) -> Column:

@@ -57,13 +57,17 @@ def derive_fields(df: DataFrame, language: str = "fulltext") -> DataFrame:
 
     Worked out once, when the index is built, so that queries only read them.
     """
+    own_terms = {m.TITLE: m.TITLE_TERMS, m.DESCRIPTION: m.DESCRIPTION_TERMS, m.NOTE: m.NOTE_TERMS}
     derived = {
         m.TITLE_LOWERCASE: t.sort_key(F.col(m.TITLE)),
         m.VARIABLES_LOWERCASE: F.transform_values(m.RECORD_VARIABLES, lambda _, value: t.sort_key(value)),
         m.PATH_CHILDREN: t.path_hierarchy(F.col(m.PATH)),
-        m.TITLE_TERMS: analyzed_terms(F.col(m.TITLE), language),
-        m.DESCRIPTION_TERMS: analyzed_terms(F.col(m.DESCRIPTION), language),
-        m.NOTE_TERMS: analyzed_terms(F.col(m.NOTE), language),
-        m.ALL_TERMS: analyzed_terms(catch_all(df), language),
+        m.ALL_TERMS: analyzed_terms(catch_all(df, [*m.NOT_IN_CATCH_ALL, *own_terms]), language),
     }
-    return df.withColumns(derived)
+    for name, terms in own_terms.items():
+        derived[terms] = analyzed_terms(F.col(name), language)
+    # The catch-all holds the terms of all fields; those with terms of their
+    # own are not analysed again for it.
+    empty = F.array().cast("array<string>")
+    everything = F.concat(*[F.coalesce(F.col(name), empty) for name in (m.ALL_TERMS, *own_terms.values())])
+    return df.withColumns(derived).withColumn(m.ALL_TERMS, F.array_distinct(everything))
