@@ -63,6 +63,17 @@ def date_histogram_facet(agg_id: str, column: str, unit: str) -> Facet:
     return Facet(agg_id, column, F.date_format(F.date_trunc(unit, F.col(column)), "yyyy-MM-dd"))
 
 
+def _bucket(facet: Facet, key: Column) -> Column:
+    return F.struct(F.lit(facet.agg_id).alias("agg_id"), key.cast("string").alias("bucket_key"))
+
+
+def _buckets(facet: Facet, multi_valued: bool) -> Column:
+    """The buckets of a row as an array; empty where it has none."""
+    keys = F.array_distinct(facet.bucket) if multi_valued else F.array(facet.bucket)
+    buckets = F.transform(keys, lambda key: _bucket(facet, key))
+    return F.coalesce(buckets, F.array().cast("array<struct<agg_id:string,bucket_key:string>>"))
+
+
 def facets(df: DataFrame, wanted: Sequence[Facet]) -> DataFrame:
     """``(agg_id, bucket_key, doc_count)`` of every facet over all rows of ``df``.
 
@@ -73,29 +84,13 @@ def facets(df: DataFrame, wanted: Sequence[Facet]) -> DataFrame:
     """
     if len({facet.agg_id for facet in wanted}) < len(wanted):
         raise ValueError("facet ids must differ")
-    buckets = []
-    for facet in wanted:
-        if isinstance(df.schema[facet.column].dataType, T.ArrayType):
-            keys = F.transform(F.array_distinct(facet.bucket), lambda key: key.cast("string"))
-        else:
-            keys = F.array(facet.bucket.cast("string"))
-        buckets.append((F.lit(facet.agg_id), keys))
-    if any(isinstance(df.schema[facet.column].dataType, T.ArrayType) for facet in wanted):
-        stacked = F.flatten(
-            F.array(
-                *[
-                    F.transform(
-                        F.coalesce(keys, F.array().cast("array<string>")),
-                        lambda key, agg_id=agg_id: F.struct(agg_id.alias("agg_id"), key.alias("bucket_key")),
-                    )
-                    for agg_id, keys in buckets
-                ]
-            )
-        )
+    multi_valued = {
+        field.name for field in df.schema if isinstance(field.dataType, T.ArrayType)
+    }
+    if any(facet.column in multi_valued for facet in wanted):
+        stacked = F.flatten(F.array(*[_buckets(facet, facet.column in multi_valued) for facet in wanted]))
     else:
-        stacked = F.array(
-            *[F.struct(agg_id.alias("agg_id"), keys[0].alias("bucket_key")) for agg_id, keys in buckets]
-        )
+        stacked = F.array(*[_bucket(facet, facet.bucket) for facet in wanted])
     counts = (
         df.select(F.explode(stacked).alias("bucket"))
         .select("bucket.agg_id", "bucket.bucket_key")
