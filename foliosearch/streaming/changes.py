@@ -33,11 +33,14 @@ def maintain_index(
 
     ``sync=True`` works off what is there, waits and stops; otherwise the query
     goes on in the background, one batch per ``interval``.  A batch that is
-    replayed after a failure is recognised by its number and applied once.
+    replayed after a failure is recognised by its number and by the id that the
+    checkpoint gives the query, and is applied once.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        index.apply_commands(batch, source, f"{name} batch {batch_id}", recursive=recursive)
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        label = f"{name} {query_id or checkpoint} batch {batch_id}"
+        index.apply_commands(batch, source, label, recursive=recursive)
 
     checkpoint = checkpoint or f"{shared_folder(commands.sparkSession)}/streams/{name}"
     writer = commands.writeStream.queryName(name).foreachBatch(apply).option("checkpointLocation", checkpoint)
