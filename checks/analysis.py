@@ -36,7 +36,7 @@ from foliosearch.sources.content import content, table
 
 def distinct_words(spark, folder):
     """Each word of the documents once."""
-    return tokens(table(spark, folder, "documents"), [], "text").select("word").distinct()
+    return tokens(table(spark, folder, "documents", "doc_id"), [], "text").select("word").distinct()
 
 
 WORDS_VIEWS = [
@@ -47,7 +47,7 @@ WORDS_VIEWS = [
 
 @query(f"SELECT page_id, md5({strip_html('html')}) AS text_md5, length({strip_html('html')}) AS n FROM pages")
 def t1_strip_html(spark, folder):
-    stripped = table(spark, folder, "pages").select("page_id", t.strip_html(F.col("html")).alias("text"))
+    stripped = table(spark, folder, "pages", "page_id").select("page_id", t.strip_html(F.col("html")).alias("text"))
     return stripped.select("page_id", F.md5("text").alias("text_md5"), F.length("text").cast("long").alias("n"))
 
 
@@ -58,7 +58,7 @@ def t1_strip_html(spark, folder):
     )
 )
 def t2_words(spark, folder):
-    found = tokens(table(spark, folder, "documents"), ["doc_id"], "text")
+    found = tokens(table(spark, folder, "documents", "doc_id"), ["doc_id"], "text")
     return found.groupBy("word").agg(
         F.count(F.lit(1)).alias("n"), F.sum("pos").alias("pos_sum"), F.sum("doc_id").alias("id_sum")
     )
@@ -74,7 +74,7 @@ def t2_words(spark, folder):
     )
 )
 def t3_word_parts(spark, folder):
-    words = tokens(table(spark, folder, "pages"), [], "html").select("word").distinct()
+    words = tokens(table(spark, folder, "pages", "page_id"), [], "html").select("word").distinct()
     return words.select("word", F.array_join(t.with_word_parts(F.col("word")), "|").alias("parts"))
 
 
@@ -197,7 +197,7 @@ TERM_SUMMARY_SQL = """SELECT term, count(*) AS n, sum(id) AS id_sum, sum(pos) AS
     )
 )
 def t10_analyzer_en(spark, folder):
-    pages = table(spark, folder, "pages").withColumnRenamed("page_id", "id")
+    pages = table(spark, folder, "pages", "page_id").withColumnRenamed("page_id", "id")
     return _term_summary(analyze(pages, ["id"], "html", "en"))
 
 
@@ -211,7 +211,7 @@ def t10_analyzer_en(spark, folder):
     )
 )
 def t11_analyzer_fr(spark, folder):
-    documents = table(spark, folder, "documents").withColumnRenamed("doc_id", "id")
+    documents = table(spark, folder, "documents", "doc_id").withColumnRenamed("doc_id", "id")
     return _term_summary(analyze(documents, ["id"], "text", "fulltext"))
 
 
@@ -226,7 +226,7 @@ def t11_analyzer_fr(spark, folder):
     )
 )
 def t11_terms_in_their_row(spark, folder):
-    talks = table(spark, folder, "conversations").select(
+    talks = table(spark, folder, "conversations", "conv_id").select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), analyzed_terms(F.col("text"), "fr").alias("terms")
     )
     return talks.where(F.size("terms") > 0).select(
@@ -266,7 +266,7 @@ DOCUMENT_TERMS = term_views("documents", "doc_id", "text", "fr")
     with_sql(DOCUMENT_TERMS, "SELECT term, count(DISTINCT doc_id) AS df, count(*) AS cf FROM terms GROUP BY term")
 )
 def t15_term_statistics(spark, folder):
-    terms = analyze(table(spark, folder, "documents"), ["doc_id"], "text", "fulltext")
+    terms = analyze(table(spark, folder, "documents", "doc_id"), ["doc_id"], "text", "fulltext")
     return term_statistics(postings(terms, ["doc_id"]))
 
 
@@ -277,7 +277,7 @@ def t15_term_statistics(spark, folder):
     )
 )
 def t15_term_frequencies(spark, folder):
-    terms = analyze(table(spark, folder, "documents"), ["doc_id"], "text", "fulltext")
+    terms = analyze(table(spark, folder, "documents", "doc_id"), ["doc_id"], "text", "fulltext")
     return postings(terms, ["doc_id"]).where(F.col("term").startswith("th"))
 
 
@@ -291,7 +291,7 @@ MATCHING_SQL = """
 
 @query(with_sql(DOCUMENT_TERMS, MATCHING_SQL))
 def t16_fulltext_query(spark, folder):
-    terms = analyze(table(spark, folder, "documents"), ["doc_id"], "text", "fulltext")
+    terms = analyze(table(spark, folder, "documents", "doc_id"), ["doc_id"], "text", "fulltext")
     return fulltext_keys(terms, ["doc_id"], fulltext_query(spark, QUERY_TEXT))
 
 
@@ -305,7 +305,7 @@ def t16_fulltext_query(spark, folder):
     )
 )
 def t16_exclusions_only(spark, folder):
-    documents = table(spark, folder, "documents")
+    documents = table(spark, folder, "documents", "doc_id")
     terms = analyze(documents, ["doc_id"], "text", "fulltext")
     wanted = fulltext_query(spark, "-ther -Ering")
     return search_fulltext(documents, terms, ["doc_id"], wanted).select("doc_id", "source")
@@ -323,7 +323,7 @@ def f18_fulltext_with_predicates(spark, folder):
     """Full text beside other predicates, over terms kept in the document's row."""
     from foliosearch.functions import predicates as p
 
-    rows = content(spark, folder).where(
+    rows = content(spark, folder, spread=True).where(
         p.all_of(p.flag(m.IS_PROXY, 0), p.lacks_value(m.MIXINS, "HiddenInNavigation"), p.state_is_not("deleted"))
     )
     terms = rows.withColumn(m.NOTE_TERMS, analyzed_terms(F.col(m.NOTE), "fulltext"))

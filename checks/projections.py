@@ -147,7 +147,7 @@ CATCH_ALL_SQL = """concat_ws(' ', repository, uuid, path, primary_type, state, p
     )
 )
 def p7_derived_fields(spark, folder):
-    derived = derive_fields(content(spark, folder))
+    derived = derive_fields(content(spark, folder, spread=True))
 
     def digest(name):
         listed = F.array_sort(F.col(name))

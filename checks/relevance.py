@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from checks.base import content_sql, query
 from checks.textsql import term_views
 from foliosearch import model as m
-from foliosearch.operators.analysis import analyzed_terms  # noqa: F401
 from foliosearch.operators.fulltext import fulltext_query
 from foliosearch.operators.page import page, sort_hits
 from foliosearch.operators.relevance import (
@@ -15,7 +14,7 @@ from foliosearch.operators.relevance import (
     score_text,
 )
 from foliosearch.operators.security import acl_filter
-from foliosearch.sources.content import content, table
+from foliosearch.sources.content import content
 
 QUERY_TEXT = "ering thtion attion"
 TERMS_SQL = "'ering', 'thtion', 'attion'"
@@ -39,7 +38,7 @@ NOTE_SCORES = [
 @query(content_sql("SELECT uuid, score FROM scores", *NOTE_SCORES))
 def r1_score(spark, folder):
     terms = fulltext_query(spark, QUERY_TEXT).required_terms
-    scored = score_text(content(spark, folder), [m.UUID], terms, {m.NOTE: 1.0})
+    scored = score_text(content(spark, folder, spread=True), [m.UUID], terms, {m.NOTE: 1.0})
     return scored.withColumnRenamed(m.UUID, "uuid")
 
 
@@ -75,13 +74,13 @@ BOOSTED_SCORES = [
 @query(content_sql("SELECT uuid, score FROM scores", *BOOSTED_SCORES))
 def r2_field_boosts(spark, folder):
     terms = fulltext_query(spark, QUERY_TEXT).required_terms
-    return score_text(content(spark, folder), [m.UUID], terms).withColumnRenamed(m.UUID, "uuid")
+    return score_text(content(spark, folder, spread=True), [m.UUID], terms).withColumnRenamed(m.UUID, "uuid")
 
 
 @query(content_sql("SELECT uuid, score FROM scores", *BOOSTED_SCORES))
 def r2_scores_from_postings(spark, folder):
     """The same scores from postings as an index holds them."""
-    rows = content(spark, folder)
+    rows = content(spark, folder, spread=True)
     posted = field_postings(rows, [m.UUID])
     terms = fulltext_query(spark, QUERY_TEXT).required_terms
     scored = score_postings(posted, field_statistics(posted), rows.count(), [m.UUID], terms)
@@ -100,6 +99,6 @@ def r2_scores_from_postings(spark, folder):
 def r3_acl_leaves_scores(spark, folder):
     """Scores of the whole corpus; the ACL only filters, then the best 20."""
     terms = fulltext_query(spark, QUERY_TEXT).required_terms
-    scored = score_text(content(spark, folder), [m.UUID, m.ACL], terms)
+    scored = score_text(content(spark, folder, spread=True), [m.UUID, m.ACL], terms)
     best = page(sort_hits(acl_filter(scored, ["members", "user-3"])), 20)
     return best.select(F.col(m.UUID).alias("uuid"), "score")

@@ -229,13 +229,11 @@ def drop_article(word: Column) -> Column:
 def path_hierarchy(path: Column) -> Column:
     """``/a/b/c`` → ``[/a, /a/b, /a/b/c]``."""
     steps = F.split(path, PATH_DELIMITER)
-    return F.when(
-        F.size(steps) > 1,
-        F.transform(
-            F.sequence(F.lit(2), F.size(steps)),
-            lambda count: F.array_join(F.slice(steps, F.lit(1), count), PATH_DELIMITER),
-        ),
-    ).otherwise(F.array(path))
+    prefixes = F.transform(
+        F.sequence(F.lit(1), F.size(steps)),
+        lambda count: F.array_join(F.slice(steps, F.lit(1), count), PATH_DELIMITER),
+    )
+    return F.when(path.isNotNull(), F.array_remove(prefixes, ""))
 
 
 def keyword(value: Column) -> Column:

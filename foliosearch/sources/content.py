@@ -11,22 +11,37 @@ from pyspark.sql import functions as F
 from foliosearch import model as m
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def table(spark: SparkSession, folder: str, name: str, spread_by: str | None = None) -> DataFrame:
+    """A table of a data folder; ``spread_by`` names its key.
+
+    Work that is heavy on each row, as text analysis is, should not wait for
+    the few cores that small files occupy.  Up to two splits per core Spark cuts
+    files finer than their row groups, so most splits may be empty; then rows are
+    spread by key first, and the grouping by key that follows needs no shuffle of
+    its own.  With more splits, rows stay where they are read.
+    """
+    rows = spark.read.parquet(f"{folder}/{name}.parquet")
+    if spread_by is None:
+        return rows
+    cores = spark.sparkContext.defaultParallelism
+    # A bare scan: counting its splits runs nothing.
+    return rows if rows.rdd.getNumPartitions() > 2 * cores else rows.repartition(2 * cores, spread_by)
 
 
 def _words(*values: str):
     return F.array(*[F.lit(value) for value in values])
 
 
-def content(spark: SparkSession, folder: str) -> DataFrame:
+def content(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
     """Every document of a data folder as rows of ``CONTENT_SCHEMA``.
 
+    ``spread=True`` prepares few files for heavy work, as in ``table``.
+
     The labels are grouped by document first.  One label row per document is
     then a known fact, and Catalyst drops the join from every query that does
     not read the life-cycle state.
     """
-    documents = table(spark, folder, "documents")
+    documents = table(spark, folder, "documents", "doc_id" if spread else None)
     labels = (
         table(spark, folder, "labels")
         .groupBy("doc_id")
