@@ -7,13 +7,10 @@ from checks.textsql import term_views
 from foliosearch import model as m
 from foliosearch.operators.fulltext import fulltext_query
 from foliosearch.operators.page import page, sort_hits
-from foliosearch.operators.relevance import (
-    field_postings,
-    field_statistics,
-    score_postings,
-    score_text,
-)
+from foliosearch.operators.relevance import score_text
 from foliosearch.operators.security import acl_filter
+from foliosearch.plans.term_index import TermIndex
+from foliosearch.session import scratch_path
 from foliosearch.sources.content import content
 
 QUERY_TEXT = "ering thtion attion"
@@ -42,7 +39,7 @@ def r1_score(spark, folder):
     return scored.withColumnRenamed(m.UUID, "uuid")
 
 
-BOOSTED_SCORES = [
+FIELD_TERMS = [
     (
         "fields",
         """
@@ -52,6 +49,10 @@ BOOSTED_SCORES = [
         """,
     ),
     *term_views("fields", "uuid, field, boost", "text", "fr"),
+]
+
+BOOSTED_SCORES = [
+    *FIELD_TERMS,
     ("lengths", "SELECT uuid, field, count(*) AS len FROM terms GROUP BY uuid, field"),
     (
         "tfs",
@@ -78,13 +79,28 @@ def r2_field_boosts(spark, folder):
 
 
 @query(content_sql("SELECT uuid, score FROM scores", *BOOSTED_SCORES))
-def r2_scores_from_postings(spark, folder):
-    """The same scores from postings as an index holds them."""
-    rows = content(spark, folder, spread=True)
-    posted = field_postings(rows, [m.UUID])
-    terms = fulltext_query(spark, QUERY_TEXT).required_terms
-    scored = score_postings(posted, field_statistics(posted), rows.count(), [m.UUID], terms)
-    return scored.withColumnRenamed(m.UUID, "uuid")
+def r2_scores_from_term_index(spark, folder):
+    """The same scores from postings on disk."""
+    index = TermIndex(spark, scratch_path(spark, "terms"))
+    index.build(content(spark, folder, spread=True))
+    scored = index.scores(fulltext_query(spark, QUERY_TEXT))
+    return scored.select(F.col(m.UUID).alias("uuid"), "score")
+
+
+@query(
+    content_sql(
+        """
+        SELECT DISTINCT uuid FROM terms a JOIN terms b USING (uuid) WHERE a.term = 'ering' AND b.term = 'attion'
+        AND uuid NOT IN (SELECT uuid FROM terms WHERE term = 'thti')
+        """,
+        *FIELD_TERMS,
+    )
+)
+def f18_fulltext_from_term_index(spark, folder):
+    """Matches in any of the fields, from postings on disk."""
+    index = TermIndex(spark, scratch_path(spark, "terms"))
+    index.build(content(spark, folder, spread=True))
+    return index.keys(fulltext_query(spark, "ering attion -thti")).select(F.col(m.UUID).alias("uuid"))
 
 
 @query(

@@ -81,10 +81,16 @@ def _matches(query: FullTextQuery, found) -> Column:
 def fulltext_match(query: FullTextQuery, terms: str) -> Column:
     """A predicate on a column that holds a document's terms as an array.
 
-    It goes beside any other predicate and needs no join or shuffle.
+    It goes beside any other predicate and needs no join or shuffle.  The
+    column is named once, in a lambda of its own: were it still to be computed,
+    several mentions would compute it several times.
     """
-    held = F.coalesce(F.col(terms), F.array().cast("array<string>"))
-    return _matches(query, lambda position: F.arrays_overlap(held, F.array(*[F.lit(term) for term in position])))
+    column = F.coalesce(F.col(terms), F.array().cast("array<string>"))
+
+    def condition(held: Column) -> Column:
+        return _matches(query, lambda position: F.arrays_overlap(held, F.array(*[F.lit(term) for term in position])))
+
+    return F.exists(F.array(column), condition)
 
 
 def fulltext_keys(terms: DataFrame, keep: list[str], query: FullTextQuery) -> DataFrame:

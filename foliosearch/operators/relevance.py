@@ -55,7 +55,12 @@ def score_text(
         analyze_fields(df, keep, fields, language).groupBy(*keep).agg(*lengths, *frequencies)
     )
     names = [f"{field}_tf{number}" for field in fields for number in range(len(terms))]
-    found = F.struct(*[F.count_if(F.col(name) > 0).alias(name) for name in names])
+    # The lengths are counted along, so that both uses of the grouping need the
+    # same columns and Spark runs it once (a reused exchange).
+    found = F.struct(
+        *[F.count_if(F.col(name) > 0).alias(name) for name in names],
+        *[F.sum(f"{field}_length").alias(f"{field}_length") for field in fields],
+    )
     statistics = per_document.agg(found.alias("statistics")).scalar()
     total = df.agg(F.count(F.lit(1)).alias("total")).scalar()
 
