@@ -17,6 +17,7 @@ from checks.textsql import (
     with_sql,
 )
 from foliosearch import model as m
+from foliosearch.functions import predicates as p
 from foliosearch.functions import text as t
 from foliosearch.operators.analysis import (
     analyze,
@@ -31,6 +32,8 @@ from foliosearch.operators.fulltext import (
     fulltext_query,
     search_fulltext,
 )
+from foliosearch.plans.index_table import IndexTable
+from foliosearch.session import scratch_path
 from foliosearch.sources.content import content, table
 
 
@@ -320,12 +323,16 @@ FULLTEXT_CONDITION = f"""
 
 @query(content_sql(f"SELECT uuid, title FROM content WHERE {FULLTEXT_CONDITION}", *DOCUMENT_TERMS))
 def f18_fulltext_with_predicates(spark, folder):
-    """Full text beside other predicates, over terms kept in the document's row."""
-    from foliosearch.functions import predicates as p
-
-    rows = content(spark, folder, spread=True).where(
-        p.all_of(p.flag(m.IS_PROXY, 0), p.lacks_value(m.MIXINS, "HiddenInNavigation"), p.state_is_not("deleted"))
+    """Full text beside other predicates, over the terms an index holds per row."""
+    rows = content(spark, folder, spread=True)
+    index = IndexTable(spark, scratch_path(spark, "index"), derive=False)
+    index.create(rows.withColumn(m.NOTE_TERMS, analyzed_terms(F.col(m.NOTE), "fulltext")))
+    found = index.read().where(
+        p.all_of(
+            fulltext_match(fulltext_query(spark, QUERY_TEXT), m.NOTE_TERMS),
+            p.flag(m.IS_PROXY, 0),
+            p.lacks_value(m.MIXINS, "HiddenInNavigation"),
+            p.state_is_not("deleted"),
+        )
     )
-    terms = rows.withColumn(m.NOTE_TERMS, analyzed_terms(F.col(m.NOTE), "fulltext"))
-    found = terms.where(fulltext_match(fulltext_query(spark, QUERY_TEXT), m.NOTE_TERMS))
     return found.select(F.col(m.UUID).alias("uuid"), F.col(m.TITLE).alias("title"))

@@ -41,6 +41,11 @@ def a3a_terms_facet_of_many_values(spark, folder):
     return facets(table(spark, folder, "lineitem"), [terms_facet("order", "l_orderkey", 25)])
 
 
+@query(_top_sql("order", "lineitem", "l_orderkey", 3000))
+def a3a_terms_facet_with_long_top(spark, folder):
+    return facets(table(spark, folder, "lineitem"), [terms_facet("order", "l_orderkey", 3000)])
+
+
 @query(
     """
     SELECT 'price' AS agg_id, CASE WHEN l_extendedprice < 10000 THEN 'low' WHEN l_extendedprice < 50000 THEN 'middle'

@@ -285,7 +285,7 @@ RECURSIVE_VIEWS = [
 def x1_recursive_commands(spark, folder):
     """Whole folders deleted or indexed among commands for single documents."""
     single = commands(spark.read.parquet(f"{folder}/events.parquet"))
-    documents, index = source(spark, folder), stale(spark, folder)
+    documents = source(spark, folder)
     folders = documents.where(F.col(m.PRIMARY_TYPE) == "Workspace").select(
         F.lit(9001).cast("long").alias("seq"),
         F.when(F.endswith(m.UUID, F.lit("/en")), maintain.DELETE).otherwise(maintain.INSERT).alias("type"),
@@ -294,5 +294,6 @@ def x1_recursive_commands(spark, folder):
         F.lit(True).alias("recurse"),
         F.lit(True).alias("sync"),
     )
-    changes = maintain.resolve_commands(single.unionByName(folders), documents, index)
-    return shown(maintain.apply_changes(index, changes))
+    index = _table(spark, folder)
+    index.apply_commands(single.unionByName(folders), documents, "folders and documents")
+    return shown(index.read())

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from checks.base import content_sql, query
 from foliosearch import model as m
 from foliosearch.functions import predicates as p
-from foliosearch.operators.security import acl_filter, acl_semi_join
+from foliosearch.operators.security import acl_filter, acl_join, acl_semi_join
 from foliosearch.sources.content import content
 
 SHOWN_SQL = "uuid, path, primary_type, state, strftime(issued, '%Y-%m-%d') AS issued"
@@ -127,16 +127,23 @@ def f17_acl_administrator(spark, folder):
     return shown(acl_filter(content(spark, folder), admin=True))
 
 
-@query(
-    content_sql(
-        f"""SELECT {SHOWN_SQL} FROM content WHERE list_has_any(acl,
-        (SELECT list('user-' || c_custkey % 40) || ['staff'] FROM customer))"""
-    )
-)
+PRINCIPALS_SQL = f"""SELECT {SHOWN_SQL} FROM content
+  WHERE list_has_any(acl, (SELECT list('user-' || c_custkey % 40) || ['staff'] FROM customer))"""
+
+
+def principals(spark, folder):
+    """Users numbered by the customers, and their staff."""
+    user = F.concat(F.lit("user-"), (F.col("c_custkey") % 40).cast("string"))
+    names = F.explode(F.array(user, F.lit("staff")))
+    return spark.read.parquet(f"{folder}/customer.parquet").select(names.alias("principal"))
+
+
+@query(content_sql(PRINCIPALS_SQL))
 def j2_acl_semi_join(spark, folder):
-    """Principals from a table: users numbered by the customers, and staff."""
-    users = spark.read.parquet(f"{folder}/customer.parquet").select(
-        F.concat(F.lit("user-"), (F.col("c_custkey") % 40).cast("string")).alias("principal")
-    )
-    staff = spark.createDataFrame([("staff",)], "principal string")
-    return shown(acl_semi_join(content(spark, folder), users.unionByName(staff)))
+    return shown(acl_semi_join(content(spark, folder), principals(spark, folder)))
+
+
+@query(content_sql(PRINCIPALS_SQL))
+def j2_acl_join_of_many_principals(spark, folder):
+    """The join that takes over beyond the literals."""
+    return shown(acl_join(content(spark, folder), principals(spark, folder)))

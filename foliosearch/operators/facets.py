@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BUCKET_SCHEMA = "agg_id string, bucket_key string, doc_count bigint"
+# Groups that the values of a long terms facet are cut in first.
+SALTS = 256
 
 
 @dataclass(frozen=True)
@@ -101,17 +102,28 @@ def facets(df: DataFrame, wanted: Sequence[Facet]) -> DataFrame:
     tops = {facet.agg_id: facet.top for facet in wanted if facet.top is not None}
     if not tops:
         return counts
-    order = Window.partitionBy("agg_id").orderBy(F.desc("doc_count"), "bucket_key")
-    limit = F.lit(0)
+    return _top_values(counts, tops)
+
+
+def _top_values(counts: DataFrame, tops: dict[str, int]) -> DataFrame:
+    """The first values of the facets in ``tops``, and all buckets of the others.
+
+    Buckets of other facets rank first in a partition of their own, so one
+    ranking serves all.  Spark cuts partitions down to a constant rank inside the
+    tasks before it shuffles them; past the rank up to which it does, values are
+    cut within salted groups first.
+    """
+    highest = max(tops.values())
+    is_terms = F.col("agg_id").isin(*tops)
+    limit = F.lit(1)
     for agg_id, top in tops.items():
         limit = F.when(F.col("agg_id") == agg_id, top).otherwise(limit)
-    ranked = (
-        counts.where(F.col("agg_id").isin(*tops))
-        .withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= max(tops.values()))
-        .where(F.col("rank") <= limit)
-        .drop("rank")
-    )
-    if len(tops) == len(wanted):
-        return ranked
-    return ranked.unionByName(counts.where(~F.col("agg_id").isin(*tops)))
+    ranked = counts.withColumn("group", F.when(~is_terms, F.col("bucket_key")))
+
+    def cut(df: DataFrame, *group: Column | str) -> DataFrame:
+        order = Window.partitionBy("agg_id", "group", *group).orderBy(F.desc("doc_count"), "bucket_key")
+        return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= highest)
+
+    if highest > int(counts.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        ranked = cut(ranked, F.pmod(F.xxhash64("bucket_key"), F.lit(SALTS))).drop("rank")
+    return cut(ranked).where(F.col("rank") <= limit).select("agg_id", "bucket_key", "doc_count")

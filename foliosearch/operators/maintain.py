@@ -80,16 +80,16 @@ def reindex_query(
 
 
 def subtree_changes(index: DataFrame, source: DataFrame, repository: str, root_id: str) -> DataFrame:
-    """The rows a subtree rebuild changes, one per document: what is found is
-    inserted, what is in the index only is deleted."""
-    found = subtree_of_live_root(source, repository, root_id).withColumn(CHANGE, F.lit(INSERT))
-    gone = (
-        index.where(_in_repository(repository) & _in_subtree(root_id))
-        .select(*m.KEY)
-        .join(found.select(*m.KEY), m.KEY, "left_anti")
-        .withColumn(CHANGE, F.lit(DELETE))
-    )
-    return found.unionByName(gone, allowMissingColumns=True)
+    """The rows a subtree rebuild changes: all there was is deleted, all there
+    is is inserted.  Where a document has both, the insertion counts."""
+    gone = index.where(_in_repository(repository) & _in_subtree(root_id)).select(*m.KEY)
+    found = subtree_of_live_root(source, repository, root_id)
+    return _changes(gone, found)
+
+
+def _changes(gone: DataFrame, found: DataFrame) -> DataFrame:
+    deleted = gone.select(*m.KEY, F.lit(DELETE).alias(CHANGE))
+    return found.withColumn(CHANGE, F.lit(INSERT)).unionByName(deleted, allowMissingColumns=True)
 
 
 def query_changes(source: DataFrame, repository: str, predicate: Column) -> DataFrame:
@@ -111,16 +111,14 @@ def _targets(df: DataFrame, commands: DataFrame, kind: str) -> DataFrame:
     return members.join(roots, [m.REPOSITORY, "root"]).select(*m.KEY, "seq")
 
 
-def resolve_commands(
+def newest_commands(
     commands: DataFrame, source: DataFrame, index: DataFrame, recursive: bool = True
 ) -> DataFrame:
-    """Index commands turned into row changes, the newest per document.
+    """``(key, type)``: the newest command of each document.
 
     A recursive deletion also reaches what the index holds below its document, a
-    recursive insertion what the source holds.  An insertion takes the document
-    as the source has it now; one of a document that is gone becomes a deletion.
-    ``recursive=False`` promises that no command recurses and saves the search
-    for descendants.
+    recursive insertion what the source holds.  ``recursive=False`` promises that
+    no command recurses and saves the search for descendants.
     """
     direct = commands.select(
         F.col("repo").alias(m.REPOSITORY), F.col("docId").alias(m.UUID), "seq", "type"
@@ -129,32 +127,39 @@ def resolve_commands(
         deleted = _targets(index, commands, DELETE).select("*", F.lit(DELETE).alias("type"))
         inserted = _targets(source, commands, INSERT).select("*", F.lit(INSERT).alias("type"))
         direct = direct.unionByName(deleted).unionByName(inserted)
-    # One partial result per document and task: a document with a third of all
-    # commands does not gather them anywhere.
-    newest = direct.groupBy(*m.KEY).agg(F.max_by("type", "seq").alias("type"))
+    # The type rides in the lowest bit of the number, which keeps this a hash
+    # aggregate with one partial row per document and task: a document with a
+    # third of all commands gathers nowhere.
+    numbered = F.col("seq") * 2 + (F.col("type") == INSERT).cast("long")
+    newest = direct.groupBy(*m.KEY).agg(F.max(numbered).alias("newest"))
+    return newest.select(*m.KEY, F.when(F.col("newest") % 2 == 1, INSERT).otherwise(DELETE).alias("type"))
+
+
+def command_changes(newest: DataFrame, source: DataFrame) -> DataFrame:
+    """Row changes for the newest commands.
+
+    Every named document is deleted; one to index is inserted as the source has
+    it now.  So a document that is gone from the source stays deleted.
+    """
     wanted = newest.where(F.col("type") == INSERT).select(*m.KEY)
-    found = source.join(wanted, m.KEY, "left_semi").withColumn(CHANGE, F.lit(INSERT))
-    gone = newest.join(source.select(*m.KEY), m.KEY, "left_anti").where(F.col("type") == INSERT)
-    deleted = newest.where(F.col("type") == DELETE).unionByName(gone)
-    deleted = deleted.select(*m.KEY, F.lit(DELETE).alias(CHANGE))
-    return found.unionByName(deleted, allowMissingColumns=True)
+    return _changes(newest, source.join(wanted, m.KEY, "left_semi"))
 
 
 def newest_changes(changes: DataFrame) -> DataFrame:
-    """The newest change of each document, by sequence number."""
+    """The newest change of each document; an insertion beats the deletion that
+    was written with it."""
     columns = [F.col(f"`{name}`") for name in changes.columns]
-    return (
-        changes.groupBy(*m.KEY)
-        .agg(F.max_by(F.struct(*columns), SEQUENCE).alias("row"))
-        .select("row.*")
-    )
+    newest = F.struct(SEQUENCE, F.col(CHANGE) == INSERT)
+    return changes.groupBy(*m.KEY).agg(F.max_by(F.struct(*columns), newest).alias("row")).select("row.*")
 
 
 def apply_changes(index: DataFrame, changes: DataFrame) -> DataFrame:
-    """The index with row changes applied; changes hold one row per document.
+    """The index without the changed documents, and with the inserted ones.
 
-    Only keys of the changes meet the index: Catalyst broadcasts them while they
-    are small, so that the index itself is not shuffled.
+    ``changes`` hold at most one insertion per document.  Only their keys meet
+    the index.  Read from files, their size is known when the join is planned,
+    and Catalyst broadcasts them while they are small: then the index is not
+    shuffled.
     """
     kept = index.join(changes.select(*m.KEY), m.KEY, "left_anti")
     inserted = changes.where(F.col(CHANGE) == INSERT)

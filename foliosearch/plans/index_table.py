@@ -4,7 +4,7 @@ A folder holds
 
     data/n=N       a whole index, or one repository of it, partitioned by
                    repository
-    changes/n=N    rows changed since, at most one per document
+    changes/n=N    rows changed since
     commits        one line per finished write, numbered in order
     audit          one line per rebuild
 
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from foliosearch import model as m
 from foliosearch.operators import maintain
 from foliosearch.operators.fields import derive_fields
+from foliosearch.session import scratch_path
 
 log = logging.getLogger(__name__)
 
@@ -117,7 +118,7 @@ class IndexTable:
         self._commit(n, DATA, repository, label)
 
     def _write_changes(self, changes: DataFrame, label: str) -> None:
-        """``changes`` hold one row per document; the write's number orders them."""
+        """The write's number orders these changes after all earlier ones."""
         n = self._next()
         numbered = changes.withColumn(maintain.SEQUENCE, F.lit(n).cast("long"))
         numbered.write.mode("overwrite").parquet(f"{self.path}/{CHANGES}/n={n}")
@@ -182,8 +183,14 @@ class IndexTable:
         self, commands: DataFrame, source: DataFrame, label: str, *, recursive: bool = True
     ) -> None:
         """Apply a batch of index commands once: a label that is committed already
-        was applied already."""
+        was applied already.
+
+        The commands are resolved to a table of keys first.  It is used twice,
+        and as a file it has a known size when its joins are planned.
+        """
         if any(line.label == label for line in self.commits()):
             return
-        changes = maintain.resolve_commands(commands, self._indexed(source), self.read(), recursive)
-        self._write_changes(changes, label)
+        staged = scratch_path(self.spark, "commands")
+        maintain.newest_commands(commands, source, self.read(), recursive).write.parquet(staged)
+        newest = self.spark.read.parquet(staged)
+        self._write_changes(maintain.command_changes(newest, self._indexed(source)), label)

@@ -15,7 +15,7 @@ from foliosearch.operators.fulltext import fulltext_keys, fulltext_match, fullte
 from foliosearch.operators.hydrate import hydrate
 from foliosearch.operators.page import page, page_info, sort_hits
 from foliosearch.operators.relevance import field_postings, field_statistics, score_postings, score_text
-from foliosearch.operators.security import acl_filter, acl_semi_join
+from foliosearch.operators.security import acl_filter, acl_join, acl_semi_join
 from foliosearch.plans.search import Search
 from foliosearch.sources import files
 from foliosearch.sources.content import all_repositories, content, fetch_source
@@ -98,6 +98,8 @@ def test_acl(spark, secured):
     assert ids(acl_filter(secured, ["y"], admin=True)) == ["a", "b", "e", "n"]
     principals = spark.createDataFrame([("x",), ("y",), ("x",)], "principal string")
     assert ids(acl_semi_join(secured, principals)) == ["a"]
+    assert ids(acl_join(secured, principals)) == ["a"]
+    assert ids(acl_semi_join(secured, principals.where("false"))) == []
 
 
 def test_sort_nulls_last_both_ways_and_ignores_unknown_keys(spark):
