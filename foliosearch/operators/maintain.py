@@ -156,13 +156,15 @@ def newest_changes(changes: DataFrame) -> DataFrame:
 def apply_changes(index: DataFrame, changes: DataFrame) -> DataFrame:
     """The index without the changed documents, and with the inserted ones.
 
-    ``changes`` hold at most one insertion per document.  Only their keys meet
-    the index.  Read from files, their size is known when the join is planned,
-    and Catalyst broadcasts them while they are small: then the index is not
-    shuffled.
+    Numbered changes may name a document often, the newest counts; changes
+    without numbers insert it at most once.  Only keys meet the index, and need no
+    grouping for that.  Read from files, their size is known when the join is
+    planned, and Catalyst broadcasts them while they are small: then the index is
+    not shuffled.
     """
     kept = index.join(changes.select(*m.KEY), m.KEY, "left_anti")
-    inserted = changes.where(F.col(CHANGE) == INSERT)
+    newest = newest_changes(changes) if SEQUENCE in changes.columns else changes
+    inserted = newest.where(F.col(CHANGE) == INSERT)
     return kept.unionByName(inserted.select(*[F.col(f"`{name}`") for name in index.columns]))
 
 

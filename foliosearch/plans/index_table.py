@@ -94,7 +94,7 @@ class IndexTable:
         for repository, n in renewed.items():
             outdated = (F.col(m.REPOSITORY) == repository) & (F.col(maintain.SEQUENCE) < n)
             changes = changes.where(~outdated)
-        return maintain.apply_changes(index, maintain.newest_changes(changes))
+        return maintain.apply_changes(index, changes)
 
     def _data(self, n: int) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{DATA}/n={n}")
