@@ -275,13 +275,23 @@ def t15_term_statistics(spark, folder):
 
 @query(
     with_sql(
-        DOCUMENT_TERMS,
-        "SELECT doc_id, term, count(*) AS tf FROM terms WHERE term LIKE 'th%' GROUP BY doc_id, term",
+        [*DOCUMENT_TERMS, ("tfs", "SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY doc_id, term")],
+        "SELECT doc_id, count(*) AS terms, sum(tf) AS length, sum(tf * tf) AS squares, max(tf) AS highest "
+        "FROM tfs GROUP BY doc_id",
     )
 )
 def t15_term_frequencies(spark, folder):
     terms = analyze(table(spark, folder, "documents", "doc_id"), ["doc_id"], "text", "fulltext")
-    return postings(terms, ["doc_id"]).where(F.col("term").startswith("th"))
+    return (
+        postings(terms, ["doc_id"])
+        .groupBy("doc_id")
+        .agg(
+            F.count(F.lit(1)).alias("terms"),
+            F.sum("tf").alias("length"),
+            F.sum(F.col("tf") * F.col("tf")).alias("squares"),
+            F.max("tf").alias("highest"),
+        )
+    )
 
 
 QUERY_TEXT = "then Ering attion -thti"

@@ -9,9 +9,11 @@ from foliosearch.operators.fulltext import fulltext_query
 from foliosearch.operators.page import page, sort_hits
 from foliosearch.operators.relevance import score_text
 from foliosearch.operators.security import acl_filter
+from foliosearch.plans.search import ranked_hits
 from foliosearch.plans.term_index import TermIndex
 from foliosearch.session import scratch_path
 from foliosearch.sources.content import content
+from foliosearch.sources.files import write_raw
 
 QUERY_TEXT = "ering thtion attion"
 TERMS_SQL = "'ering', 'thtion', 'attion'"
@@ -118,3 +120,33 @@ def r3_acl_leaves_scores(spark, folder):
     scored = score_text(content(spark, folder, spread=True), [m.UUID, m.ACL], terms)
     best = page(sort_hits(acl_filter(scored, ["members", "user-3"])), 20)
     return best.select(F.col(m.UUID).alias("uuid"), "score")
+
+
+@query(
+    content_sql(
+        """
+        SELECT row_number() OVER (ORDER BY score DESC, uuid) AS position, uuid, score, title, md5(note) AS note_md5
+        FROM (SELECT * FROM scores JOIN content USING (uuid)
+          WHERE list_has_any(acl, ['members', 'user-3']) ORDER BY score DESC, uuid LIMIT 20 OFFSET 20)
+        """,
+        *BOOSTED_SCORES,
+    )
+)
+def ranked_search_raw_hits(spark, folder):
+    """Second page of a full-text search by score, for one caller, through the
+    raw sink: term index, scores, ACL, top-k, full documents."""
+    rows = content(spark, folder, spread=True)
+    terms = TermIndex(spark, scratch_path(spark, "terms"))
+    terms.build(rows)
+    wanted = fulltext_query(spark, QUERY_TEXT)
+    hits = ranked_hits(rows, terms, wanted, ["members", "user-3"], page_size=20, page_index=1)
+    path = scratch_path(spark, "raw")
+    write_raw(hits, path)
+    back = spark.read.schema(hits.schema).json(path)
+    return back.select(
+        F.col("position").cast("long").alias("position"),
+        F.col(m.UUID).alias("uuid"),
+        "score",
+        F.col(m.TITLE).alias("title"),
+        F.md5(m.NOTE).alias("note_md5"),
+    )

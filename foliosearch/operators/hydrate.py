@@ -17,9 +17,10 @@ def hydrate(page_of_hits: DataFrame, source: DataFrame, keys: Sequence[SortKey]
     """Full documents of one page of hits, in page order, with their position.
 
     The page is as small as its page size, which bounds both the numbering and
-    the broadcast.  A hit whose document is gone is left out.
+    the broadcast.  A hit whose document is gone is left out.  Of the hits' other
+    columns only a score is kept.
     """
-    numbered = page_of_hits.select(
-        *m.KEY, F.row_number().over(Window.orderBy(*sort_orders(page_of_hits, keys))).alias(POSITION)
-    )
+    position = F.row_number().over(Window.orderBy(*sort_orders(page_of_hits, keys)))
+    score = [name for name in page_of_hits.columns if name == "score"]
+    numbered = page_of_hits.select(*m.KEY, *score, position.alias(POSITION))
     return source.join(F.broadcast(numbered), m.KEY).orderBy(POSITION)

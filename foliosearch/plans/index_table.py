@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from foliosearch import model as m
 from foliosearch.operators import maintain
 from foliosearch.operators.fields import derive_fields
-from foliosearch.session import scratch_path
+from foliosearch.session import discard, scratch_path
 
 log = logging.getLogger(__name__)
 
@@ -194,3 +194,4 @@ class IndexTable:
         maintain.newest_commands(commands, source, self.read(), recursive).write.parquet(staged)
         newest = self.spark.read.parquet(staged)
         self._write_changes(maintain.command_changes(newest, self._indexed(source)), label)
+        discard(self.spark, staged)

@@ -7,10 +7,14 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 
+from foliosearch import model as m
 from foliosearch.operators.envelope import envelope
 from foliosearch.operators.facets import Facet, facets
+from foliosearch.operators.fulltext import FullTextQuery
+from foliosearch.operators.hydrate import hydrate
 from foliosearch.operators.page import ALL_ROWS, SortKey, page, page_info, sort_hits, total_matches
 from foliosearch.operators.security import acl_filter
+from foliosearch.plans.term_index import TermIndex
 
 
 @dataclass(frozen=True)
@@ -48,3 +52,25 @@ class Search:
 
     def facets(self, df: DataFrame, wanted: Sequence[Facet]) -> DataFrame:
         return facets(self.matches(df), wanted)
+
+
+def ranked_hits(
+    df: DataFrame,
+    terms: TermIndex,
+    query: FullTextQuery,
+    principals: Sequence[str] = (),
+    *,
+    admin: bool = False,
+    page_size: int,
+    page_index: int = 0,
+) -> DataFrame:
+    """One page of full documents by falling score, with ``score`` and ``position``.
+
+    Scores are those of the whole corpus; the ACL then takes rows away.  Until
+    the page is cut only keys, ACLs and scores move; documents are fetched for
+    the page alone.
+    """
+    readable = acl_filter(df.select(*m.KEY, m.ACL), principals, admin=admin).select(*m.KEY)
+    scored = terms.scores(query).join(readable, m.KEY, "left_semi")
+    best = page(sort_hits(scored), page_size, page_index)
+    return hydrate(best, df)

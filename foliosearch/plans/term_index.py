@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from foliosearch import model as m
 from foliosearch.operators.fulltext import FullTextQuery, fulltext_keys
 from foliosearch.operators.relevance import field_postings, field_statistics, score_postings
-from foliosearch.session import scratch_path
+from foliosearch.session import discard, scratch_path
 
 
 class TermIndex:
@@ -44,6 +44,7 @@ class TermIndex:
             .sortWithinPartitions("term", "field", *m.KEY)
             .write.parquet(f"{self.path}/postings")
         )
+        discard(self.spark, staged)
         (
             field_statistics(self.postings())
             .repartitionByRange("term", "field")

@@ -35,3 +35,11 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nobody has used before."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a scratch path that is done with; anything else stays."""
+    if path.startswith(shared_folder(spark) + "/"):
+        jvm = spark.sparkContext._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
