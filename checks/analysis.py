@@ -22,6 +22,7 @@ from foliosearch.functions import text as t
 from foliosearch.operators.analysis import (
     analyze,
     analyzed_terms,
+    document_postings,
     postings,
     term_statistics,
     tokens,
@@ -269,8 +270,7 @@ DOCUMENT_TERMS = term_views("documents", "doc_id", "text", "fr")
     with_sql(DOCUMENT_TERMS, "SELECT term, count(DISTINCT doc_id) AS df, count(*) AS cf FROM terms GROUP BY term")
 )
 def t15_term_statistics(spark, folder):
-    terms = analyze(table(spark, folder, "documents", "doc_id"), ["doc_id"], "text", "fulltext")
-    return term_statistics(postings(terms, ["doc_id"]))
+    return term_statistics(document_postings(table(spark, folder, "documents"), ["doc_id"], "text", "fulltext"))
 
 
 @query(

@@ -84,7 +84,7 @@ def r2_field_boosts(spark, folder):
 def r2_scores_from_term_index(spark, folder):
     """The same scores from postings on disk."""
     index = TermIndex(spark, scratch_path(spark, "terms"))
-    index.build(content(spark, folder, spread=True))
+    index.build(content(spark, folder))
     scored = index.scores(fulltext_query(spark, QUERY_TEXT))
     return scored.select(F.col(m.UUID).alias("uuid"), "score")
 
@@ -101,7 +101,7 @@ def r2_scores_from_term_index(spark, folder):
 def f18_fulltext_from_term_index(spark, folder):
     """Matches in any of the fields, from postings on disk."""
     index = TermIndex(spark, scratch_path(spark, "terms"))
-    index.build(content(spark, folder, spread=True))
+    index.build(content(spark, folder))
     return index.keys(fulltext_query(spark, "ering attion -thti")).select(F.col(m.UUID).alias("uuid"))
 
 
@@ -135,7 +135,7 @@ def r3_acl_leaves_scores(spark, folder):
 def ranked_search_raw_hits(spark, folder):
     """Second page of a full-text search by score, for one caller, through the
     raw sink: term index, scores, ACL, top-k, full documents."""
-    rows = content(spark, folder, spread=True)
+    rows = content(spark, folder)
     terms = TermIndex(spark, scratch_path(spark, "terms"))
     terms.build(rows)
     wanted = fulltext_query(spark, QUERY_TEXT)

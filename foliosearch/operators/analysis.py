@@ -79,26 +79,48 @@ def analyzed_terms(text: Column, language: str) -> Column:
     return F.array_distinct(F.filter(F.transform(found, analyzer.finish), lambda term: term != ""))
 
 
+def stack_fields(df: DataFrame, keep: list[str], fields: Mapping[str, str]) -> DataFrame:
+    """``(*keep, field, text)``: several columns, given by field name, as rows."""
+    entries = [F.struct(F.lit(name).alias("field"), F.col(column).alias("text")) for name, column in fields.items()]
+    stacked = df.select(*keep, F.explode(F.array(*entries)).alias("entry"))
+    return stacked.select(*keep, "entry.field", "entry.text")
+
+
 def analyze_fields(df: DataFrame, keep: list[str], fields: Mapping[str, str], language: str) -> DataFrame:
     """``(*keep, field, pos, part, term)`` for several columns in one pass."""
-    stacked = df.select(
-        *keep,
-        F.explode(
-            F.array(*[F.struct(F.lit(name).alias("field"), F.col(column).alias("text")) for name, column in fields.items()])
-        ).alias("entry"),
-    ).select(*keep, "entry.field", "entry.text")
-    return analyze(stacked, [*keep, "field"], "text", language)
+    return analyze(stack_fields(df, keep, fields), [*keep, "field"], "text", language)
+
+
+def by_document(df: DataFrame, keep: list[str]) -> DataFrame:
+    """Rows partitioned by document, ahead of analysis that is counted per document.
+
+    A text is several times smaller than its postings, each of which repeats the
+    document's key.  So the text is what is shuffled, once; groupings by document
+    that follow find its terms together.  The number of partitions is explicit,
+    since adaptive execution would size them by the small text, not by the work.
+    """
+    spark = df.sparkSession
+    partitions = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism
+    )
+    return df.repartition(partitions, *keep)
 
 
 def postings(terms: DataFrame, keep: list[str]) -> DataFrame:
-    """``(*keep, term, tf)``: how often each document holds each term.
+    """``(*keep, term, tf)`` from a table of terms: how often a document has each.
 
-    Counts are combined inside each task before the shuffle, and the key holds
+    Counts are combined inside each task before any shuffle, and the key holds
     the document, so a term found everywhere is still spread over all tasks.
     """
     return terms.groupBy(*keep, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def document_postings(df: DataFrame, keep: list[str], text: str, language: str) -> DataFrame:
+    """``postings`` of a text column, with the texts as the only shuffle."""
+    texts = by_document(df.select(*keep, text), keep)
+    return postings(analyze(texts, keep, text, language), keep)
+
+
 def term_statistics(posted: DataFrame) -> DataFrame:
     """``(term, df, cf)`` over the whole corpus, from its postings.
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliosearch import model as m
-from foliosearch.operators.analysis import analyze_fields
+from foliosearch.operators.analysis import analyze_fields, by_document, postings
 
 SCORE_DIGITS = 6
 
@@ -91,15 +91,13 @@ def field_postings(
 ) -> DataFrame:
     """``(*keep, field, term, tf, length)``: what an index keeps for scoring.
 
-    ``length`` is the field's number of terms.  Summing it over the document's
-    own postings keeps every window as small as one document.
+    ``length`` is the field's number of terms, summed over the document's own
+    postings.  Texts are partitioned by document first; that is the only shuffle.
     """
     keep = list(keep)
-    counted = (
-        analyze_fields(df, keep, {name: name for name in fields}, language)
-        .groupBy(*keep, "field", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    texts = by_document(df.select(*keep, *fields), keep)
+    terms = analyze_fields(texts, keep, {name: name for name in fields}, language)
+    counted = postings(terms, [*keep, "field"])
     return counted.withColumn("length", F.sum("tf").over(Window.partitionBy(*keep, "field")))
 
 

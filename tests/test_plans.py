@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from foliosearch import model as m
 from foliosearch.functions import predicates as p
-from foliosearch.operators.analysis import analyze, analyzed_terms, postings, term_statistics
+from foliosearch.operators.analysis import analyze, analyzed_terms, document_postings, postings, term_statistics
 from foliosearch.operators.envelope import project_schemas
 from foliosearch.operators.facets import date_histogram_facet, facets, terms_facet
 from foliosearch.operators.fulltext import fulltext_match, fulltext_query
 from foliosearch.operators.page import page, page_info, sort_hits
-from foliosearch.operators.relevance import score_text
+from foliosearch.operators.relevance import field_postings, score_text
 from foliosearch.operators.security import acl_filter
 from foliosearch.plans.index_table import IndexTable
 from foliosearch.plans.term_index import TermIndex
@@ -112,10 +112,14 @@ def test_statistics_combine_before_each_shuffle(spark):
     assert text.count("partial_count(1)") == 2
 
 
-def test_spread_rows_are_grouped_where_they_are(spark):
-    documents = table(spark, FOLDER, "documents", "doc_id")
-    text = plan(postings(analyze(documents, ["doc_id"], "text", "en"), ["doc_id"]))
-    assert text.count("Exchange") == 1 and "REPARTITION_BY_NUM" in text
+def test_postings_shuffle_texts_only(spark):
+    documents = table(spark, FOLDER, "documents")
+    for df in (
+        document_postings(documents, ["doc_id"], "text", "en"),
+        field_postings(content(spark, FOLDER), m.KEY),
+    ):
+        text = plan(df)
+        assert text.count("Exchange") == 1 and "REPARTITION_BY_NUM" in text
 
 
 def test_scores_analyse_the_corpus_once(spark):
