@@ -58,7 +58,7 @@ def t1_strip_html(spark, folder):
 @query(
     with_sql(
         token_views("documents", "doc_id", "text"),
-        "SELECT word, count(*) AS n, sum(pos) AS pos_sum, sum(doc_id) AS id_sum FROM tokens GROUP BY word",
+        "SELECT word, count(*) AS n, CAST(sum(pos) AS BIGINT) AS pos_sum, CAST(sum(doc_id) AS BIGINT) AS id_sum FROM tokens GROUP BY word",
     )
 )
 def t2_words(spark, folder):
@@ -187,7 +187,8 @@ def _term_summary(terms):
     )
 
 
-TERM_SUMMARY_SQL = """SELECT term, count(*) AS n, sum(id) AS id_sum, sum(pos) AS pos_sum, sum(part) AS part_sum
+TERM_SUMMARY_SQL = """SELECT term, count(*) AS n, CAST(sum(id) AS BIGINT) AS id_sum,
+  CAST(sum(pos) AS BIGINT) AS pos_sum, CAST(sum(part) AS BIGINT) AS part_sum
   FROM terms GROUP BY term"""
 
 
@@ -276,7 +277,7 @@ def t15_term_statistics(spark, folder):
 @query(
     with_sql(
         [*DOCUMENT_TERMS, ("tfs", "SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY doc_id, term")],
-        "SELECT doc_id, count(*) AS terms, sum(tf) AS length, sum(tf * tf) AS squares, max(tf) AS highest "
+        "SELECT doc_id, count(*) AS terms, CAST(sum(tf) AS BIGINT) AS length, CAST(sum(tf * tf) AS BIGINT) AS squares, max(tf) AS highest "
         "FROM tfs GROUP BY doc_id",
     )
 )

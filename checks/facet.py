@@ -1,6 +1,5 @@
 """Facets (A3, A3a–A3e)."""
 
-from pyspark.sql import functions as F
 
 from checks.base import content_sql, query
 from foliosearch import model as m

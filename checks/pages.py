@@ -87,8 +87,8 @@ def a1_total_matches(spark, folder):
     content_sql(
         """
         SELECT true AS "isPaginable", greatest(0, least(20, count(*) - 20)) AS "resultsCount",
-          count(*) AS "totalSize", 20 AS "pageSize", CAST(ceil(count(*) / 20) AS BIGINT) AS "pageCount",
-          1 AS "currentPageIndex"
+          count(*) AS "totalSize", CAST(20 AS BIGINT) AS "pageSize",
+          CAST(ceil(count(*) / 20) AS BIGINT) AS "pageCount", CAST(1 AS BIGINT) AS "currentPageIndex"
         FROM content WHERE state = 'deleted'
         """
     )
@@ -137,7 +137,7 @@ def j4_hydrate_page(spark, folder):
     rows = content(spark, folder)
     keys = [(m.POS, False)]
     narrow = rows.where(p.flag(m.IS_VERSION, 0)).select(*m.KEY, m.POS)
-    full = hydrate(page(sort_hits(narrow, keys), 25, 2), rows, keys)
+    full = hydrate(narrow, rows, 25, 2, keys)
     return full.select(
         F.col("position").cast("long").alias("position"), F.col(m.UUID).alias("uuid"), F.md5(m.NOTE).alias("note_md5")
     )

@@ -59,7 +59,7 @@ def p2_resolve_schemas(spark, folder):
 
 @query(
     content_sql(
-        "SELECT title, strftime(issued, '%Y-%m-%d') AS issued, md5(note) AS note_md5, len(subjects) AS n FROM content"
+        "SELECT title, strftime(issued, '%Y-%m-%d') AS issued, md5(note) AS note_md5, coalesce(len(subjects), 0) AS n FROM content"
     )
 )
 def p3_project_schemas(spark, folder):
@@ -68,8 +68,8 @@ def p3_project_schemas(spark, folder):
         F.col(m.TITLE).alias("title"),
         F.date_format(m.ISSUED, "yyyy-MM-dd").alias("issued"),
         F.md5(m.NOTE).alias("note_md5"),
-        F.size(m.SUBJECTS).cast("long").alias("n"),
-    ).withColumn("n", F.when(F.col("n") >= 0, F.col("n")))
+        F.greatest(F.size(m.SUBJECTS), F.lit(0)).cast("long").alias("n"),
+    )
 
 
 @query(

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from checks.base import content_sql, query
 from foliosearch import model as m
 from foliosearch.operators.envelope import page_json
-from foliosearch.operators.page import page, page_info, sort_hits
 from foliosearch.plans.index_table import IndexTable
 from foliosearch.session import scratch_path
 from foliosearch.sources import files
@@ -185,9 +184,7 @@ def s8_envelope_source(spark, folder):
     rows = content(spark, folder)
     path = scratch_path(spark, "envelopes")
     files.write_envelope(rows, path)
-    keys = [(m.POS, False)]
-    first = page(sort_hits(rows, keys), 25, 0)
-    page_json(first, page_info(rows, 25, 0), keys).write.mode("append").text(path)
+    page_json(rows, 25, 0, [(m.POS, False)]).write.mode("append").text(path)
     return flat_envelope(files.read_envelope(spark, path))
 
 

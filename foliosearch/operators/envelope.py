@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliosearch import model as m
-from foliosearch.operators.page import SortKey, sort_orders
+from foliosearch.operators.page import SortKey, page, page_info, sort_hits, sort_orders
 
 ALL_SCHEMAS = "*"
 
@@ -131,24 +131,27 @@ def raw_json(df: DataFrame) -> DataFrame:
 
 
 def page_json(
-    page_of_hits: DataFrame,
-    info: DataFrame | None = None,
+    matches: DataFrame,
+    page_size: int,
+    page_index: int = 0,
     keys: Sequence[SortKey] = (),
     prefixes: Sequence[str] = (),
 ) -> DataFrame:
-    """``(value)``: one JSON document for a whole page, entries in page order.
+    """``(value)``: one JSON document for a page of the matches, with page info
+    and the entries in page order.
 
-    For pages only, which are as small as their page size.  A full result goes
-    through ``sources.files.write_envelope``, one document per hit.
+    The page size bounds what is gathered here.  A full result goes through
+    ``sources.files.write_envelope``, one document per hit.
     """
-    position = F.row_number().over(Window.orderBy(*sort_orders(page_of_hits, keys)))
-    entry = F.to_json(F.struct(*_envelope_columns(page_of_hits, prefixes)), _JSON_OPTIONS)
-    numbered = page_of_hits.select(position.alias("position"), entry.alias("entry"))
+    info = page_info(matches, page_size, page_index)
+    hits = page(sort_hits(matches, keys), page_size, page_index)
+    position = F.row_number().over(Window.orderBy(*sort_orders(hits, keys)))
+    entry = F.to_json(F.struct(*_envelope_columns(hits, prefixes)), _JSON_OPTIONS)
+    numbered = hits.select(position.alias("position"), entry.alias("entry"))
     in_order = F.array_sort(F.collect_list(F.struct("position", "entry")))
-    head = [F.lit(f'{{"{ENTITY_TYPE}":"{DOCUMENTS_ENTITY}",')]
-    if info is not None:
-        fields = info.select(F.to_json(F.struct("*")).alias("fields")).scalar()
-        head += [F.regexp_replace(fields, r"^\{|\}$", ""), F.lit(",")]
-    return numbered.agg(
-        F.array_join(F.transform(in_order, lambda pair: pair["entry"]), ",").alias("entries")
-    ).select(F.concat(*head, F.lit('"entries":['), "entries", F.lit("]}")).alias("value"))
+    entries = F.array_join(F.transform(in_order, lambda pair: pair["entry"]), ",")
+    fields = F.regexp_replace(info.select(F.to_json(F.struct("*")).alias("fields")).scalar(), r"^\{|\}$", "")
+    head = F.lit(f'{{"{ENTITY_TYPE}":"{DOCUMENTS_ENTITY}",')
+    return numbered.agg(entries.alias("entries")).select(
+        F.concat(head, fields, F.lit(',"entries":['), "entries", F.lit("]}")).alias("value")
+    )

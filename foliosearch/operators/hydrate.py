@@ -8,19 +8,29 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliosearch import model as m
-from foliosearch.operators.page import SortKey, sort_orders
+from foliosearch.operators.page import ALL_ROWS, SortKey, page, sort_hits, sort_orders
 
 POSITION = "position"
 
 
-def hydrate(page_of_hits: DataFrame, source: DataFrame, keys: Sequence[SortKey] = ()) -> DataFrame:
+def hydrate(
+    hits: DataFrame,
+    source: DataFrame,
+    page_size: int,
+    page_index: int = 0,
+    keys: Sequence[SortKey] = (),
+) -> DataFrame:
     """Full documents of one page of hits, in page order, with their position.
 
-    The page is as small as its page size, which bounds both the numbering and
-    the broadcast.  A hit whose document is gone is left out.  Of the hits' other
+    Hits need their key and sort columns only.  The page size bounds what is
+    numbered; from the limit Catalyst also knows that the page is small enough to
+    broadcast.  A hit whose document is gone is left out.  Of the hits' other
     columns only a score is kept.
     """
-    position = F.row_number().over(Window.orderBy(*sort_orders(page_of_hits, keys)))
-    score = [name for name in page_of_hits.columns if name == "score"]
-    numbered = page_of_hits.select(*m.KEY, *score, position.alias(POSITION))
-    return source.join(F.broadcast(numbered), m.KEY).orderBy(POSITION)
+    if page_size == ALL_ROWS:
+        raise ValueError("a page has a size; all matches are exported instead")
+    best = page(sort_hits(hits, keys), page_size, page_index)
+    position = F.row_number().over(Window.orderBy(*sort_orders(best, keys)))
+    score = [name for name in best.columns if name == "score"]
+    numbered = best.select(*m.KEY, *score, position.alias(POSITION))
+    return source.join(numbered, m.KEY).orderBy(POSITION)

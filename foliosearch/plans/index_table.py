@@ -22,6 +22,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foliosearch import model as m
 from foliosearch.operators import maintain
@@ -97,7 +98,12 @@ class IndexTable:
         return maintain.apply_changes(index, changes)
 
     def _data(self, n: int) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{DATA}/n={n}")
+        """A stored version.  Repository names stay text, even if they look like
+        numbers or dates in the folder names they are read from."""
+        path = f"{self.path}/{DATA}/n={n}"
+        schema = self.spark.read.parquet(path).schema
+        schema[m.REPOSITORY].dataType = T.StringType()
+        return self.spark.read.schema(schema).parquet(path)
 
     # -- write ---------------------------------------------------------------
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 
 from foliosearch import model as m
-from foliosearch.operators.envelope import envelope
+from foliosearch.operators.envelope import envelope, page_json
 from foliosearch.operators.facets import Facet, facets
 from foliosearch.operators.fulltext import FullTextQuery
 from foliosearch.operators.hydrate import hydrate
@@ -44,6 +44,10 @@ class Search:
     def envelopes(self, df: DataFrame) -> DataFrame:
         return envelope(self.hits(df), self.prefixes)
 
+    def document(self, df: DataFrame) -> DataFrame:
+        """The page as one JSON document, page info included."""
+        return page_json(self.matches(df), self.page_size, self.page_index, self.sort, self.prefixes)
+
     def total(self, df: DataFrame) -> DataFrame:
         return total_matches(self.matches(df))
 
@@ -72,5 +76,4 @@ def ranked_hits(
     """
     readable = acl_filter(df.select(*m.KEY, m.ACL), principals, admin=admin).select(*m.KEY)
     scored = terms.scores(query).join(readable, m.KEY, "left_semi")
-    best = page(sort_hits(scored), page_size, page_index)
-    return hydrate(best, df)
+    return hydrate(scored, df, page_size, page_index)

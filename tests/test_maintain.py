@@ -108,3 +108,10 @@ def test_index_columns_are_derived_and_never_returned(spark, tmp_path):
     assert {m.TITLE_LOWERCASE, m.ALL_TERMS, m.PATH_CHILDREN} <= set(found.columns)
     returned = set(fetch_source(found).columns)
     assert returned == {field.name for field in m.CONTENT_SCHEMA} - {m.BINARY_TEXT}
+
+
+def test_repository_names_stay_text(spark, tmp_path):
+    table = IndexTable(spark, str(tmp_path / "numbers"), derive=False)
+    table.create(documents(spark, ("007", "a", [], "x"), ("2016", "b", [], "y")))
+    table.reindex("QUERY", documents(spark, ("007", "a", [], "z")), "007", predicate=p.match_all())
+    assert rows(table.read()) == [("007", "a", "z"), ("2016", "b", "y")]

@@ -178,18 +178,18 @@ def test_envelope_json(spark, tmp_path):
     assert sorted(row.uid for row in files.read_envelope(spark, str(tmp_path / "hits")).collect()) == ["doc-17", "doc-7"]
 
 
-def test_page_json_keeps_page_order(spark, tmp_path):
+def test_page_json_keeps_page_order(spark):
     rows = content(spark, "/root/testdata/sf0.001")
     keys = [(m.POS, False)]
-    hits = page(sort_hits(rows, keys), 7, 1)
-    whole = json.loads(e.page_json(hits, page_info(rows, 7, 1), keys).first().value)
+    whole = json.loads(e.page_json(rows, 7, 1, keys).first().value)
     assert whole["entity-type"] == "documents" and whole["isPaginable"] is True
     assert (whole["resultsCount"], whole["totalSize"], whole["pageCount"], whole["currentPageIndex"]) == (7, 200, 29, 1)
+    hits = page(sort_hits(rows, keys), 7, 1)
     assert [entry["uid"] for entry in whole["entries"]] == [row[0] for row in hits.select(m.UUID).collect()]
-    without = json.loads(e.page_json(hits, None, keys).first().value)
-    assert list(without) == ["entity-type", "entries"]
-    none = json.loads(e.page_json(rows.where("false"), None, keys).first().value)
-    assert none["entries"] == []
+    none = json.loads(Search(p.equals(m.UUID, "?"), admin=True, page_size=5).document(rows).first().value)
+    assert none["entries"] == [] and none["totalSize"] == 0
+    with pytest.raises(ValueError):
+        e.page_json(rows, -1)
 
 
 def test_export_in_batches(spark, tmp_path):
@@ -212,10 +212,13 @@ def test_sources(spark):
 def test_hydrate_keeps_page_order(spark):
     rows = content(spark, "/root/testdata/sf0.001")
     keys = [(m.POS, False)]
-    hits = page(sort_hits(rows.select(*m.KEY, m.POS), keys), 10)
-    full = hydrate(hits, rows, keys).collect()
+    narrow = rows.select(*m.KEY, m.POS)
+    hits = page(sort_hits(narrow, keys), 10)
+    full = hydrate(narrow, rows, 10, 0, keys).collect()
     assert [row[m.UUID] for row in full] == [row[0] for row in hits.select(m.UUID).collect()]
     assert all(row[m.NOTE] for row in full)
+    with pytest.raises(ValueError):
+        hydrate(narrow, rows, -1)
 
 
 def test_facets(spark):
