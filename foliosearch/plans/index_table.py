@@ -113,10 +113,14 @@ class IndexTable:
     def _write_data(self, df: DataFrame, label: str, repository: str | None = None) -> None:
         """Tasks write the rows they hold into the repositories' folders.  They
         are not shuffled by repository first: that would put a repository with
-        most of the rows into one task."""
+        most of the rows into one task.  Writing by repository sorts each task's
+        rows anyway; sorted by path as well, a file's row groups hold neighbouring
+        paths, and a search below a path skips most of them."""
         n = self._next()
+        order = [m.REPOSITORY, m.PATH] if m.PATH in df.columns else [m.REPOSITORY]
         (
-            df.write.mode("overwrite")
+            df.sortWithinPartitions(*order)
+            .write.mode("overwrite")
             .partitionBy(m.REPOSITORY)
             .option("maxRecordsPerFile", ROWS_PER_FILE)
             .parquet(f"{self.path}/{DATA}/n={n}")

@@ -157,3 +157,11 @@ def test_term_index_reads_the_terms_of_the_query_only(spark, tmp_path):
     filters = pushed(scores)
     assert len(filters) == 2 and all("In(term, [attion,then])" in text for text in filters)
     assert "BroadcastHashJoin" in plan(scores) and "NestedLoop" not in plan(scores)
+
+
+def test_index_files_are_sorted_by_path(spark, index):
+    """No extra shuffle for it, and one sort only."""
+    files = index.read().select(F.input_file_name().alias("file"), m.PATH, F.monotonically_increasing_id().alias("at"))
+    for file in {row.file for row in files.collect()}:
+        paths = [row[m.PATH] for row in files.where(F.col("file") == file).orderBy("at").collect()]
+        assert paths == sorted(paths)
