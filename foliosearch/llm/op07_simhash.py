@@ -149,6 +149,8 @@ def walk(fp: np.ndarray, group: np.ndarray, budget: int) -> np.ndarray:
                     labels = local_labels(n, x[near], y[near], labels)
                     changes = np.concatenate([[0], np.cumsum(labels[1:] != labels[:-1])])
             pairs = pairs[:, ~(known | leaves)]
+            if not pairs.shape[1]:
+                break
             if pairs.shape[1] > WALK_PAIRS:
                 stack.append((depth, pairs))
                 break

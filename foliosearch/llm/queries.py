@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliosearch.llm import op07_simhash, op10_decontaminate
+from foliosearch.llm import op06_pieces, op07_simhash, op09_warc, op10_decontaminate
+from foliosearch.session import scratch_path, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,19 +18,45 @@ ORACLE: dict[str, str] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    """Register a query under its function's name."""
+
+    @functools.wraps(function)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return function(ship_package(spark), folder)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer(name: str = "piece_bpe_32k.model") -> str:
+    """The path of a public vocabulary, as installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op6_sentencepiece_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    return op06_pieces.encode_documents(table(spark, folder, "documents"), tokenizer(), with_ids=False)
+
+
 @query
 def op7_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return op07_simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@query
+def op9_warc_index_and_read(spark: SparkSession, folder: str) -> DataFrame:
+    place = scratch_path(spark, "warc")
+    index = op09_warc.write_archives(table(spark, folder, "pages"), place)
+    records = op09_warc.read_records(index, place, with_payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
