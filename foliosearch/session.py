@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -18,6 +20,26 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Make this package importable in the executors' Python, once per context.
+
+    Spark hands the archive out itself, so it may lie in a local folder.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_foliosearch_shipped", None) is None:
+        home = os.path.dirname(os.path.abspath(__file__))
+        archive = os.path.join(tempfile.mkdtemp(prefix="foliosearch-"), "foliosearch.zip")
+        with zipfile.ZipFile(archive, "w") as out:
+            for folder, _, files in sorted(os.walk(home)):
+                for name in sorted(files):
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        out.write(path, os.path.relpath(path, os.path.dirname(home)))
+        context.addPyFile(archive)
+        context._foliosearch_shipped = archive
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
