@@ -45,6 +45,7 @@ LEAST_BYTES = 0
 ARCHIVE_BYTES = 256 << 20
 GAP_BYTES = 64 << 10
 READ_BYTES = 8 << 20
+TASK_BYTES = 32 << 20
 DATE = "2024-01-01T00:00:00Z"  # fixed, so that equal pages give equal archives
 
 INDEX = (
@@ -219,5 +220,6 @@ def read_records(
     and no payload of its own.
     """
     ranges = selected.select("file", "offset", "length")
-    dealt = ranges.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    tasks = 1 + (ranges.agg(F.sum("length")).first()[0] or 0) // TASK_BYTES
+    dealt = ranges.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return dealt.mapInArrow(lambda b: _read(b, f"{folder}/archives", with_payload, gap, most), RECORDS)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliosearch.llm import op06_pieces, op07_simhash, op09_warc, op10_decontaminate
+from foliosearch.llm import op01_language, op05_lines, op06_pieces, op07_simhash, op09_warc, op10_decontaminate
 from foliosearch.session import scratch_path, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,19 @@ def tokenizer(name: str = "piece_bpe_32k.model") -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return op01_language.identify(documents).select(
+        "doc_id", op01_language.held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
+@query
+def op5_winnowing_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return op05_lines.drop_repeated_lines(table(spark, folder, "documents"))
+
+
 @query
 def op6_sentencepiece_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return op06_pieces.encode_documents(table(spark, folder, "documents"), tokenizer(), with_ids=False)
