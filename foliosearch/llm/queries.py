@@ -8,7 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliosearch.llm import op01_language, op05_lines, op06_pieces, op07_simhash, op09_warc, op10_decontaminate
+from foliosearch.llm import (
+    op01_language,
+    op05_lines,
+    op06_pieces,
+    op07_simhash,
+    op08_edit_embedding,
+    op09_warc,
+    op10_decontaminate,
+)
 from foliosearch.session import scratch_path, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +70,11 @@ def op7_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return op07_simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@query
+def op8_edit_embedding_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return op08_edit_embedding.with_next(table(spark, folder, "documents"))
+
+
 @query
 def op9_warc_index_and_read(spark: SparkSession, folder: str) -> DataFrame:
     place = scratch_path(spark, "warc")
