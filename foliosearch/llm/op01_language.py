@@ -15,10 +15,9 @@ A text's code length in a language is the exact sum over its bytes (in units of
 predicted; ties go to the first name.  The score is its probability among the
 learned languages, each as likely before.
 
-Training is bounded: of the labelled rows of each language, ``per_language``
-rows (those whose text hashes least) and of them those of up to
-``most_bytes`` bytes; of their contexts, the ``contexts`` most frequent.
-All three are parameters.  Every text is scored whole, whatever its length.
+Training is bounded: of each language's labelled rows of up to ``most_bytes``
+bytes it draws ``per_language`` rows on average, by a hash; of their contexts it
+keeps the ``contexts`` most frequent.  All three are parameters.  Every text is scored whole, whatever its length.
 
 Defined cases: a null text, and one without a letter, is ``und`` with score 0;
 rows with a null language teach nothing; without any labelled row every text is
@@ -38,12 +37,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliosearch.llm.batches import append_columns, groups, text_bytes
+from foliosearch.llm.contexts import gram_keys, longest_contexts, node_sums
 
 ORDER = 3
 PER_LANGUAGE = 1000
 MOST_BYTES = 1 << 16
 CONTEXTS = 20_000
 UNIT = 1 << 16
+PAD = 0  # the bytes before a text
+DRAWS = 1 << 40
+SLICE = 1024  # contexts at a time while the table is built
 UNKNOWN = "und"
 GROUP_BYTES = 1 << 20
 
@@ -62,24 +65,6 @@ class Model:
     classes: int
 
 
-def grams(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (context, byte) grams of ``order`` + 1 bytes as numbers, and their counts.
-
-    ``order`` zero bytes stand before each text.
-    """
-    rows = len(offsets) - 1
-    out = np.zeros(len(data) + order * rows, np.uint8)
-    shift = order * np.arange(1, rows + 1)
-    out[np.arange(len(data)) + np.repeat(shift, np.diff(offsets))] = data
-    whole = np.concatenate([np.zeros(order, np.uint8), out]).astype(np.int64)
-    keys = np.zeros(len(out), np.int64)
-    for k in range(order + 1):
-        keys |= whole[order - k : len(whole) - k] << (8 * k)
-    real = np.ones(len(out), bool)
-    real[(offsets[:-1] + order * np.arange(rows))[:, None] + np.arange(order)] = False
-    return np.unique(keys[real], return_counts=True)
-
-
 def count_grams(texts: DataFrame, order: int) -> DataFrame:
     """(lang, gram, n) over a table (lang, text)."""
 
@@ -88,7 +73,7 @@ def count_grams(texts: DataFrame, order: int) -> DataFrame:
             names = np.array(batch.column(0).to_pylist(), object)
             for name in sorted(set(names)):
                 data, offsets = text_bytes(batch.column(1).filter(pa.array(names == name)))
-                keys, counts = grams(data, offsets, order)
+                keys, counts = np.unique(gram_keys(data, offsets, order, PAD), return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([name] * len(keys), pa.string()), pa.array(keys), pa.array(counts)], names=["lang", "gram", "n"]
                 )
@@ -97,27 +82,26 @@ def count_grams(texts: DataFrame, order: int) -> DataFrame:
 
 
 def sample(labelled: DataFrame, per_language: int, most_bytes: int) -> DataFrame | None:
-    """The bounded training rows (lang, text) of each language, or None if there are none."""
-    rows = labelled.where("lang is not null and text is not null")
-    names = [r[0] for r in rows.select("lang").distinct().orderBy("lang").collect()]
-    parts = [
-        rows.where((F.col("lang") == name) & (F.octet_length("text") <= most_bytes))
-        .orderBy(F.xxhash64("text"), "text")
-        .limit(per_language)
-        for name in names
-    ]
-    out = None
-    for part in parts:
-        out = part if out is None else out.union(part)
-    return out
-
+    """The training rows (lang, text) of a table (lang, text, draw), or None if there are none.
 
-def build(rows: list[tuple[str, int, int]], order: int, contexts: int) -> Model:
-    """The model of gram counts (language, gram, count)."""
-    languages = sorted({r[0] for r in rows})
-    lang = np.searchsorted(languages, [r[0] for r in rows])
-    gram = np.array([r[1] for r in rows], np.int64)
-    n = np.array([r[2] for r in rows], np.int64)
+    ``draw`` is a hash of the row; a language's rows are taken where it lies in
+    the share that gives ``per_language`` rows on average.
+    """
+    rows = labelled.where((F.octet_length("text") <= most_bytes) & F.col("lang").isNotNull())
+    counts = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
+    if not counts:
+        return None
+    taken = F.lit(False)
+    for name, count in sorted(counts.items()):
+        share = min(DRAWS, DRAWS * per_language // count)
+        taken = taken | ((F.col("lang") == name) & (F.pmod("draw", F.lit(DRAWS)) < share))
+    return rows.where(taken).select("lang", "text")
+
+
+def build(names: np.ndarray, gram: np.ndarray, n: np.ndarray, order: int, contexts: int) -> Model:
+    """The model of gram counts: language, gram and count."""
+    languages = sorted(set(names))
+    lang = np.searchsorted(np.array(languages, object), names)
     seen = np.unique(gram & 0xFF)
     symbol = np.full(256, len(seen), np.int64)
     symbol[seen] = np.arange(len(seen))
@@ -142,36 +126,46 @@ def build(rows: list[tuple[str, int, int]], order: int, contexts: int) -> Model:
         nodes += len(values)
 
     child = np.full((nodes, classes), -1, np.int32)
-    dist = np.full((nodes, classes, len(languages)), 0.0)
-    base = np.full((classes, len(languages)), 1 / 256)
+    dist = np.zeros((nodes, classes, len(languages)), np.float32)
+    cost = np.zeros((nodes, classes, len(languages)), np.int32)
     for length, (values, first) in enumerate(node_of):
         context = (gram >> 8) & ((1 << 8 * length) - 1)
-        at = np.searchsorted(values, context)
-        inside = (at < len(values)) & (values[np.minimum(at, len(values) - 1)] == context) if len(values) else np.zeros(len(gram), bool)
-        table = np.zeros((len(values), classes, len(languages)))
-        np.add.at(table, (at[inside], symbol[gram[inside] & 0xFF], lang[inside]), n[inside])
-        if length:
-            shorter_values, shorter_first = node_of[length - 1]
-            shorter = shorter_first + np.searchsorted(shorter_values, values & ((1 << 8 * (length - 1)) - 1))
-            longest = symbol[values >> (8 * (length - 1))]
-            child[shorter, longest] = first + np.arange(len(values))
-            below = dist[shorter]
-        else:
-            below = base[None]
-        total = table.sum(axis=1, keepdims=True)
-        distinct = (table > 0).sum(axis=1, keepdims=True)
-        open_ = np.where(table > 0, 0.0, below)
-        rest = (open_ * copies[None, :, None]).sum(axis=1, keepdims=True)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            known = table / (total + distinct)
-            escaped = distinct / (total + distinct) * open_ / rest
-            all_seen = table / total
-        value = np.where(table > 0, np.where(rest > 0, known, all_seen), escaped)
-        dist[first : first + len(values)] = np.where(total > 0, value, below)
-    cost = np.rint(-np.log2(np.maximum(dist, 1e-300)) * UNIT).astype(np.int32)
+        order_ = np.argsort(context, kind="stable")
+        ordered = context[order_]
+        for lo in range(0, len(values), SLICE):
+            part = values[lo : lo + SLICE]
+            rows_ = order_[np.searchsorted(ordered, part[0]) : np.searchsorted(ordered, part[-1], side="right")]
+            at = np.searchsorted(part, context[rows_])
+            inside = part[at] == context[rows_]
+            at, rows_ = at[inside], rows_[inside]
+            table = np.zeros((len(part), classes, len(languages)))
+            np.add.at(table, (at, symbol[gram[rows_] & 0xFF], lang[rows_]), n[rows_])
+            here = slice(first + lo, first + lo + len(part))
+            if length:
+                shorter_values, shorter_first = node_of[length - 1]
+                shorter = shorter_first + np.searchsorted(shorter_values, part & ((1 << 8 * (length - 1)) - 1))
+                child[shorter, symbol[part >> (8 * (length - 1))]] = np.arange(here.start, here.stop)
+                below = dist[shorter].astype(float)
+            else:
+                below = np.full((1, classes, len(languages)), 1 / 256)
+            value = _blend(table, below, copies)
+            dist[here] = value
+            cost[here] = np.rint(-np.log2(np.maximum(value, 1e-30)) * UNIT)
     return Model(languages, order, symbol, child.ravel(), cost.reshape(nodes * classes, len(languages)), classes)
 
 
+def _blend(table: np.ndarray, below: np.ndarray, copies: np.ndarray) -> np.ndarray:
+    """Probabilities of contexts x classes x languages from counts and the shorter contexts'."""
+    total = table.sum(axis=1, keepdims=True)
+    distinct = (table > 0).sum(axis=1, keepdims=True)
+    open_ = np.where(table > 0, 0.0, below)
+    rest = (open_ * copies[None, :, None]).sum(axis=1, keepdims=True)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        known = np.where(rest > 0, table / (total + distinct), table / total)
+        escaped = distinct / (total + distinct) * open_ / rest
+    return np.where(total > 0, np.where(table > 0, known, escaped), below)
+
+
 def train(
     labelled: DataFrame,
     order: int = ORDER,
@@ -179,38 +173,23 @@ def train(
     most_bytes: int = MOST_BYTES,
     contexts: int = CONTEXTS,
 ) -> Model | None:
-    """The model of a table (lang, text); None if no row is labelled.
+    """The model of a table (lang, text, draw); None if no row is labelled.
 
     The counts that reach the driver are those of the bounded sample.
     """
     rows = sample(labelled, per_language, most_bytes)
-    counted = [tuple(r) for r in count_grams(rows, order).collect()] if rows is not None else []
-    return build(sorted(counted), order, contexts) if counted else None
+    if rows is None:
+        return None
+    found = count_grams(rows, order).toArrow()
+    return build(*(found.column(c).to_numpy() for c in ("lang", "gram", "n")), order, contexts) if found.num_rows else None
 
 
 def code_lengths(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Texts x languages: code lengths in units."""
-    order, classes = model.order, model.classes
     symbols = model.symbol[data]
-    start = np.repeat(offsets[:-1], np.diff(offsets))
-    place = np.arange(len(data)) - start  # bytes before this one in its text
-    node = np.zeros(len(data), np.int64)
-    live = np.arange(len(data))
-    zero = model.symbol[0]
-    for back in range(1, order + 1):
-        there = np.maximum(live - back, 0)
-        before = np.where(place[live] >= back, symbols[there], zero)
-        deeper = model.child[node[live] * classes + before]
-        on = deeper >= 0
-        live = live[on]
-        node[live] = deeper[on]
-    at = node * classes + symbols
-    out = np.empty((len(offsets) - 1, len(model.languages)), np.int64)
-    total = np.zeros(len(data) + 1, np.int64)
-    for k in range(len(model.languages)):
-        np.cumsum(model.cost[at, k], out=total[1:])
-        out[:, k] = total[offsets[1:]] - total[offsets[:-1]]
-    return out
+    node = longest_contexts(model.child, model.classes, symbols, offsets, model.order, int(model.symbol[PAD]))
+    at = node * model.classes + symbols
+    return np.stack([node_sums(model.cost[at, k], offsets) for k in range(len(model.languages))], 1)
 
 
 def long_code_lengths(model: Model, data: np.ndarray, piece: int) -> np.ndarray:
@@ -267,7 +246,11 @@ def held_out(id_: str = "doc_id", folds: int = 5, fold: int = 0) -> Column:
 
 def identify(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with lang_pred and score, learned from its own labelled rows that aren't held out."""
-    labelled = docs.where(~held_out()).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    labelled = docs.where(~held_out()).select(
+        F.col("lang").cast("string").alias("lang"),
+        F.col("text").cast("string").alias("text"),
+        F.xxhash64(F.col("doc_id").cast("string"), "text").alias("draw"),
+    )
     return predict(docs, train(labelled, **options))
 
 

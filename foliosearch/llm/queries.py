@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from foliosearch.llm import (
     op01_language,
+    op02_suffix_tree,
     op05_lines,
     op06_pieces,
     op07_simhash,
@@ -55,6 +56,11 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op2_suffix_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return op02_suffix_tree.score(table(spark, folder, "documents"))
+
+
 @query
 def op5_winnowing_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return op05_lines.drop_repeated_lines(table(spark, folder, "documents"))
