@@ -45,7 +45,7 @@ from foliosearch.llm.contexts import gram_keys, longest_contexts, merged, node_s
 from foliosearch.session import discard, scratch_path
 
 ORDER = 5
-GAIN = 1e-5
+GAIN = 3e-6
 UNIT = 1 << 16
 SPACE, END = 0x20, 0x0A  # no word has either
 GROUP_BYTES = 2 << 20

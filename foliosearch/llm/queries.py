@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from foliosearch.llm import (
     op01_language,
     op02_suffix_tree,
+    op03_licenses,
+    op04_tool_calls,
     op05_lines,
     op06_pieces,
     op07_simhash,
@@ -26,6 +28,13 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
+@functools.cache
+def _pipeline() -> Callable:
+    import corpus_pipeline  # it imports this module
+
+    return corpus_pipeline.run
+
+
 def query(function: Query) -> Query:
     """Register a query under its function's name."""
 
@@ -93,3 +102,136 @@ def op9_warc_index_and_read(spark: SparkSession, folder: str) -> DataFrame:
 def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     return op10_decontaminate.report(op10_decontaminate.find_hits(documents, table(spark, folder, "benchmark")))
+
+
+# -- licences -------------------------------------------------------------
+
+
+def as_files(documents: DataFrame) -> DataFrame:
+    """Documents as files of a tree: by source, language and shelf; every twentieth is a licence file."""
+    # A licence file of a number divisible by 40 lies in its shelf, another one in its language's folder.
+    folder = F.concat_ws("/", "source", "lang")
+    shelf = F.concat_ws("/", folder, F.concat(F.lit("shelf"), F.pmod(F.col("doc_id"), F.lit(97))))
+    licence = F.col("doc_id") % 20 == 0
+    path = F.when(licence & (F.col("doc_id") % 40 == 0), F.concat_ws("/", shelf, F.lit("LICENSE"))).when(
+        licence, F.concat_ws("/", folder, F.lit("LICENSE"))
+    ).otherwise(F.concat_ws("/", shelf, F.concat("doc_id", F.lit(".txt"))))
+    return documents.select("doc_id", path.alias("path"), "text")
+
+
+@query
+def op3_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    files = as_files(table(spark, folder, "documents"))
+    return op03_licenses.scan(files).select("path", "own_licence", "cosine", "licence", "inherited_from")
+
+
+def _licence_sql() -> str:
+    weight, other = op03_licenses.weights(op03_licenses.TEMPLATES)
+    rows = ", ".join(
+        f"('{name}', '{term}', {weight[term]!r})" for name, text in sorted(op03_licenses.TEMPLATES.items()) for term in sorted(op03_licenses.terms_of(text))
+    )
+    vocabulary = ", ".join(f"('{term}', {value!r})" for term, value in weight.items())
+    return f"""
+WITH template(name, term, w) AS (VALUES {rows}), vocabulary(term, w) AS (VALUES {vocabulary}),
+norms AS (SELECT name, sqrt(sum(w * w)) AS norm FROM template GROUP BY name),
+files AS (
+  SELECT DISTINCT CASE WHEN doc_id % 40 = 0 THEN source || '/' || lang || '/shelf' || (doc_id % 97) || '/LICENSE'
+    WHEN doc_id % 20 = 0 THEN source || '/' || lang || '/LICENSE'
+    ELSE source || '/' || lang || '/shelf' || (doc_id % 97) || '/' || doc_id || '.txt' END AS path, md5(text) AS text, text AS body FROM documents),
+lines AS (SELECT path, text, unnest(string_split(body, chr(10))) AS line FROM files),
+numbered AS (SELECT path, text, line, row_number() OVER () AS n FROM lines),
+terms AS (SELECT DISTINCT path, text, n, unnest(regexp_extract_all(lower(line), '[a-z0-9]+(?:\\.[a-z0-9]+)*')) AS term FROM numbered),
+lengths AS (SELECT n, sqrt(sum(coalesce(v.w, {other!r}) * coalesce(v.w, {other!r}))) AS length
+  FROM terms LEFT JOIN vocabulary v ON terms.term = v.term GROUP BY n),
+shared AS (SELECT t.path, t.text, t.n, m.name, sum(m.w * m.w) AS dot FROM terms t JOIN template m ON t.term = m.term GROUP BY ALL),
+cosines AS (SELECT s.path, s.text, s.name, round(s.dot / (l.length * o.norm), 6) AS cosine
+  FROM shared s JOIN lengths l ON s.n = l.n JOIN norms o ON s.name = o.name),
+best AS (SELECT path, text, cosine, name FROM cosines WHERE cosine >= {op03_licenses.LEAST}
+  QUALIFY row_number() OVER (PARTITION BY path, text ORDER BY cosine DESC, name) = 1),
+told AS (SELECT f.path, f.text, b.cosine, b.name AS own, regexp_replace(f.path, '/[^/]*$', '') AS folder
+  FROM files f LEFT JOIN best b ON f.path = b.path AND f.text = b.text),
+given AS (SELECT folder, own FROM told WHERE own IS NOT NULL AND path LIKE '%/LICENSE'
+  QUALIFY row_number() OVER (PARTITION BY folder ORDER BY cosine DESC, path, own) = 1),
+near AS (SELECT t.path, t.text, g.folder, g.own FROM told t JOIN given g
+  ON t.folder = g.folder OR starts_with(t.folder, g.folder || '/') WHERE t.own IS NULL
+  QUALIFY row_number() OVER (PARTITION BY t.path, t.text ORDER BY length(g.folder) DESC) = 1)
+SELECT t.path, t.own AS own_licence, t.cosine, coalesce(t.own, n.own) AS licence, n.folder AS inherited_from
+FROM told t LEFT JOIN near n ON t.path = n.path AND t.text = n.text
+"""
+
+
+ORACLE["op3_licence_scan"] = _licence_sql()
+
+
+# -- tool calls -----------------------------------------------------------
+
+SCHEMAS = [
+    ("search", "words", "integer", True),
+    ("search", "digest", "string", True),
+    ("search", "exact", "boolean", False),
+    ("fetch", "words", "number", True),
+    ("fetch", "digest", "string", False),
+    ("fetch", "exact", "boolean", True),
+]
+
+
+def as_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Calls and results that turns stand for: an assistant's turn calls, a later turn of another role answers.
+
+    A call's arguments tell of its text; some lack a parameter and some have one of another kind.
+    """
+    size = F.length("text")
+    words = F.when(size % 11 == 0, F.concat(F.lit('"'), size, F.lit('"'))).otherwise(size.cast("string"))
+    exact = F.when(size % 7 == 0, F.lit("")).otherwise(F.concat(F.lit(', "exact": '), (size % 2 == 0).cast("string")))
+    arguments = F.concat(F.lit('{ "words": '), words, F.lit(', "digest" : "'), F.md5("text"), F.lit('"'), exact, F.lit("}"))
+    calls = turns.where("role = 'assistant'").select(
+        "conv_id",
+        "turn",
+        F.concat(F.lit("c"), F.col("turn")).alias("call_id"),
+        F.when(F.col("turn") % 3 == 0, "fetch").otherwise("search").alias("tool"),
+        arguments.alias("arguments"),
+        F.array(F.concat(F.lit("c"), F.col("turn") - 2)).alias("after"),
+    )
+    results = turns.where("role <> 'assistant' and turn > 0").select(
+        "conv_id", "turn", F.concat(F.lit("c"), F.col("turn") - 1).alias("call_id"), F.col("text").alias("content")
+    )
+    return calls, results
+
+
+@query
+def op4_tool_call_linking(spark: SparkSession, folder: str) -> DataFrame:
+    calls, results = as_calls(table(spark, folder, "conversations"))
+    schemas = spark.createDataFrame(SCHEMAS, "tool string, param string, kind string, required boolean")
+    return op04_tool_calls.link(calls, results, schemas)
+
+
+ORACLE["op4_tool_call_linking"] = """
+WITH RECURSIVE told AS (
+  SELECT conv_id, turn, min(text) AS text, length(min(text)) AS size
+  FROM conversations WHERE role = 'assistant' GROUP BY conv_id, turn),
+chain AS (
+  SELECT t.conv_id, t.turn, 0 AS rank FROM told t
+  WHERE NOT EXISTS (SELECT 1 FROM told b WHERE b.conv_id = t.conv_id AND b.turn = t.turn - 2)
+  UNION ALL
+  SELECT t.conv_id, t.turn, c.rank + 1 FROM chain c JOIN told t ON t.conv_id = c.conv_id AND t.turn = c.turn + 2),
+answers AS (
+  SELECT conv_id, turn - 1 AS call_turn, turn, min(text) AS content
+  FROM conversations WHERE role <> 'assistant' AND turn > 0 GROUP BY conv_id, turn),
+calls AS (
+  SELECT t.conv_id, t.turn, c.rank, CASE WHEN t.turn % 3 = 0 THEN 'fetch' ELSE 'search' END AS tool,
+    size % 11 <> 0 AND (t.turn % 3 <> 0 OR size % 7 <> 0) AS valid,
+    '{"digest":"' || md5(text) || '"' || CASE WHEN size % 7 = 0 THEN '' ELSE ',"exact":' || CASE WHEN size % 2 = 0 THEN 'true' ELSE 'false' END END
+      || ',"words":' || CASE WHEN size % 11 = 0 THEN '"' || size || '"' ELSE size::VARCHAR END || '}' AS arguments
+  FROM told t JOIN chain c ON c.conv_id = t.conv_id AND c.turn = t.turn)
+SELECT coalesce(c.conv_id, a.conv_id) AS conv_id, 'c' || coalesce(c.turn, a.call_turn) AS call_id, c.rank::BIGINT AS rank,
+  coalesce(c.turn, a.turn) AS turn, c.tool, c.valid, c.turn IS NOT NULL AND a.turn IS NOT NULL AS linked,
+  '{"arguments":' || coalesce(c.arguments, 'null') || ',"call_id":"c' || coalesce(c.turn, a.call_turn) || '","result":'
+    || coalesce(to_json(a.content)::VARCHAR, 'null') || ',"tool":' || coalesce('"' || c.tool || '"', 'null')
+    || ',"valid":' || CASE WHEN c.valid THEN 'true' WHEN NOT c.valid THEN 'false' ELSE 'null' END || '}' AS canonical
+FROM calls c FULL JOIN answers a ON c.conv_id = a.conv_id AND c.turn = a.call_turn
+"""
+
+
+@query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return _pipeline()(spark, folder)
