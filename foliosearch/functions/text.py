@@ -247,5 +247,5 @@ def sort_key(value: Column) -> Column:
 
 
 def parse_date(value: Column) -> Column:
-    """A date with optional time; anything else is null."""
-    return F.try_to_timestamp(value)
+    """A date with optional time; anything else is null, also a time alone."""
+    return F.when(value.rlike(r"^\s*[+-]?\d{4}"), F.try_to_timestamp(value))

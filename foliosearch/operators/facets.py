@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,6 +21,7 @@ class Facet:
     column: str
     bucket: Column
     top: int | None = None
+    several: bool = False  # the bucket is an array of all buckets the row is in
 
 
 def terms_facet(agg_id: str, column: str, top: int = 10) -> Facet:
@@ -29,29 +30,28 @@ def terms_facet(agg_id: str, column: str, top: int = 10) -> Facet:
 
 
 def range_facet(agg_id: str, column: str, ranges: Sequence[tuple[str, float | None, float | None]]) -> Facet:
-    """Buckets ``(key, from, to)``: from is included, to is not, None is open."""
-    bucket = F.lit(None).cast("string")
-    for key, low, high in reversed(ranges):
+    """Buckets ``(key, from, to)``: from is included, to is not, None is open.
+
+    Ranges may overlap; a row counts in each that it lies in.
+    """
+    return _ranges(agg_id, column, [(key, low, high) for key, low, high in ranges], F.lit)
+
+
+def _ranges(agg_id: str, column: str, ranges: Sequence[tuple], bound: Callable[[object], Column]) -> Facet:
+    keys = []
+    for key, low, high in ranges:
         inside = F.col(column).isNotNull()
         if low is not None:
-            inside = inside & (F.col(column) >= F.lit(low))
+            inside = inside & (F.col(column) >= bound(low))
         if high is not None:
-            inside = inside & (F.col(column) < F.lit(high))
-        bucket = F.when(inside, key).otherwise(bucket)
-    return Facet(agg_id, column, bucket)
+            inside = inside & (F.col(column) < bound(high))
+        keys.append(F.when(inside, key))
+    return Facet(agg_id, column, F.array_compact(F.array(*keys)), several=True)
 
 
 def date_range_facet(agg_id: str, column: str, ranges: Sequence[tuple[str, str | None, str | None]]) -> Facet:
     """The same for days given as ``yyyy-mm-dd``."""
-    bucket = F.lit(None).cast("string")
-    for key, low, high in reversed(ranges):
-        inside = F.col(column).isNotNull()
-        if low is not None:
-            inside = inside & (F.col(column) >= F.to_date(F.lit(low)))
-        if high is not None:
-            inside = inside & (F.col(column) < F.to_date(F.lit(high)))
-        bucket = F.when(inside, key).otherwise(bucket)
-    return Facet(agg_id, column, bucket)
+    return _ranges(agg_id, column, ranges, lambda day: F.to_date(F.lit(day)))
 
 
 def histogram_facet(agg_id: str, column: str, interval: int) -> Facet:
@@ -88,8 +88,8 @@ def facets(df: DataFrame, wanted: Sequence[Facet]) -> DataFrame:
     multi_valued = {
         field.name for field in df.schema if isinstance(field.dataType, T.ArrayType)
     }
-    if any(facet.column in multi_valued for facet in wanted):
-        stacked = F.flatten(F.array(*[_buckets(facet, facet.column in multi_valued) for facet in wanted]))
+    if any(facet.several or facet.column in multi_valued for facet in wanted):
+        stacked = F.flatten(F.array(*[_buckets(facet, facet.several or facet.column in multi_valued) for facet in wanted]))
     else:
         stacked = F.array(*[_bucket(facet, facet.bucket) for facet in wanted])
     counts = (

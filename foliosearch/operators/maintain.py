@@ -116,10 +116,13 @@ def newest_commands(
 ) -> DataFrame:
     """``(key, type)``: the newest command of each document.
 
+    Commands of any other type than the two, null included, change nothing.
+
     A recursive deletion also reaches what the index holds below its document, a
     recursive insertion what the source holds.  ``recursive=False`` promises that
     no command recurses and saves the search for descendants.
     """
+    commands = commands.where(F.col("type").isin(INSERT, DELETE))
     direct = commands.select(
         F.col("repo").alias(m.REPOSITORY), F.col("docId").alias(m.UUID), "seq", "type"
     )

@@ -57,7 +57,9 @@ class IndexTable:
         """Commit lines in order: one per write, a few bytes each."""
         try:
             lines = self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.path}/commits").collect()
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise  # an index that can't be read isn't an empty one
             return []
         return sorted(lines, key=lambda line: line.n)
 

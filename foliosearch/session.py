@@ -43,12 +43,14 @@ def ship_package(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
-    Only where the cluster names none (a laptop, the tests) is a temporary
-    folder made, once per process.
+    Only in local mode (a laptop, the tests) may it be unset; then a temporary
+    folder is made, once per process.
     """
     global _own_folder
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors reach")
         _own_folder = _own_folder or tempfile.mkdtemp(prefix="foliosearch-")
         folder = _own_folder
     return folder.rstrip("/")
