@@ -90,7 +90,12 @@ def line_licences(files: DataFrame, least: float, templates: dict[str, str]) ->
     pattern = r"(?i)(?<![a-z0-9])(?:" + "|".join(re.escape(t) for t in signs(templates, least)) + r")(?![a-z0-9])"
     lines = files.where(F.col("text").rlike(pattern)).select("path", "text_key", F.posexplode(F.split("text", "\n")).alias("line", "words"))
     terms = F.array_distinct(F.regexp_extract_all(F.lower("words"), F.lit(r"([a-z0-9]+(?:\.[a-z0-9]+)*)"), F.lit(1)))
-    rows = lines.where(F.col("words").rlike(pattern)).select("path", "text_key", "line", F.explode(terms).alias("term"))
+    norm = {name: math.sqrt(sum(weight[t] ** 2 for t in of[name])) for name in names}
+    # A line of which the terms of no template alone are longer than this is too far from all.
+    strange = F.size(F.array_except("terms", F.array(*[F.lit(t) for t in weight]))) * F.lit(other**2)
+    near = lines.where(F.col("words").rlike(pattern)).select("path", "text_key", "line", terms.alias("terms"))
+    near = near.where(strange <= F.lit((max(norm.values()) / least) ** 2 + 1e-6))
+    rows = near.select("path", "text_key", "line", F.explode("terms").alias("term"))
     vocabulary = files.sparkSession.createDataFrame(
         [(term, value**2, [term in of[name] for name in names]) for term, value in weight.items()],
         "known string, square double, inside array<boolean>",
@@ -102,7 +107,6 @@ def line_licences(files: DataFrame, least: float, templates: dict[str, str]) ->
         .groupBy("path", "text_key", "line")
         .agg(F.sqrt(F.sum(square)).alias("length"), *dots)
     )
-    norm = {name: math.sqrt(sum(weight[t] ** 2 for t in of[name])) for name in names}
     best = [
         F.struct((-F.round(F.col(f"dot{k}") / (F.col("length") * F.lit(norm[name])), 6)).alias("away"), F.lit(name).alias("licence"))
         for k, name in enumerate(names)
