@@ -7,11 +7,13 @@ short list.  Calls and results are joined by conversation and call id.  Of
 several results of a call the first turn counts, of calls that repeat an id too.
 
 Order: the rank of a call is the length of the longest chain of calls that it
-needs, so a call comes after all of them; equal ranks go by turn and id.  Ranks
-are found by rounds: a call settles once all calls that it needs have.  Each
-round is one join and a written table, and there are as many as the longest
-chain; a call in a circle, or one that needs such a call, never settles and has
-rank -1.  Needed ids that no call of the conversation has are no constraint.
+needs, so a call comes after all of them; equal ranks go by turn and id.  A call
+that needs one other points at it, and pointers jump over pointers, so each
+finds the top of its chain (a call that needs none, or several) in as many rounds
+as the logarithm of the chain's length.  Calls that need several settle once
+the tops below them have.  Each round is one join and a written table; a call in
+a circle, or one that needs such a call, never settles and has rank -1.
+Needed ids that no call of the conversation has are no constraint.
 
 Arguments are valid if they are a JSON object without repeated keys, of a known
 tool, every required parameter is there and not null, and every parameter is known
@@ -55,33 +57,67 @@ def ranks(calls: DataFrame) -> DataFrame:
         .join(ids.select(F.col("conv_id").alias("c"), F.col("call_id").alias("need_id")), (F.col("conv_id") == F.col("c")) & (F.col("need") == F.col("need_id")))
         .select(*KEY, "need")
     )
-    needs_path, path = scratch_path(spark, "needs"), scratch_path(spark, "ranks")
+    needs_path = scratch_path(spark, "needs")
     needs.write.parquet(needs_path)
     needs = spark.read.parquet(needs_path)
-    waits = needs.select(*KEY).distinct()
-    ids.join(waits.withColumn("waits", F.lit(True)), KEY, "left").select(
-        *KEY, F.when(F.col("waits"), F.lit(UNSETTLED)).otherwise(0).alias("rank")
-    ).write.parquet(path)
-    settled = spark.read.parquet(path)
-    open_ = settled.where(F.col("rank") == UNSETTLED).count()
+    counted = needs.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("need"))
+    single = F.coalesce("n", F.lit(0)) == 1
+    chain = ids.join(counted, KEY, "left").select(
+        *KEY,
+        F.when(single, F.col("need")).otherwise(F.col("call_id")).alias("top"),
+        single.cast("long").alias("steps"),
+        (~single).alias("done"),
+        (F.coalesce("n", F.lit(0)) > 1).alias("several"),
+    )
+    chain, path, open_ = _rewritten(chain, None)
     while open_:
-        known = settled.select(F.col("conv_id").alias("c"), F.col("call_id").alias("need_id"), F.col("rank").alias("need_rank"))
+        ahead = chain.select(F.col("conv_id").alias("c"), F.col("call_id").alias("at"), F.col("top").alias("t"), F.col("steps").alias("s"), F.col("done").alias("d"))
+        ready = chain.where("done").unionByName(
+            chain.where("not done")
+            .join(ahead, (F.col("conv_id") == F.col("c")) & (F.col("top") == F.col("at")))
+            .select(*KEY, F.col("t").alias("top"), (F.col("steps") + F.col("s")).alias("steps"), F.col("d").alias("done"), "several")
+        )
+        before = open_
+        chain, path, open_ = _rewritten(ready, path)
+        if open_ == before:
+            break
+
+    tops = chain.where("done and several").select(*KEY, F.lit(UNSETTLED).cast("long").alias("rank"), F.lit(False).alias("done"))
+    tops, tops_path, open_ = _rewritten(tops, None)
+    through = needs.join(chain.where("several").select(*KEY), KEY, "left_semi").join(
+        chain.select(F.col("conv_id").alias("c"), F.col("call_id").alias("at"), "top", "steps", F.col("done").alias("ends")),
+        (F.col("conv_id") == F.col("c")) & (F.col("need") == F.col("at")),
+    )
+    through = through.select(*KEY, "top", F.when(F.col("ends"), F.col("steps")).alias("steps"))
+    while open_:
+        known = tops.select(F.col("conv_id").alias("c"), F.col("call_id").alias("at"), F.col("rank").alias("r"), F.col("done").alias("d"))
+        # A top that isn't among them needs none: rank 0.  Without steps it leads into a circle.
         ready = (
-            needs.join(known, (F.col("conv_id") == F.col("c")) & (F.col("need") == F.col("need_id")))
+            through.join(known, (F.col("conv_id") == F.col("c")) & (F.col("top") == F.col("at")), "left")
             .groupBy(*KEY)
-            .agg(F.min("need_rank").alias("least"), F.max("need_rank").alias("most"))
-            .where(F.col("least") > UNSETTLED)
-            .select(*KEY, (F.col("most") + 1).alias("now"))
+            .agg(F.min(F.coalesce("d", F.lit(True)) & F.col("steps").isNotNull()).alias("all"), F.max(F.col("steps") + F.coalesce("r", F.lit(0)) + 1).alias("now"))
+            .where("all")
+            .select(*KEY, "now")
         )
-        step = scratch_path(spark, "ranks")
-        settled.join(ready, KEY, "left").select(*KEY, F.coalesce("now", "rank").alias("rank")).write.parquet(step)
-        settled = spark.read.parquet(step)
-        discard(spark, path)
-        path, before = step, open_
-        open_ = settled.where(F.col("rank") == UNSETTLED).count()
+        step = tops.join(ready, KEY, "left").select(*KEY, F.coalesce("now", "rank").alias("rank"), F.col("now").isNotNull().alias("done"))
+        before = open_
+        tops, tops_path, open_ = _rewritten(step, tops_path)
         if open_ == before:
             break
-    return settled
+    found = tops.select(F.col("conv_id").alias("c"), F.col("call_id").alias("at"), F.when(F.col("done"), F.col("rank")).otherwise(UNSETTLED).alias("r"))
+    return chain.join(found, (F.col("conv_id") == F.col("c")) & (F.col("top") == F.col("at")), "left").select(
+        *KEY, F.when(~F.col("done") | (F.col("r") == UNSETTLED), F.lit(UNSETTLED)).otherwise(F.col("steps") + F.coalesce("r", F.lit(0))).alias("rank")
+    )
+
+
+def _rewritten(rows: DataFrame, old: str | None) -> tuple[DataFrame, str, int]:
+    """The rows as a written table, its path, and how many of them aren't done; ``old`` goes."""
+    path = scratch_path(rows.sparkSession, "ranks")
+    rows.write.parquet(path)
+    if old:
+        discard(rows.sparkSession, old)
+    rows = rows.sparkSession.read.parquet(path)
+    return rows, path, rows.where("not done").count()
 
 
 def _kind(value: Column) -> Column:
