@@ -30,21 +30,28 @@ def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 
 
 def longest_contexts(child: np.ndarray, classes: int, symbols: np.ndarray, offsets: np.ndarray, order: int, pad: int) -> np.ndarray:
-    """For every symbol, the trie's node of the longest known context before it.
+    """For every symbol, the trie's node of the longest known context before it, times ``classes``.
 
     ``child`` is nodes x classes, flat: the node of the context one symbol
     longer, or -1.  ``pad`` is the class of the bytes before a start.
     """
-    place = np.arange(len(symbols)) - np.repeat(offsets[:-1], np.diff(offsets))
-    node = np.zeros(len(symbols), np.int64)
-    live = np.arange(len(symbols))
+    place = np.arange(len(symbols), dtype=np.int32) - np.repeat(offsets[:-1].astype(np.int32), np.diff(offsets))
+    near_start = [np.flatnonzero(place < back) for back in range(1, order + 1)]
+    symbols, base = symbols.astype(np.int32), np.zeros(len(symbols), np.int32)
+    live = None  # all
     for back in range(1, order + 1):
-        before = np.where(place[live] >= back, symbols[np.maximum(live - back, 0)], pad)
-        deeper = child[node[live] * classes + before]
-        on = deeper >= 0
-        live = live[on]
-        node[live] = deeper[on]
-    return node
+        before = np.empty_like(symbols)
+        before[back:] = symbols[:-back] if back < len(symbols) else 0
+        before[near_start[back - 1]] = pad
+        if live is None:
+            deeper = child.take(base + before)
+            live = np.flatnonzero(deeper >= 0)
+        else:
+            deeper = child.take(base.take(live) + before.take(live))
+            on = deeper >= 0
+            live, deeper = live[on], deeper[on]
+        base[live] = (deeper[deeper >= 0] if back == 1 else deeper) * classes
+    return base
 
 
 def node_sums(cost: np.ndarray, offsets: np.ndarray) -> np.ndarray:

@@ -48,7 +48,7 @@ PAD = 0  # the bytes before a text
 DRAWS = 1 << 40
 SLICE = 1024  # contexts at a time while the table is built
 UNKNOWN = "und"
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 128 << 10  # arrays of a group stay in a core's cache
 
 FIELDS = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
@@ -188,7 +188,7 @@ def code_lengths(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndar
     """Texts x languages: code lengths in units."""
     symbols = model.symbol[data]
     node = longest_contexts(model.child, model.classes, symbols, offsets, model.order, int(model.symbol[PAD]))
-    at = node * model.classes + symbols
+    at = node + symbols
     return np.stack([node_sums(model.cost[at, k], offsets) for k in range(len(model.languages))], 1)
 
 

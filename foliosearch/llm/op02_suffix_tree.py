@@ -47,8 +47,9 @@ from foliosearch.session import discard, scratch_path
 ORDER = 5
 GAIN = 3e-6
 UNIT = 1 << 16
-SPACE, END = 0x20, 0x0A  # no word has either
+END = 0x0A  # no word has it
 GROUP_BYTES = 2 << 20
+SCORED_BYTES = 128 << 10  # arrays of a group stay in a core's cache
 BLOCK_TOKENS = 4_000_000
 GRAMS_HELD = 4_000_000
 
@@ -62,12 +63,12 @@ def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def _streams(column: pa.Array) -> Iterator[list[list[bytes]]]:
+def _streams(column: pa.Array, limit: int) -> Iterator[list[list[bytes]]]:
     """The words of each text, in groups of texts of bounded size."""
     data, offsets = text_bytes(column)
     raw, group, size = data.tobytes(), [], 0
     for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-        if group and size + b - a > GROUP_BYTES:
+        if group and size + b - a > limit:
             yield group
             group, size = [], 0
         group.append(words_of(raw[a:b]))
@@ -91,7 +92,7 @@ def gram_counts(texts: DataFrame, order: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list = []
         for batch in batches:
-            for group in _streams(batch.column(0)):
+            for group in _streams(batch.column(0), GROUP_BYTES):
                 symbols, offsets = spelled(group)
                 parts.append(np.unique(gram_keys(symbols, offsets, order, END), return_counts=True))
                 if len(parts) > 8:
@@ -164,7 +165,7 @@ def build(depth: np.ndarray, key: np.ndarray, n: np.ndarray, order: int) -> Tree
     symbol[seen] = np.arange(len(seen))
     classes = len(seen) + 1
     child, dist = [np.full((1, classes), -1, np.int32)], []
-    above, above_first = np.zeros(1, np.int64), 0
+    above = np.zeros(1, np.int64)
     below = np.full((1, classes), 1 / 256)
     for length in range(order + 1):
         own = depth == length
@@ -175,13 +176,11 @@ def build(depth: np.ndarray, key: np.ndarray, n: np.ndarray, order: int) -> Tree
             child[-1][parent, symbol[contexts >> (8 * (length - 1))]] = first + np.arange(len(contexts))
             child.append(np.full((len(contexts), classes), -1, np.int32))
             below = dist[-1][parent]
-            above_first = first
         counts = np.zeros((len(contexts), classes))
         np.add.at(counts, (np.searchsorted(contexts, key[own] >> 8), symbol[key[own] & 0xFF]), n[own])
         weight = np.maximum((counts > 0).sum(axis=1, keepdims=True) / 2, 1)
         dist.append((counts + weight * below) / (counts.sum(axis=1, keepdims=True) + weight))
         above = contexts
-    del above_first
     cost = np.rint(-np.log2(np.concatenate(dist)) * UNIT).astype(np.int32)
     return Tree(order, symbol, np.concatenate(child).ravel(), cost.ravel(), classes)
 
@@ -208,7 +207,7 @@ def text_units(tree: Tree, symbols: np.ndarray, offsets: np.ndarray) -> np.ndarr
         return out
     classes = tree.symbol[symbols]
     state = longest_contexts(tree.child, tree.classes, classes, offsets, tree.order, int(tree.symbol[END]))
-    return node_sums(tree.cost[state * tree.classes + classes], offsets)
+    return node_sums(tree.cost.take(state + classes), offsets)
 
 
 # -- scores ---------------------------------------------------------------
@@ -273,7 +272,7 @@ def _blocks(texts: DataFrame, tree: Tree) -> DataFrame:
         block, tokens = _Block(number), 0
         for batch in batches:
             at, ids, outs = 0, batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for group in _streams(batch.column(2)):
+            for group in _streams(batch.column(2), SCORED_BYTES):
                 units = text_units(tree, *spelled(group))
                 for words, cost in zip(group, (units / -UNIT * np.log10(2)).tolist()):
                     block.add(ids[at], outs[at], cost, words)
