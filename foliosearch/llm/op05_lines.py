@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -196,10 +197,13 @@ def drop_repeated_lines(
     text_at, starts_at = marked.columns.index(text), marked.columns.index("__starts")
 
     def compute(batch: pa.RecordBatch) -> list:
-        out = batch.column(text_at).to_pylist()
-        for k in np.flatnonzero(batch.column(starts_at).is_valid().to_numpy(zero_copy_only=False)).tolist():
-            out[k] = _without_runs(out[k].encode(), batch.column(starts_at)[k].as_py(), window, long_words, least_words)
-        return [out]
+        texts, starts = batch.column(text_at).cast(pa.string()), batch.column(starts_at)
+        hit = starts.is_valid()
+        cut = [
+            _without_runs(texts[k].as_py().encode(), starts[k].as_py(), window, long_words, least_words)
+            for k in np.flatnonzero(hit.to_numpy(zero_copy_only=False)).tolist()
+        ]
+        return [pc.replace_with_mask(texts, hit, pa.array(cut, pa.string()))]
 
     cut = append_columns(marked, T.StructType([T.StructField("__cut", T.StringType())]), compute)
     cut = cut.where(F.col("__cut").isNotNull() | F.col("__starts").isNull())
