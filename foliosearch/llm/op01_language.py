@@ -59,10 +59,11 @@ class Model:
 
     languages: list[str]
     order: int
-    symbol: np.ndarray  # 256: class of a byte; the last class is all unseen bytes
+    symbol: np.ndarray  # 256: class of a byte; one class is all unseen bytes
     child: np.ndarray  # nodes x classes: node of the context one byte longer, or -1
     cost: np.ndarray  # (nodes x classes) x languages: units
     classes: int
+    pad: int  # class of the bytes before a text; only contexts have it
 
 
 def count_grams(texts: DataFrame, order: int) -> DataFrame:
@@ -105,9 +106,10 @@ def build(names: np.ndarray, gram: np.ndarray, n: np.ndarray, order: int, contex
     seen = np.unique(gram & 0xFF)
     symbol = np.full(256, len(seen), np.int64)
     symbol[seen] = np.arange(len(seen))
-    classes = len(seen) + 1
+    classes = len(seen) + 2
+    pad = int(symbol[PAD]) if PAD in seen else classes - 1
     copies = np.ones(classes)
-    copies[-1] = max(256 - len(seen), 1)  # how many bytes the last class stands for
+    copies[-2:] = max(256 - len(seen), 1), 0  # how many bytes a class stands for
 
     # Contexts of each length by how often they came, over all languages; the
     # suffixes of a context come at least as often, so they are kept with it.
@@ -144,14 +146,15 @@ def build(names: np.ndarray, gram: np.ndarray, n: np.ndarray, order: int, contex
             if length:
                 shorter_values, shorter_first = node_of[length - 1]
                 shorter = shorter_first + np.searchsorted(shorter_values, part & ((1 << 8 * (length - 1)) - 1))
-                child[shorter, symbol[part >> (8 * (length - 1))]] = np.arange(here.start, here.stop)
+                oldest = part >> (8 * (length - 1))
+                child[shorter, np.where(oldest == PAD, pad, symbol[oldest])] = np.arange(here.start, here.stop)
                 below = dist[shorter].astype(float)
             else:
                 below = np.full((1, classes, len(languages)), 1 / 256)
             value = _blend(table, below, copies)
             dist[here] = value
             cost[here] = np.rint(-np.log2(np.maximum(value, 1e-30)) * UNIT)
-    return Model(languages, order, symbol, child.ravel(), cost.reshape(nodes * classes, len(languages)), classes)
+    return Model(languages, order, symbol, child.ravel(), cost.reshape(nodes * classes, len(languages)), classes, pad)
 
 
 def _blend(table: np.ndarray, below: np.ndarray, copies: np.ndarray) -> np.ndarray:
@@ -187,7 +190,7 @@ def train(
 def code_lengths(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Texts x languages: code lengths in units."""
     symbols = model.symbol[data]
-    node = longest_contexts(model.child, model.classes, symbols, offsets, model.order, int(model.symbol[PAD]))
+    node = longest_contexts(model.child, model.classes, symbols, offsets, model.order, model.pad)
     at = node + symbols
     return np.stack([node_sums(model.cost[at, k], offsets) for k in range(len(model.languages))], 1)
 

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from foliosearch.session import scratch_path
 
 SLOTS = 64
-BANDS = 8
+BANDS = 16
 BAND_SLOTS = 4
 LIKENESS = 0.8
 SEED = 8

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliosearch.llm.batches import ASCII_LOWER, append_columns, groups, row_sums, text_bytes
+from foliosearch.llm.batches import ASCII_LOWER, append_columns, groups, row_sums, text_bytes, without
 from foliosearch.llm.wordhash import word_table
 from foliosearch.session import discard, scratch_path
 
@@ -146,7 +146,10 @@ def _built(rows: list) -> WindowSet:
 
 
 def _scan(df: DataFrame, text: str, block, earlier: bool) -> DataFrame:
-    place, before = df.columns.index(text), [df.columns.index(c) for c in ("hit_words", "items")] if earlier else []
+    if earlier:  # read what was found so far, and write it anew
+        df = df.withColumnsRenamed({"hit_words": "hit_words_before", "items": "items_before"})
+    names = without(df, HITS.names).columns
+    place, before = names.index(text), [names.index(c) for c in ("hit_words_before", "items_before")] if earlier else []
 
     def compute(batch: pa.RecordBatch) -> list:
         known = _built(block.value)
@@ -169,10 +172,7 @@ def _scan(df: DataFrame, text: str, block, earlier: bool) -> DataFrame:
             bits += [np.packbits(hit[a:b]).tobytes() for a, b in zip(words.rows[:-1], words.rows[1:])]
         return [n_words, n_hit, listed, bits]
 
-    if earlier:  # read what was found so far, and write it anew
-        source = df.withColumnsRenamed({"hit_words": "hit_words_before", "items": "items_before"})
-        return append_columns(source, HITS, compute).drop("hit_words_before", "items_before")
-    return append_columns(df, HITS, compute)
+    return append_columns(df, HITS, compute).drop("hit_words_before", "items_before")
 
 
 def find_hits(
