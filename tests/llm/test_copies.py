@@ -198,11 +198,13 @@ def test_embedding_query_and_walk(spark):
 def test_few_edits_keep_fingerprints_near(spark):
     random.seed(8)
     text = "".join(random.choices("abcdefgh ", k=3000))
-    changed = text[:700] + "XYZ" + text[705:]
+    changed = text
+    for at in (100, 1500):
+        changed = changed[:at] + "XYZ" + changed[at + 5 :]
     prints = op08_edit_embedding.walker().fingerprints([text, changed, text[::-1]])
-    assert op08_edit_embedding.likeness(*prints[:2]) > 0.7 > op08_edit_embedding.likeness(prints[0], prints[2])
+    assert 1 > op08_edit_embedding.likeness(*prints[:2]) > 0.6 > op08_edit_embedding.likeness(prints[0], prints[2])
     table = ship_package(spark).createDataFrame([(4, prints[0]), (9, prints[1]), (2, prints[2])], "doc_id long, fingerprint string")
-    links = op08_edit_embedding.near_links(table, least=0.7).collect()
+    links = op08_edit_embedding.near_links(table, least=0.6).collect()
     assert [(r.a, r.b) for r in links] == [(4, 9)]
 
 
