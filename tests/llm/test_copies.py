@@ -199,13 +199,21 @@ def test_few_edits_keep_fingerprints_near(spark):
     random.seed(8)
     text = "".join(random.choices("abcdefgh ", k=3000))
     changed = text
-    for at in (100, 1500):
+    for at in range(100, 2900, 400):
         changed = changed[:at] + "XYZ" + changed[at + 5 :]
-    prints = op08_edit_embedding.walker().fingerprints([text, changed, text[::-1]])
-    assert 1 > op08_edit_embedding.likeness(*prints[:2]) > 0.6 > op08_edit_embedding.likeness(prints[0], prints[2])
-    table = ship_package(spark).createDataFrame([(4, prints[0]), (9, prints[1]), (2, prints[2])], "doc_id long, fingerprint string")
-    links = op08_edit_embedding.near_links(table, least=0.6).collect()
-    assert [(r.a, r.b) for r in links] == [(4, 9)]
+    near, far = op08_edit_embedding.walker().fingerprints([changed, text[::-1]])
+    own = op08_edit_embedding.walker().fingerprints([text])[0]
+    assert 1 > op08_edit_embedding.likeness(own, near) > 0.5 > op08_edit_embedding.likeness(own, far)
+
+
+def test_links_are_found_by_bands_and_verified(spark):
+    one = "a" * 64
+    five = "b" * 5 + one[5:]  # five slots spoil five of the sixteen bands at most
+    half = "c" * 32 + one[32:]
+    table = ship_package(spark).createDataFrame([(4, one), (9, five), (2, half), (7, one), (None, one)], "doc_id long, fingerprint string")
+    assert all(r.likeness >= 0.8 for r in op08_edit_embedding.near_links(table).collect())
+    alone = op08_edit_embedding.near_links(table.where("doc_id <> 2 or doc_id is null")).collect()
+    assert [(r.a, r.b, r.likeness) for r in alone] == [(4, 9, 59 / 64)]
 
 
 def test_embedding_odd_rows(spark):
