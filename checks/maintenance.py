@@ -7,6 +7,7 @@ gone from the source, and all its titles are old.
 from pyspark.sql import functions as F
 
 from checks.base import content_sql, query
+from checks.textsql import sort_key, term_views
 from foliosearch import model as m
 from foliosearch.functions import predicates as p
 from foliosearch.operators import maintain
@@ -185,8 +186,8 @@ def m5_audit(spark, folder):
     return index.audit().select("category", "event", "principal", "comment", size.alias("indexed"))
 
 
-# Commands made of the events: purchases index a document, errors delete one;
-# nine events in a row are about the same document, and some documents never were.
+# Commands made of the events: purchases index a document, errors delete one, the
+# others are commands of unknown types, which change nothing; nine events in a row are about the same document, and some documents never were.
 COMMANDS_SQL = """
 SELECT 2 * event_id AS seq, CASE WHEN event_type = 'error' THEN 'DELETE' ELSE 'INSERT' END AS type,
   'doc-' || (event_id // 9) AS uuid,
@@ -197,9 +198,10 @@ FROM events WHERE event_type IN ('error', 'purchase')
 
 def commands(events):
     number = F.floor(F.col("event_id") / 9).cast("long")
-    return events.where(F.col("event_type").isin("error", "purchase")).select(
+    kind = F.when(F.col("event_type") == "error", maintain.DELETE).when(F.col("event_type") == "purchase", maintain.INSERT)
+    return events.select(
         (F.col("event_id") * 2).alias("seq"),
-        F.when(F.col("event_type") == "error", maintain.DELETE).otherwise(maintain.INSERT).alias("type"),
+        F.coalesce(kind, "event_type").alias("type"),
         F.concat(F.lit("doc-"), number.cast("string")).alias("docId"),
         F.when(number % 10 == 0, "archive").otherwise("default").alias("repo"),
         F.lit(False).alias("recurse"),
@@ -297,3 +299,52 @@ def x1_recursive_commands(spark, folder):
     index = _table(spark, folder)
     index.apply_commands(single.unionByName(folders), documents, "folders and documents")
     return shown(index.read())
+
+
+DERIVED_VIEWS = [
+    ("commands", COMMANDS_SQL),
+    ("newest", "SELECT repository, uuid, arg_max(type, seq) AS type FROM commands GROUP BY ALL"),
+    (
+        "applied",
+        """
+        SELECT uuid, 'old ' || title AS title FROM content
+        WHERE doc_id % 7 <> 3 AND (repository, uuid) NOT IN (SELECT (repository, uuid) FROM newest)
+        UNION ALL
+        SELECT uuid, title FROM content JOIN newest USING (repository, uuid) WHERE doc_id % 11 <> 5 AND type = 'INSERT'
+        """,
+    ),
+    *term_views("applied", "uuid", "title", "fr"),
+    ("digests", "SELECT uuid, md5(string_agg(DISTINCT term, ' ' ORDER BY term)) AS title_terms FROM terms GROUP BY uuid"),
+]
+
+
+@query(
+    content_sql(
+        f"""
+        SELECT a.uuid, {sort_key("a.title")} AS title_lowercase, title_terms
+        FROM applied a LEFT JOIN digests USING (uuid)
+        """,
+        *DERIVED_VIEWS,
+    )
+)
+def x1_commands_on_derived_index(spark, folder):
+    """Commands on an index of whole documents with its index columns."""
+    whole, number = content(spark, folder), _number()
+    index = IndexTable(spark, scratch_path(spark, "index"))
+    index.create(whole.where(number % 7 != 3).withColumn(m.TITLE, F.concat(F.lit("old "), F.col(m.TITLE))))
+    single = commands(spark.read.parquet(f"{folder}/events.parquet"))
+    index.apply_commands(single, whole.where(number % 11 != 5), "events")
+    terms = F.array_sort(m.TITLE_TERMS)
+    return index.read().select(
+        F.col(m.UUID).alias("uuid"),
+        F.col(m.TITLE_LOWERCASE).alias("title_lowercase"),
+        F.when(F.size(terms) > 0, F.md5(F.array_join(terms, " "))).alias("title_terms"),
+    )
+
+
+@query(content_sql(f"SELECT {SHOWN_SQL} FROM stale WHERE repository <> 'default'", *TREES))
+def m1_vanished_repository(spark, folder):
+    """A repository rebuilt from a source that has nothing of it any more; the others stay."""
+    index = _table(spark, folder)
+    index.reindex("ALL", source(spark, folder).where(F.col(m.REPOSITORY) != "default"), "default")
+    return shown(index.read())

@@ -5,11 +5,12 @@ from pyspark.sql import functions as F
 from checks.base import content_sql, query
 from checks.textsql import term_views
 from foliosearch import model as m
+from foliosearch.functions import predicates as p
 from foliosearch.operators.fulltext import fulltext_query
 from foliosearch.operators.page import page, sort_hits
 from foliosearch.operators.relevance import score_text
 from foliosearch.operators.security import acl_filter
-from foliosearch.plans.search import ranked_hits
+from foliosearch.plans.search import Search, ranked_hits
 from foliosearch.plans.term_index import TermIndex
 from foliosearch.session import scratch_path
 from foliosearch.sources.content import content
@@ -53,25 +54,29 @@ FIELD_TERMS = [
     *term_views("fields", "uuid, field, boost", "text", "fr"),
 ]
 
-BOOSTED_SCORES = [
-    *FIELD_TERMS,
-    ("lengths", "SELECT uuid, field, count(*) AS len FROM terms GROUP BY uuid, field"),
-    (
-        "tfs",
-        f"SELECT uuid, field, boost, term, count(*) AS tf FROM terms WHERE term IN ({TERMS_SQL}) "
-        "GROUP BY uuid, field, boost, term",
-    ),
-    ("dfs", "SELECT field, term, count(*) AS df FROM tfs GROUP BY field, term"),
-    ("corpus", "SELECT count(*) AS total FROM content"),
-    (
-        "scores",
-        """
-        SELECT uuid, round(sum(sqrt(tf) * power(1 + ln(total / (df + 1)), 2) * CAST(boost AS DOUBLE) / sqrt(len)), 6)
-          AS score
-        FROM tfs JOIN dfs USING (field, term) JOIN lengths USING (uuid, field), corpus GROUP BY uuid
-        """,
-    ),
-]
+def boosted_scores(terms_sql):
+    return [
+        *FIELD_TERMS,
+        ("lengths", "SELECT uuid, field, count(*) AS len FROM terms GROUP BY uuid, field"),
+        (
+            "tfs",
+            f"SELECT uuid, field, boost, term, count(*) AS tf FROM terms WHERE term IN ({terms_sql}) "
+            "GROUP BY uuid, field, boost, term",
+        ),
+        ("dfs", "SELECT field, term, count(*) AS df FROM tfs GROUP BY field, term"),
+        ("corpus", "SELECT count(*) AS total FROM content"),
+        (
+            "scores",
+            """
+            SELECT uuid, round(sum(sqrt(tf) * power(1 + ln(total / (df + 1)), 2) * CAST(boost AS DOUBLE) / sqrt(len)), 6)
+              AS score
+            FROM tfs JOIN dfs USING (field, term) JOIN lengths USING (uuid, field), corpus GROUP BY uuid
+            """,
+        ),
+    ]
+
+
+BOOSTED_SCORES = boosted_scores(TERMS_SQL)
 
 
 @query(content_sql("SELECT uuid, score FROM scores", *BOOSTED_SCORES))
@@ -122,24 +127,45 @@ def r3_acl_leaves_scores(spark, folder):
     return best.select(F.col(m.UUID).alias("uuid"), "score")
 
 
+# Two words, and one that no hit may have; the scores are those of the two.
+MATCH_TEXT = "thre ble -wh"
+MATCHES = [
+    *boosted_scores("'thre', 'ble'"),
+    (
+        "matching",
+        """
+        SELECT DISTINCT uuid FROM terms a JOIN terms b USING (uuid) WHERE a.term = 'thre' AND b.term = 'ble'
+        AND uuid NOT IN (SELECT uuid FROM terms WHERE term = 'wh')
+        """,
+    ),
+    (
+        "ranked",
+        """
+        SELECT uuid, score, title, note FROM scores JOIN content USING (uuid) JOIN matching USING (uuid)
+        WHERE list_has_any(acl, ['members', 'user-3']) AND primary_type <> 'Folder'
+        """,
+    ),
+]
+
+
 @query(
     content_sql(
         """
         SELECT row_number() OVER (ORDER BY score DESC, uuid) AS position, uuid, score, title, md5(note) AS note_md5
-        FROM (SELECT * FROM scores JOIN content USING (uuid)
-          WHERE list_has_any(acl, ['members', 'user-3']) ORDER BY score DESC, uuid LIMIT 20 OFFSET 20)
+        FROM (SELECT * FROM ranked ORDER BY score DESC, uuid LIMIT 3 OFFSET 3)
         """,
-        *BOOSTED_SCORES,
+        *MATCHES,
     )
 )
 def ranked_search_raw_hits(spark, folder):
     """Second page of a full-text search by score, for one caller, through the
-    raw sink: term index, scores, ACL, top-k, full documents."""
+    raw sink: term index, matches, scores, predicate, ACL, top-k, full documents."""
     rows = content(spark, folder)
     terms = TermIndex(spark, scratch_path(spark, "terms"))
     terms.build(rows)
-    wanted = fulltext_query(spark, QUERY_TEXT)
-    hits = ranked_hits(rows, terms, wanted, ["members", "user-3"], page_size=20, page_index=1)
+    wanted = fulltext_query(spark, MATCH_TEXT)
+    kind = p.not_equals(m.PRIMARY_TYPE, "Folder")
+    hits = ranked_hits(rows, terms, wanted, ["members", "user-3"], predicate=kind, page_size=3, page_index=1)
     path = scratch_path(spark, "raw")
     write_raw(hits, path)
     back = spark.read.schema(hits.schema).json(path)
@@ -150,3 +176,21 @@ def ranked_search_raw_hits(spark, folder):
         F.col(m.TITLE).alias("title"),
         F.md5(m.NOTE).alias("note_md5"),
     )
+
+
+@query(content_sql("SELECT uuid, score, title, (SELECT count(*) FROM ranked) AS total FROM ranked", *MATCHES))
+def o4_search_by_score(spark, folder):
+    """The same search as a whole: all its hits, and how many it says there are."""
+    rows = content(spark, folder)
+    terms = TermIndex(spark, scratch_path(spark, "terms"))
+    terms.build(rows)
+    search = Search(
+        predicate=p.not_equals(m.PRIMARY_TYPE, "Folder"),
+        fulltext=fulltext_query(spark, MATCH_TEXT),
+        terms=terms,
+        principals=["members", "user-3"],
+    )
+    total = search.total(rows).scalar()
+    return search.hits(rows).select(
+        F.col(m.UUID).alias("uuid"), "score", F.col(m.TITLE).alias("title"), total.alias("total")
+    )

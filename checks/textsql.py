@@ -19,11 +19,11 @@ def literal(text: str) -> str:
 
 def strip_html(x: str) -> str:
     steps = [
-        (r"(?s)<!--.*?-->", ""),
-        (r"(?is)<script\b[^>]*>.*?</script\s*>", "\n"),
-        (r"(?is)<style\b[^>]*>.*?</style\s*>", "\n"),
-        (rf"(?i)</?({'|'.join(INLINE_TAGS)})([\s/][^>]*)?>", ""),
-        (r"<[!?/]?[A-Za-z][^>]*>", "\n"),
+        (r"(?s)<!--(.*?-->|.*\z)", ""),
+        (r"(?is)<script\b[^>]*(\z|>(.*?</script\s*>|.*\z))", "\n"),
+        (r"(?is)<style\b[^>]*(\z|>(.*?</style\s*>|.*\z))", "\n"),
+        (rf"(?i)</?({'|'.join(INLINE_TAGS)})(>|[\s/][^>]*(>|\z))", ""),
+        (r"<[!?/]?[A-Za-z][^>]*(>|\z)", "\n"),
     ]
     stripped = x
     for pattern, replacement in steps:

@@ -56,14 +56,17 @@ s samp select small span strike strong sub sup textarea tt u var
 def strip_html(text: Column) -> Column:
     """Text without comments, script and style bodies and tags, entities decoded.
 
-    Text without any markup or entity passes untouched.
+    Text without any markup or entity passes untouched.  What opens and never
+    ends (a comment, a body, a tag) takes the rest of the text, as a browser
+    reads it; so no pattern looks for the same end twice, and time grows with
+    the length of the text alone.
     """
-    stripped = F.regexp_replace(text, r"(?s)<!--.*?-->", "")
-    stripped = F.regexp_replace(stripped, r"(?is)<script\b[^>]*>.*?</script\s*>", "\n")
-    stripped = F.regexp_replace(stripped, r"(?is)<style\b[^>]*>.*?</style\s*>", "\n")
+    stripped = F.regexp_replace(text, r"(?s)<!--(?:.*?-->|.*\z)", "")
+    stripped = F.regexp_replace(stripped, r"(?is)<script\b[^>]*(?:\z|>(?:.*?</script\s*>|.*\z))", "\n")
+    stripped = F.regexp_replace(stripped, r"(?is)<style\b[^>]*(?:\z|>(?:.*?</style\s*>|.*\z))", "\n")
     inline = "|".join(INLINE_TAGS)
-    stripped = F.regexp_replace(stripped, rf"(?i)</?(?:{inline})(?:[\s/][^>]*)?>", "")
-    stripped = F.regexp_replace(stripped, r"<[!?/]?[A-Za-z][^>]*>", "\n")
+    stripped = F.regexp_replace(stripped, rf"(?i)</?(?:{inline})(?:>|[\s/][^>]*(?:>|\z))", "")
+    stripped = F.regexp_replace(stripped, r"<[!?/]?[A-Za-z][^>]*(?:>|\z)", "\n")
     stripped = F.when(F.contains(text, F.lit("<")), stripped).otherwise(text)
     return F.when(F.contains(text, F.lit("&")), decode_entities(stripped)).otherwise(stripped)
 

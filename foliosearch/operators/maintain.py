@@ -8,6 +8,7 @@ change.  ``plans.index_table`` stores the outcome.
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,17 +120,17 @@ def newest_commands(
     Commands of any other type than the two, null included, change nothing.
 
     A recursive deletion also reaches what the index holds below its document, a
-    recursive insertion what the source holds.  ``recursive=False`` promises that
-    no command recurses and saves the search for descendants.
+    recursive insertion what the source holds.  A side without such a command is
+    not searched; ``recursive=False`` promises that there is none.
     """
     commands = commands.where(F.col("type").isin(INSERT, DELETE))
     direct = commands.select(
         F.col("repo").alias(m.REPOSITORY), F.col("docId").alias(m.UUID), "seq", "type"
     )
-    if recursive:
-        deleted = _targets(index, commands, DELETE).select("*", F.lit(DELETE).alias("type"))
-        inserted = _targets(source, commands, INSERT).select("*", F.lit(INSERT).alias("type"))
-        direct = direct.unionByName(deleted).unionByName(inserted)
+    kinds = {row.type for row in commands.where("recurse").select("type").distinct().collect()} if recursive else set()
+    for kind, rows in ((DELETE, index), (INSERT, source)):
+        if kind in kinds:  # one of the two names
+            direct = direct.unionByName(_targets(rows, commands, kind).select("*", F.lit(kind).alias("type")))
     # The type rides in the lowest bit of the number, which keeps this a hash
     # aggregate with one partial row per document and task: a document with a
     # third of all commands gathers nowhere.
@@ -138,22 +139,31 @@ def newest_commands(
     return newest.select(*m.KEY, F.when(F.col("newest") % 2 == 1, INSERT).otherwise(DELETE).alias("type"))
 
 
-def command_changes(newest: DataFrame, source: DataFrame) -> DataFrame:
+def command_changes(
+    newest: DataFrame, source: DataFrame, prepare: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """Row changes for the newest commands.
 
     Every named document is deleted; one to index is inserted as the source has
     it now.  So a document that is gone from the source stays deleted.
+    ``prepare`` adds index columns, to the named documents only.
     """
     wanted = newest.where(F.col("type") == INSERT).select(*m.KEY)
-    return _changes(newest, source.join(wanted, m.KEY, "left_semi"))
+    found = source.join(wanted, m.KEY, "left_semi")
+    return _changes(newest, prepare(found) if prepare else found)
+
 
+def newest_insertions(changes: DataFrame) -> DataFrame:
+    """The changes that are the newest of their document and insert it; an
+    insertion beats the deletion that was written with it.
 
-def newest_changes(changes: DataFrame) -> DataFrame:
-    """The newest change of each document; an insertion beats the deletion that
-    was written with it."""
-    columns = [F.col(f"`{name}`") for name in changes.columns]
-    newest = F.struct(SEQUENCE, F.col(CHANGE) == INSERT)
-    return changes.groupBy(*m.KEY).agg(F.max_by(F.struct(*columns), newest).alias("row")).select("row.*")
+    Only keys and numbers are grouped.  The changes meet them by a semi join, so
+    what a search filters and reads reaches the scan of the changes.
+    """
+    order = F.col(SEQUENCE) * 2 + (F.col(CHANGE) == INSERT).cast("long")
+    newest = changes.groupBy(*m.KEY).agg(F.max(order).alias("newest")).where("newest % 2 = 1")
+    newest = newest.select(*m.KEY, F.shiftright("newest", 1).alias(SEQUENCE))
+    return changes.where(F.col(CHANGE) == INSERT).join(newest, [*m.KEY, SEQUENCE], "left_semi")
 
 
 def apply_changes(index: DataFrame, changes: DataFrame) -> DataFrame:
@@ -166,8 +176,7 @@ def apply_changes(index: DataFrame, changes: DataFrame) -> DataFrame:
     not shuffled.
     """
     kept = index.join(changes.select(*m.KEY), m.KEY, "left_anti")
-    newest = newest_changes(changes) if SEQUENCE in changes.columns else changes
-    inserted = newest.where(F.col(CHANGE) == INSERT)
+    inserted = newest_insertions(changes) if SEQUENCE in changes.columns else changes.where(F.col(CHANGE) == INSERT)
     return kept.unionByName(inserted.select(*[F.col(f"`{name}`") for name in index.columns]))
 
 

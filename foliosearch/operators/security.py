@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from foliosearch import model as m
 from foliosearch.functions.predicates import has_any_value
 
-# Principals that a plan carries as literals; more are joined.
-MAX_LITERALS = 10_000
-
 
 def acl_filter(df: DataFrame, principals: Sequence[str] = (), *, admin: bool = False) -> DataFrame:
     """Rows whose ACL names one of the caller's principals.
@@ -31,19 +28,14 @@ def acl_filter(df: DataFrame, principals: Sequence[str] = (), *, admin: bool = F
 def acl_semi_join(df: DataFrame, principals: DataFrame) -> DataFrame:
     """The same for principals held in a table ``(principal)``.
 
-    A caller's principals are few as a rule; up to ``MAX_LITERALS`` they become
-    the set of ``acl_filter``.  Beyond, ``(key, principal)`` pairs meet the table
-    by equality, and only keys go back to the documents.
+    ``(key, principal)`` pairs meet the table by equality, and only keys go back
+    to the documents.  Catalyst broadcasts the table while its size allows;
+    beyond, a principal that very many documents name is a skewed join, split at
+    run time.
     """
-    names = principals.select("principal").distinct()
-    few = names.limit(MAX_LITERALS + 1).collect()
-    if len(few) <= MAX_LITERALS:
-        return acl_filter(df, [row.principal for row in few if row.principal is not None])
-    return acl_join(df, names)
-
-
-def acl_join(df: DataFrame, principals: DataFrame) -> DataFrame:
-    """``acl_semi_join`` for any number of principals."""
     entries = df.select(*m.KEY, F.explode(F.array_distinct(m.ACL)).alias("principal"))
-    readable = entries.join(principals, "principal", "left_semi").select(*m.KEY)
+    readable = entries.join(principals.select("principal"), "principal", "left_semi").select(*m.KEY)
     return df.join(readable, m.KEY, "left_semi")
+
+
+acl_join = acl_semi_join

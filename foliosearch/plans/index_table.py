@@ -16,6 +16,7 @@ the index; ``compact`` folds those in.  One writer at a time.
 
 from __future__ import annotations
 
+import json
 import logging
 from functools import reduce
 
@@ -31,7 +32,8 @@ from foliosearch.session import discard, scratch_path
 
 log = logging.getLogger(__name__)
 
-COMMIT_SCHEMA = "n bigint, kind string, repository string, label string"
+# ``schema`` tells the columns of a version, also where it holds no row and so no file.
+COMMIT_SCHEMA = "n bigint, kind string, repository string, label string, schema string"
 AUDIT_SCHEMA = "category string, event string, comment string, principal string, logged_at timestamp"
 
 DATA = "data"
@@ -63,8 +65,8 @@ class IndexTable:
             return []
         return sorted(lines, key=lambda line: line.n)
 
-    def _commit(self, n: int, kind: str, repository: str | None, label: str) -> None:
-        line = self.spark.createDataFrame([(n, kind, repository, label)], COMMIT_SCHEMA)
+    def _commit(self, n: int, kind: str, repository: str | None, label: str, schema: str | None = None) -> None:
+        line = self.spark.createDataFrame([(n, kind, repository, label, schema)], COMMIT_SCHEMA)
         line.coalesce(1).write.mode("append").json(f"{self.path}/commits")
 
     def _next(self) -> int:
@@ -79,12 +81,13 @@ class IndexTable:
         renewed = {
             line.repository: line.n for line in commits if line.kind == DATA and line.repository and line.n > whole
         }
+        schemas = {line.n: line.schema for line in commits}
         parts = []
         if whole:
-            base = self._data(whole)
+            base = self._data(whole, schemas[whole])
             parts.append(base.where(~F.col(m.REPOSITORY).isin(*renewed)) if renewed else base)
         for repository, n in renewed.items():
-            parts.append(self._data(n).where(F.col(m.REPOSITORY) == repository))
+            parts.append(self._data(n, schemas[n]).where(F.col(m.REPOSITORY) == repository))
         if not parts:
             raise ValueError(f"no index at {self.path}")
         index = reduce(DataFrame.unionByName, parts)
@@ -99,11 +102,11 @@ class IndexTable:
             changes = changes.where(~outdated)
         return maintain.apply_changes(index, changes)
 
-    def _data(self, n: int) -> DataFrame:
+    def _data(self, n: int, told: str | None) -> DataFrame:
         """A stored version.  Repository names stay text, even if they look like
         numbers or dates in the folder names they are read from."""
         path = f"{self.path}/{DATA}/n={n}"
-        schema = self.spark.read.parquet(path).schema
+        schema = T.StructType.fromJson(json.loads(told)) if told else self.spark.read.parquet(path).schema
         schema[m.REPOSITORY].dataType = T.StringType()
         return self.spark.read.schema(schema).parquet(path)
 
@@ -127,7 +130,7 @@ class IndexTable:
             .option("maxRecordsPerFile", ROWS_PER_FILE)
             .parquet(f"{self.path}/{DATA}/n={n}")
         )
-        self._commit(n, DATA, repository, label)
+        self._commit(n, DATA, repository, label, df.schema.json())
 
     def _write_changes(self, changes: DataFrame, label: str) -> None:
         """The write's number orders these changes after all earlier ones."""
@@ -205,5 +208,5 @@ class IndexTable:
         staged = scratch_path(self.spark, "commands")
         maintain.newest_commands(commands, source, self.read(), recursive).write.parquet(staged)
         newest = self.spark.read.parquet(staged)
-        self._write_changes(maintain.command_changes(newest, self._indexed(source)), label)
+        self._write_changes(maintain.command_changes(newest, source, self._indexed), label)
         discard(self.spark, staged)

@@ -21,12 +21,16 @@ from foliosearch.plans.term_index import TermIndex
 class Search:
     """What to find, for whom, in which order, and which page of it.
 
-    Without a predicate every document matches.  All results are lazy frames
+    Without a predicate every document matches.  With a full-text query and the
+    term index that answers it, matches also obey the query and have a score,
+    and without sort keys the best come first.  All results are lazy frames
     over the same plan; ``persist`` the matches where several of them are run
     on a costly predicate.
     """
 
     predicate: Column | None = None
+    fulltext: FullTextQuery | None = None
+    terms: TermIndex | None = None
     principals: Sequence[str] = ()
     admin: bool = False
     sort: Sequence[SortKey] = ()
@@ -34,9 +38,14 @@ class Search:
     page_index: int = 0
     prefixes: Sequence[str] = field(default_factory=tuple)
 
+    def __post_init__(self) -> None:
+        if (self.fulltext is None) != (self.terms is None):
+            raise ValueError("a full-text query and its term index go together")
+
     def matches(self, df: DataFrame) -> DataFrame:
         found = df if self.predicate is None else df.where(self.predicate)
-        return acl_filter(found, self.principals, admin=self.admin)
+        readable = acl_filter(found, self.principals, admin=self.admin)
+        return readable if self.terms is None else readable.join(self.terms.ranked(self.fulltext), m.KEY)
 
     def hits(self, df: DataFrame) -> DataFrame:
         return page(sort_hits(self.matches(df), self.sort), self.page_size, self.page_index)
@@ -65,15 +74,19 @@ def ranked_hits(
     principals: Sequence[str] = (),
     *,
     admin: bool = False,
+    predicate: Column | None = None,
     page_size: int,
     page_index: int = 0,
 ) -> DataFrame:
     """One page of full documents by falling score, with ``score`` and ``position``.
 
-    Scores are those of the whole corpus; the ACL then takes rows away.  Until
-    the page is cut only keys, ACLs and scores move; documents are fetched for
-    the page alone.
+    Only documents that match the query and the predicate count.  Scores are
+    those of the whole corpus; the predicate and the ACL then take rows away.
+    Until the page is cut only keys and scores move, and the documents' scan
+    reads what the predicate and the ACL name; documents are fetched for the
+    page alone.
     """
-    readable = acl_filter(df.select(*m.KEY, m.ACL), principals, admin=admin).select(*m.KEY)
-    scored = terms.scores(query).join(readable, m.KEY, "left_semi")
+    found = df if predicate is None else df.where(predicate)
+    readable = acl_filter(found, principals, admin=admin).select(*m.KEY)
+    scored = terms.ranked(query).join(readable, m.KEY, "left_semi")
     return hydrate(scored, df, page_size, page_index)

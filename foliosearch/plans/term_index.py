@@ -71,3 +71,11 @@ class TermIndex:
         return score_postings(
             self.postings(), self.statistics(), self.total(), m.KEY, query.required_terms, boosts
         )
+
+    def ranked(self, query: FullTextQuery, boosts: Mapping[str, float] = m.FIELD_BOOSTS) -> DataFrame:
+        """``(*key, score)`` of the documents that match the query.
+
+        All required words and none of the excluded ones; a query without
+        required words has no score and finds nothing here.
+        """
+        return self.scores(query, boosts).join(self.keys(query), m.KEY, "left_semi")

@@ -11,6 +11,7 @@ from foliosearch.operators.analysis import analyze, analyzed_terms, document_pos
 from foliosearch.operators.envelope import project_schemas
 from foliosearch.operators.facets import date_histogram_facet, facets, terms_facet
 from foliosearch.operators.fulltext import fulltext_match, fulltext_query
+from foliosearch.operators.maintain import command_changes
 from foliosearch.operators.page import page, page_info, sort_hits
 from foliosearch.operators.relevance import field_postings, score_text
 from foliosearch.operators.security import acl_filter
@@ -165,3 +166,32 @@ def test_index_files_are_sorted_by_path(spark, index):
     for file in {row.file for row in files.collect()}:
         paths = [row[m.PATH] for row in files.where(F.col("file") == file).orderBy("at").collect()]
         assert paths == sorted(paths)
+
+
+def test_a_feed_derives_only_what_it_names(spark, tmp_path):
+    """The analysis stands above the join that picks the documents."""
+    index = IndexTable(spark, str(tmp_path / "index"))
+    newest = spark.createDataFrame([("default", "doc-1", "INSERT")], "repository string, uuid string, type string")
+    newest = newest.toDF(*m.KEY, "type")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        tree = plan(command_changes(newest, content(spark, FOLDER), index._indexed)).split("\n")
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    deep = {kind: [len(x) - len(x.lstrip(" :+-*()0123456789")) for x in tree if kind in x] for kind in ("LeftSemi", "regexp_replace")}
+    assert deep["LeftSemi"] and deep["regexp_replace"] and max(deep["regexp_replace"]) < min(deep["LeftSemi"])
+
+
+def test_reads_after_rebuilds_prune_columns_and_push_filters(spark, tmp_path):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    index = IndexTable(spark, str(tmp_path / "index"), derive=False)
+    rows = content(spark, FOLDER)
+    index.create(rows)
+    for kind in ("Note", "File"):
+        index.reindex("QUERY", rows, "default", predicate=p.equals(m.PRIMARY_TYPE, kind))
+    found = index.read().where(F.col(m.TITLE) == "x").select(m.UUID)
+    changed = [x for x in re.findall(r"PushedFilters: \[(.*?)\], ReadSchema: struct<(.*?)>(?:\n|$)", plan(found)) if "change_seq" in x[1]]
+    assert changed and all("note:note" not in columns for _, columns in changed)
+    assert any("EqualTo(dc:title,x)" in filters for filters, _ in changed)
+    assert "max_by" not in plan(found)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")

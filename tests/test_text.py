@@ -1,5 +1,7 @@
 """Analyzers, on hand-written text."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -163,3 +165,14 @@ def test_parse_date(spark):
         "2016", "2016-07", "2016-07-11", "2016-07-11T10:00:00Z", "bad", None,
     )
     assert dates == ["2016-01-01 00:00", "2016-07-01 00:00", "2016-07-11 00:00", "2016-07-11 10:00", None, None]
+
+
+@pytest.mark.parametrize("opening", ["<script>", "<script ", "<!-- ", "<a ", "<style>", "</b x"])
+def test_unclosed_markup_takes_linear_time(spark, opening):
+    def seconds(n):
+        begin = time.perf_counter()
+        assert one(spark, t.strip_html, "x" + opening * n).strip() == "x"
+        return time.perf_counter() - begin
+
+    seconds(10)
+    assert seconds(200_000) < 10
