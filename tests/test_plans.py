@@ -192,6 +192,6 @@ def test_reads_after_rebuilds_prune_columns_and_push_filters(spark, tmp_path):
     found = index.read().where(F.col(m.TITLE) == "x").select(m.UUID)
     changed = [x for x in re.findall(r"PushedFilters: \[(.*?)\], ReadSchema: struct<(.*?)>(?:\n|$)", plan(found)) if "change_seq" in x[1]]
     assert changed and all("note:note" not in columns for _, columns in changed)
-    assert any("EqualTo(dc:title,x)" in filters for filters, _ in changed)
+    assert any("EqualTo(`dc:title`,x)" in filters for filters, _ in changed)
     assert "max_by" not in plan(found)
     spark.conf.unset("spark.sql.maxMetadataStringLength")
