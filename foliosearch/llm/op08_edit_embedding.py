@@ -14,8 +14,10 @@ Texts of a batch are walked side by side, ordered by length.
 A fingerprint has ``slots`` characters: slot ``s`` samples the step below the
 walk's length whose random rank for ``s`` is least, so walks of nearly equal
 lengths sample nearly the same steps.  The likeness of two fingerprints is the
-share of equal slots.  Banding takes some slots together as a key; texts that
-share a key are candidates, and the likeness of their fingerprints verifies them.
+share of equal slots.  Banding takes sampled slots together as a band, and two
+bands as a key; texts that share a key are candidates, and the likeness of their
+fingerprints verifies them.  The keys are chosen so that no pair of enough
+likeness is missed.
 
 Defined cases: null is the empty text, whose slots are all ``0``; likeness of
 two empty texts is 1; repeated rows have equal fingerprints; equal ids are
@@ -27,13 +29,15 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foliosearch.llm.components import component_labels
 from foliosearch.session import scratch_path
 
 SLOTS = 64
@@ -46,6 +50,9 @@ CLASSES = 256
 CELLS = 4 << 20
 CHUNK_CHARS = 8 << 20
 BUCKET_ROWS = 8000
+GROUP_ROWS = 20_000
+CHUNK_ROWS = 50_000
+COMPARED = 4 << 20
 
 DIGITS = np.frombuffer(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ-_", np.uint8)
 
@@ -239,32 +246,147 @@ def with_next(
 # -- near texts -----------------------------------------------------------
 
 
-def near_links(prints: DataFrame, bands: int = BANDS, band_slots: int = BAND_SLOTS, least: float = LIKENESS) -> DataFrame:
-    """(a, b, likeness): links of a table (doc_id, fingerprint) that verification confirms.
+def _spanning(prints: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Near pairs (x, y, differing slots) of rows that connect whatever all near pairs connect.
 
-    A band is ``band_slots`` sampled slots.  Rows with equal fingerprints are
-    one class first; a class is compared with the first class of each of its
-    bands, so a band of very many classes costs a row for each.
+    Rows are compared with all later ones, a block at a time, until all are connected.
+    """
+    n, slots = prints.shape
+    columns, labels = np.ascontiguousarray(prints.T), np.arange(n)
+    found: list[np.ndarray] = []
+    at = 0
+    while at < n - 1 and (labels != labels[0]).any():
+        block = slice(at, min(at + max(1, COMPARED // n), n))
+        bits = np.zeros((block.stop - at, n - at), np.uint8)
+        for s in range(slots):
+            bits += columns[s, block, None] != columns[s, None, at:]
+        x, y = np.nonzero(bits <= budget)
+        x, y, bits = x[y > x], y[y > x], bits[x, y][y > x]
+        x, y = x + at, y + at
+        while len(x):  # each label takes one pair that hooks it to a lesser one
+            upper, lower = np.maximum(labels[x], labels[y]), np.minimum(labels[x], labels[y])
+            apart = upper != lower
+            x, y, bits, upper, lower = x[apart], y[apart], bits[apart], upper[apart], lower[apart]
+            hooked, pick = np.unique(upper, return_index=True)
+            found.append(np.stack([x[pick], y[pick], bits[pick]]))
+            parent = np.arange(n)
+            parent[hooked] = lower[pick]
+            while not np.array_equal(higher := parent[parent], parent):
+                parent = higher
+            labels = parent[labels]
+        at = block.stop
+    return tuple(np.concatenate(found, 1)) if found else (np.empty(0, np.int64),) * 3
+
+
+def _links(batches: Iterator[pa.RecordBatch], budget: int) -> Iterator[pa.RecordBatch]:
+    """Verified links within the groups of rows (key, sub, rep, fingerprint) sorted by group."""
+
+    def done(rows: pa.Table) -> pa.RecordBatch:
+        key, sub, rep = (rows.column(c).to_numpy() for c in ("key", "sub", "rep"))
+        listed = rows.column("fingerprint").to_pylist()
+        edge = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (sub[1:] != sub[:-1])]))
+        a, b, like = [], [], []
+        for lo, hi in zip(edge.tolist(), [*edge[1:].tolist(), len(key)]):
+            if hi - lo > 1:
+                prints = np.frombuffer("".join(listed[lo:hi]).encode(), np.uint8).reshape(hi - lo, -1)
+                x, y, bits = _spanning(prints, budget)
+                a.append(rep[lo:hi][x])
+                b.append(rep[lo:hi][y])
+                like.append(1 - bits / prints.shape[1])
+        a, b, like = (np.concatenate(z) if z else np.empty(0) for z in (a, b, like))
+        columns = [pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64()), pa.array(like, pa.float64())]
+        return pa.RecordBatch.from_arrays(columns, names=["a", "b", "likeness"])
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(x.num_rows for x in held) >= CHUNK_ROWS:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            key, sub = rows.column("key").to_numpy(), rows.column("sub").to_numpy()
+            inner = np.flatnonzero((key != key[-1]) | (sub != sub[-1]))
+            cut = int(inner[-1]) + 1 if len(inner) else 0  # the last group may go on
+            if cut:
+                yield done(rows.slice(0, cut))
+            held = rows.slice(cut).to_batches()
+    if held:
+        yield done(pa.Table.from_batches(held))
+
+
+def _band_keys(slots: int, bands: int, band_slots: int, budget: int) -> Column:
+    """An array of longs that two fingerprints share somewhere if at most ``budget`` slots differ.
+
+    Each differing slot spoils one band at most, so ``agree`` bands are equal.
+    The bands are dealt into ``agree`` - 1 sets; two of the equal ones are in one
+    set, and each pair of bands of a set is a key.
+    """
+    agree = bands - budget
+    if agree < 1 or bands * band_slots > slots:
+        raise ValueError(f"{bands} bands of {band_slots} of {slots} slots can't find every pair with {budget} differing")
+    chosen = np.random.default_rng(SEED + 1).permutation(slots)[: bands * band_slots].reshape(bands, band_slots)
+    band = [F.concat(*[F.substring("fingerprint", int(p) + 1, 1) for p in row]) for row in chosen]
+    if agree == 1:
+        together = [(k,) for k in range(bands)]
+    else:
+        together = [pair for k in range(agree - 1) for pair in combinations(range(k, bands, agree - 1), 2)]
+    return F.array(*[F.xxhash64(F.lit(number), *[band[k] for k in some]) for number, some in enumerate(together)])
+
+
+def near_links(
+    classes: DataFrame,
+    slots: int = SLOTS,
+    bands: int = BANDS,
+    band_slots: int = BAND_SLOTS,
+    least: float = LIKENESS,
+    group_rows: int = GROUP_ROWS,
+) -> DataFrame:
+    """(a, b, likeness): verified links of a table (rep, fingerprint) of distinct fingerprints.
+
+    They connect whatever all pairs of at least ``least`` likeness connect: the
+    bands miss none of these, and a group of rows with a common key gives one
+    verified link for each fingerprint it connects, not one for each pair.  A group of more than ``group_rows`` is dealt into parts, and pairs of
+    parts are compared apart.
+    """
+    budget = int((1 - least) * slots + 1e-9)
+    keyed = classes.select(F.explode(_band_keys(slots, bands, band_slots, budget)).alias("key"), "rep", "fingerprint")
+    large = [tuple(r) for r in keyed.groupBy("key").count().where(F.col("count") > group_rows).collect()]  # few: rows / group_rows
+    sub = F.array(F.lit(0).cast("long"))
+    if large:
+        parts = F.create_map(*[F.lit(x) for key, count in large for x in (key, -(-2 * count // group_rows))])[F.col("key")]
+        own = F.pmod(F.xxhash64("fingerprint"), parts)
+        others = F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda k: F.least(k, own) * parts + F.greatest(k, own))
+        sub = F.when(parts.isNotNull(), others).otherwise(sub)
+    dealt = keyed.select("key", F.explode(sub).alias("sub"), "rep", "fingerprint")
+    return (
+        dealt.repartition("key", "sub")
+        .sortWithinPartitions("key", "sub")
+        .mapInArrow(lambda batches: _links(batches, budget), "a long, b long, likeness double")
+    )
+
+
+def near_groups(prints: DataFrame, **options) -> DataFrame:
+    """(fingerprint, component_id) of a table (doc_id, fingerprint): the least doc_id that links reach.
+
+    Rows with equal fingerprints are one class first; null where no row of a
+    group has an id.
     """
     spark = prints.sparkSession
-    classes_path, banded_path, first_path = (scratch_path(spark, f"embedding-{k}") for k in ("classes", "bands", "first"))
-    prints.where("doc_id is not null").groupBy("fingerprint").agg(F.min("doc_id").alias("rep")).write.parquet(classes_path)
+    classes_path, links_path = (scratch_path(spark, f"embedding-{k}") for k in ("classes", "links"))
+    prints.groupBy("fingerprint").agg(F.min("doc_id").alias("rep")).where("rep is not null").write.parquet(classes_path)
     classes = spark.read.parquet(classes_path)
-    slots = classes.select(F.length("fingerprint")).first()
-    chosen = np.random.default_rng(SEED + 1).permutation(max(slots[0] if slots else 0, bands * band_slots))[: bands * band_slots]
-    keys = [
-        F.concat(F.lit(f"{k}:"), *[F.substring("fingerprint", int(p) + 1, 1) for p in chosen[k * band_slots : (k + 1) * band_slots]])
-        for k in range(bands)
-    ]
-    classes.select(F.explode(F.array(*keys)).alias("band"), "rep", "fingerprint").write.parquet(banded_path)
-    banded = spark.read.parquet(banded_path)
-    banded.groupBy("band").agg(F.min_by("fingerprint", "rep").alias("other"), F.min("rep").alias("a"), F.max("rep").alias("last")).where(
-        "a < last"
-    ).drop("last").write.parquet(first_path)
-    pairs = banded.join(spark.read.parquet(first_path), "band").where("rep <> a").select("a", "other", F.col("rep").alias("b"), "fingerprint")
-    same = F.aggregate(
-        F.zip_with(F.split("other", ""), F.split("fingerprint", ""), lambda x, y: F.when(x == y, 1).otherwise(0)),
-        F.lit(0),
-        lambda n, x: n + x,
+    near_links(classes, **options).write.parquet(links_path)
+    labels = component_labels(spark.read.parquet(links_path).select("a", "b"))
+    return classes.join(labels, F.col("rep") == F.col("node"), "left").select(
+        "fingerprint", F.coalesce("label", "rep").alias("component_id")
     )
-    return pairs.distinct().select("a", "b", (same / F.length("other")).alias("likeness")).where(F.col("likeness") >= least)
+
+
+def with_groups(compared: DataFrame, **options) -> DataFrame:
+    """The output of :func:`with_next` with the component of each text's fingerprint."""
+    spark = compared.sparkSession
+    path, named_path = scratch_path(spark, "embedding-compared"), scratch_path(spark, "embedding-components")
+    compared.write.parquet(path)
+    compared = spark.read.parquet(path)
+    near_groups(compared.select("doc_id", "fingerprint"), **options).write.parquet(named_path)
+    named = spark.read.parquet(named_path).withColumnRenamed("fingerprint", "known")
+    return compared.join(named, F.col("fingerprint") == F.col("known"), "left").drop("known")

@@ -206,14 +206,35 @@ def test_few_edits_keep_fingerprints_near(spark):
     assert 1 > op08_edit_embedding.likeness(own, near) > 0.5 > op08_edit_embedding.likeness(own, far)
 
 
-def test_links_are_found_by_bands_and_verified(spark):
+@pytest.mark.parametrize("group_rows", [6, 20_000])
+def test_links_connect_all_near_fingerprints(spark, group_rows):
+    random.seed(9)
+    prints = {"".join(random.choices("ab", k=64)) for _ in range(20)} | {"0" * 64}
+    for centre in sorted(prints)[:6]:
+        for _ in range(15):  # some a little too far, and chains
+            slots = list(centre)
+            for at in random.sample(range(64), random.randint(1, 14)):
+                slots[at] = random.choice("abc")
+            prints.add(centre := "".join(slots))
+    prints = sorted(prints)
+    table = ship_package(spark).createDataFrame(list(enumerate(prints)), "rep long, fingerprint string")
+    links = op08_edit_embedding.near_links(table, group_rows=group_rows).collect()
+    likeness = op08_edit_embedding.likeness
+    assert all(abs(likeness(prints[r.a], prints[r.b]) - r.likeness) < 1e-9 and r.likeness >= 0.8 for r in links)
+    linked = [(x, y) for x in range(len(prints)) for y in range(x) if likeness(prints[x], prints[y]) >= 0.8]
+    assert components(len(prints), [(r.a, r.b) for r in links]) == components(len(prints), linked)
+
+
+def test_groups_of_near_fingerprints(spark):
     one = "a" * 64
-    five = "b" * 5 + one[5:]  # five slots spoil five of the sixteen bands at most
-    half = "c" * 32 + one[32:]
-    table = ship_package(spark).createDataFrame([(4, one), (9, five), (2, half), (7, one), (None, one)], "doc_id long, fingerprint string")
-    assert all(r.likeness >= 0.8 for r in op08_edit_embedding.near_links(table).collect())
-    alone = op08_edit_embedding.near_links(table.where("doc_id <> 2 or doc_id is null")).collect()
-    assert [(r.a, r.b, r.likeness) for r in alone] == [(4, 9, 59 / 64)]
+    five, half = "b" * 5 + one[5:], "c" * 32 + one[32:]
+    rows = [(4, one), (9, five), (2, half), (7, one), (None, one), (None, "d" * 64)]
+    table = ship_package(spark).createDataFrame(rows, "doc_id long, fingerprint string")
+    found = {r.fingerprint: r.component_id for r in op08_edit_embedding.near_groups(table).collect()}
+    assert found == {one: 4, five: 4, half: 2}
+    assert op08_edit_embedding.near_groups(table.where("false")).count() == 0
+    with pytest.raises(ValueError):
+        op08_edit_embedding.near_links(table.withColumnRenamed("doc_id", "rep"), bands=8, band_slots=8)
 
 
 def test_embedding_odd_rows(spark):
