@@ -237,6 +237,15 @@ def test_groups_of_near_fingerprints(spark):
         op08_edit_embedding.near_links(table.withColumnRenamed("doc_id", "rep"), bands=8, band_slots=8)
 
 
+def test_groups_of_the_query_against_brute_force(spark):
+    compared = QUERIES["op8_edit_embedding_fingerprints"](spark, FOLDER)
+    rows = sorted(op08_edit_embedding.with_groups(compared).collect())
+    likeness = op08_edit_embedding.likeness
+    linked = [(x, y) for x in range(len(rows)) for y in range(x) if likeness(rows[x].fingerprint, rows[y].fingerprint) >= 0.8]
+    root = components(len(rows), linked)
+    assert linked and [r.component_id for r in rows] == [rows[k].doc_id for k in root]
+
+
 def test_embedding_odd_rows(spark):
     rows = op08_edit_embedding.with_next(docs_of(spark, [None, "", "abc", "abc", "zz"], [5, 6, 7, 7, None])).collect()
     told = {(r.doc_id, r.n_chars): r for r in rows}
