@@ -129,6 +129,31 @@ def test_suffix_tree_is_a_distribution_and_retains_what_diverges(spark):
     assert len(strict.cost) == strict.classes < len(tree.cost)
 
 
+def test_a_larger_corpus_keeps_the_contexts_of_rare_words(spark):
+    def kept(times):
+        symbols, offsets = op02_suffix_tree.spelled([[b"aa", b"ab", b"ba"], [b"xy", b"xz", b"yx"]])
+        grams = op02_suffix_tree.gram_keys(symbols, offsets, 2, 10)
+        rows = [(int(g), 1000 if k >= offsets[1] else times) for k, g in enumerate(grams)]
+        rare = spark.createDataFrame(rows, "gram long, n long").groupBy("gram").sum("n").toDF("gram", "n")
+        return {r.key >> 8 for r in op02_suffix_tree.retained(rare, 2, op02_suffix_tree.GAIN).where("depth = 1").collect()}
+
+    assert {ord("x"), ord("y")} <= kept(1_000_000_000)
+    assert kept(1000) <= kept(1_000_000_000)
+
+
+def test_a_tree_met_by_joins_scores_like_a_held_one(spark, monkeypatch):
+    texts = ["ab ab ab ab ab ac", "the cat and the dog", None, "", "  ", "Zé ab"] * 20 + ["unseen Ω bytes %d" % k for k in range(40)]
+    held = {r.doc_id: r for r in op02_suffix_tree.score(docs_of(spark, texts)).collect()}
+    monkeypatch.setattr(op02_suffix_tree, "HELD_CELLS", 0)
+    monkeypatch.setattr(op02_suffix_tree, "BLOCK_TOKENS", 50)
+    joined = {r.doc_id: r for r in op02_suffix_tree.score(docs_of(spark, texts)).collect()}
+    assert len(held) == len(joined) == len(texts)
+    for k, row in held.items():
+        assert joined[k][:5] == row[:5]
+        assert joined[k].base_score == pytest.approx(row.base_score) and joined[k].score == pytest.approx(row.score, abs=1e-2)
+    assert op02_suffix_tree.score(docs_of(spark, [])).count() == 0
+
+
 def test_suffix_tree_of_odd_rows(spark):
     rows = op02_suffix_tree.score(docs_of(spark, [None, "", " \t", "a b", "a b"])).collect()
     assert sorted(r.n_tokens for r in rows) == [1, 1, 1, 3, 3]
