@@ -13,6 +13,14 @@ that loses none: for each template terms are taken, those of everyday English
 last, until what is left of it is shorter than ``least``; a line with none of
 these terms can't reach it.
 
+A file is compared in the same way by larger parts with ``documents``: full licence texts, standard headers, SPDX tags and the
+short notices, with weights of their own.  Its parts are the whole text, its runs
+of comment lines and of other lines, its paragraphs (also between blank comment
+lines), and its sentences, wrapped or not.  The best part counts (ties: the first
+name) if no line states a licence, or if it is nearer to a text or header than the
+best line to its template.  Only parts that have a word of ``LEGAL`` are compared, as all of these
+documents have.
+
 A licence file (its name is in ``LICENCE_FILES``) gives its licence to its
 directory; of several in one, the best cosine counts, then the first path.  A
 file without a licence of its own inherits that of the nearest directory
@@ -28,8 +36,10 @@ table gives an empty table; other columns of the input are not looked at.
 
 from __future__ import annotations
 
+import functools
 import math
 import re
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,6 +64,97 @@ TEMPLATES = {
 }
 
 
+LEGAL = r"(?i)licen[cs]|copyright|permi(?:ssion|tted)|redistribut|warrant|spdx"
+
+#: Words at the start of a comment line.
+MARK = r"[ \t]*(?://|#|/?\*|--|;|%|<!--|rem\b)"
+
+_MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to
+whom the Software is furnished to do so, subject to the following conditions:"""
+_MIT_REST = """The above copyright notice and this permission notice shall be included in all copies or substantial portions
+of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
+COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,
+ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+_BSD_THIRD = """
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission.
+"""
+_BSD_REST = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL,
+EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF
+USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT
+LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED
+OF THE POSSIBILITY OF SUCH DAMAGE."""
+_ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+granted, provided that the above copyright notice and this permission notice appear in all copies."""
+_ISC_REST = """THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE
+INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL,
+DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN
+AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
+THIS SOFTWARE."""
+_APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance
+with the License."""
+_APACHE_REST = """You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS
+IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
+language governing permissions and limitations under the License."""
+_MPL = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+
+
+def _gnu(name: str, version: str) -> tuple[str, str]:
+    """The first sentence of a GNU header, and the whole."""
+    first = f"""This program is free software; you can redistribute it and/or modify it under the terms of the GNU {name} as
+published by the Free Software Foundation; either version {version} of the License, or (at your option) any later version."""
+    rest = f"""This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
+implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details. You should
+have received a copy of the GNU {name} along with this program. If not, see https://www.gnu.org/licenses/."""
+    return first, f"{first}\n\n{rest}"
+
+
+@functools.cache
+def documents() -> dict[str, str]:
+    """Licence texts, headers and tags: the name is the licence's, a ``#`` and what it is."""
+    out = {f"{name}#notice": text for name, text in TEMPLATES.items()}
+    out |= {f"{p.stem}#text": p.read_text() for p in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))}
+    gnu = {"GPL-2.0": ("General Public License", "2"), "GPL-3.0": ("General Public License", "3")}
+    gnu |= {"LGPL-2.1": ("Lesser General Public License", "2.1"), "LGPL-3.0": ("Lesser General Public License", "3")}
+    for licence, (name, version) in gnu.items():
+        out[f"{licence}#first"], out[f"{licence}#header"] = _gnu(name, version)
+    out |= {"MIT#first": _MIT, "MIT#text": f"{_MIT}\n\n{_MIT_REST}", "ISC#first": _ISC, "ISC#text": f"{_ISC}\n\n{_ISC_REST}"}
+    out |= {"BSD-2-Clause#text": _BSD + _BSD_REST, "BSD-3-Clause#text": _BSD + _BSD_THIRD + _BSD_REST}
+    out |= {"Apache-2.0#first": _APACHE, "Apache-2.0#header": f"{_APACHE}\n\n{_APACHE_REST}", "MPL-2.0#header": _MPL}
+    licences = sorted({name.split("#")[0] for name in out})
+    return out | {f"{licence}#tag": f"SPDX-License-Identifier: {licence}" for licence in licences}
+
+
+def parts_of(text: Column) -> Column:
+    """The whole text, its runs of comment and other lines, its paragraphs and its sentences."""
+    text = F.regexp_replace(text, "\r\n?", "\n")
+    turns = rf"(?im)(?<=\n|^)({MARK}[^\n]*)\n(?!{MARK})|(?<=\n|^)((?!{MARK})[^\n]*)\n(?={MARK})"
+    runs = F.split(F.regexp_replace(text, turns, "$1$2\u0001"), "\u0001")
+    paragraphs = F.flatten(F.transform(runs, lambda run: F.split(run, r"\n[ \t/*#;%-]*(?=\n)")))
+    sentences = F.flatten(F.transform(paragraphs, lambda p: F.split(p, r"(?<=[.;!?])\s+")))
+    return F.array_distinct(F.flatten(F.array(F.array(text), runs, paragraphs, sentences)))
+
+
 def terms_of(text: str) -> set[str]:
     """Distinct terms: runs of a-z, 0-9 and dots inside, lower-cased."""
     return set(re.findall(r"[a-z0-9]+(?:\.[a-z0-9]+)*", text.lower()))
@@ -84,11 +185,23 @@ def signs(templates: dict[str, str], least: float) -> list[str]:
 
 def line_licences(files: DataFrame, least: float, templates: dict[str, str]) -> DataFrame:
     """(path, text_key, licence, cosine): the best licence line of each file that has one."""
+    pattern = r"(?i)(?<![a-z0-9])(?:" + "|".join(re.escape(t) for t in signs(templates, least)) + r")(?![a-z0-9])"
+    return _best(files, F.split("text", "\n"), pattern, least, templates)
+
+
+def part_licences(files: DataFrame, least: float, templates: dict[str, str]) -> DataFrame:
+    """The same for the best part of each file; also whether a licence text or header is near it (``long``)."""
+    best = _best(files, parts_of(F.col("text")), LEGAL, least, templates)
+    return best.withColumns(
+        {"licence": F.substring_index("licence", "#", 1), "long": F.substring_index("licence", "#", -1).isin("text", "header", "first")}
+    )
+
+
+def _best(files: DataFrame, parts: Column, pattern: str, least: float, templates: dict[str, str]) -> DataFrame:
     weight, other = weights(templates)
     names = sorted(templates)
     of = {name: terms_of(templates[name]) for name in names}
-    pattern = r"(?i)(?<![a-z0-9])(?:" + "|".join(re.escape(t) for t in signs(templates, least)) + r")(?![a-z0-9])"
-    lines = files.where(F.col("text").rlike(pattern)).select("path", "text_key", F.posexplode(F.split("text", "\n")).alias("line", "words"))
+    lines = files.where(F.col("text").rlike(pattern)).select("path", "text_key", F.posexplode(parts).alias("line", "words"))
     terms = F.array_distinct(F.regexp_extract_all(F.lower("words"), F.lit(r"([a-z0-9]+(?:\.[a-z0-9]+)*)"), F.lit(1)))
     norm = {name: math.sqrt(sum(weight[t] ** 2 for t in of[name])) for name in names}
     # A line of which the terms of no template alone are longer than this is too far from all.
@@ -144,8 +257,18 @@ def scan(
     )
     found_path, told_path = scratch_path(spark, "licence-lines"), scratch_path(spark, "licence-files")
     line_licences(rows, least, templates).write.parquet(found_path)
-    found = spark.read.parquet(found_path).select(
-        F.col("path").alias("p"), F.col("text_key").alias("k"), F.col("cosine"), F.col("licence").alias("own_licence")
+    by_line, parts_path = spark.read.parquet(found_path), scratch_path(spark, "licence-parts")
+    part_licences(rows.where(F.col("text").rlike(LEGAL)), least, documents()).write.parquet(parts_path)
+    told_line = by_line.select(F.col("path").alias("p"), F.col("text_key").alias("k"), F.col("cosine").alias("c"), F.col("licence").alias("by_line"))
+    both = spark.read.parquet(parts_path).join(
+        told_line, F.col("path").eqNullSafe(F.col("p")) & (F.col("text_key") == F.col("k")), "full"
+    )
+    part = F.col("c").isNull() | (F.col("long") & (F.col("cosine") > F.col("c")))
+    found = both.select(
+        F.coalesce("path", "p").alias("p"),
+        F.coalesce("text_key", "k").alias("k"),
+        F.when(part, F.col("cosine")).otherwise(F.col("c")).alias("cosine"),
+        F.when(part, F.col("licence")).otherwise(F.col("by_line")).alias("own_licence"),
     )
     told = rows.select("path", "text_key").distinct().join(found, F.col("path").eqNullSafe(F.col("p")) & (F.col("text_key") == F.col("k")), "left")
     told.select("path", "text_key", "own_licence", "cosine", directory(F.col("path")).alias("folder")).write.parquet(told_path)

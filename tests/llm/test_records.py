@@ -47,6 +47,30 @@ def test_licences_are_inherited_from_the_nearest_directory(spark):
     assert op03_licenses.scan(files.where("false")).count() == 0
 
 
+def test_licences_are_compared_as_documents(spark):
+    full = op03_licenses.documents()
+    wrapped = "/*\n * " + full["GPL-3.0#header"].replace("\n", "\n * ") + "\n */\nint main() { return 0; }\n"
+    cases = {
+        "mit": ("Some Project\n\nCopyright (c) 2024 A. Author\n\n" + full["MIT#text"], "MIT"),
+        "body": (full["MIT#first"].replace("\n", " "), "MIT"),
+        "bsd3": ("Copyright 2020 B\n\n" + full["BSD-3-Clause#text"], "BSD-3-Clause"),
+        "bsd2": ("Copyright 2020 B\n\n" + full["BSD-2-Clause#text"], "BSD-2-Clause"),
+        "isc": (full["ISC#text"], "ISC"),
+        "gpl": (full["GPL-3.0#text"], "GPL-3.0"),
+        "lgpl": (full["LGPL-3.0#text"], "LGPL-3.0"),
+        "wrapped": (wrapped, "GPL-3.0"),
+        "tag": ("// SPDX-License-Identifier: MIT\nint x;", "MIT"),
+        "tag2": ("# SPDX-License-Identifier: Apache-2.0\nimport os", "Apache-2.0"),
+        "apache": (full["Apache-2.0#first"].replace("\n", " ") + "\ncode", "Apache-2.0"),
+        "sentence": ("Copyright (c) 2024 A. Author. Released under the MIT License.", "MIT"),
+        "crlf": (wrapped.replace("\n", "\r\n"), "GPL-3.0"),
+        "other": ("SPDX-License-Identifier: Zlib", None),
+        "prose": ("The driver lost their licence and had no permission to redistribute the warranty.", None),
+    }
+    files = spark.createDataFrame([(k, v[0]) for k, v in cases.items()], "path string, text string")
+    assert {r.path: r.own_licence for r in op03_licenses.scan(files).collect()} == {k: v[1] for k, v in cases.items()}
+
+
 # -- tool calls -----------------------------------------------------------
 
 CALLS = "conv_id long, turn long, call_id string, tool string, arguments string, after array<string>"
