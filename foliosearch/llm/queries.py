@@ -19,6 +19,9 @@ from foliosearch.llm import (
     op08_edit_embedding,
     op09_warc,
     op10_decontaminate,
+    op11_hard_negatives,
+    op12_mixing,
+    op13_periodic,
 )
 from foliosearch.session import scratch_path, ship_package
 
@@ -232,6 +235,111 @@ FROM calls c FULL JOIN answers a ON c.conv_id = a.conv_id AND c.turn = a.call_tu
 """
 
 
+# -- hard negatives -------------------------------------------------------
+
+
+@query
+def op11_hard_negatives_lemp(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return op11_hard_negatives.hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+ORACLE["op11_hard_negatives_lemp"] = """
+WITH sound AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM sound a JOIN sound b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+ranked AS (
+  SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS rank,
+    other_id AS negative_id, positive_score, score AS negative_score
+  FROM positives p JOIN scores n ON n.anchor_id = p.anchor_id AND NOT n.same
+    AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3
+"""
+
+
+# -- mixing ---------------------------------------------------------------
+
+
+@query
+def op12_mixing_to_weights(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text", "source")
+    planned = op12_mixing.plan_mix(documents)
+    return planned.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+ORACLE["op12_mixing_to_weights"] = f"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents),
+sums AS (SELECT source, CAST(sum(size) AS BIGINT) AS tokens FROM sized GROUP BY source),
+weighted AS (
+  SELECT source, tokens, {op12_mixing.MOST} * tokens AS most, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight FROM sums),
+placed AS (
+  SELECT *, (SELECT sum(tokens) FROM weighted) - coalesce(sum(most) OVER before, 0) AS tokens_left,
+    (SELECT sum(weight) FROM weighted) - coalesce(sum(weight) OVER before, 0) AS weight_left
+  FROM weighted WINDOW before AS (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (
+  SELECT tokens_left, weight_left FROM placed WHERE tokens_left * weight <= most * weight_left ORDER BY weight_left DESC LIMIT 1),
+targets AS (
+  SELECT source, tokens, CASE WHEN most * weight_left < tokens_left * weight THEN CAST(most AS DOUBLE)
+    ELSE CAST(tokens_left * weight AS DOUBLE) / CAST(weight_left AS DOUBLE) END AS target FROM weighted, level),
+rates AS (
+  SELECT doc_id, size, tokens, target, CASE WHEN tokens > 0 THEN target / CAST(tokens AS DOUBLE) ELSE 0.0 END AS rate,
+    CAST(CAST('0x' || substr(md5('{op12_mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, {op12_mixing.DIGITS}) AS BIGINT) AS DOUBLE)
+      / {float(16**op12_mixing.DIGITS)!r} AS number
+  FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source)
+SELECT doc_id, size, tokens AS source_size, target,
+  CAST(size * (floor(rate) + CASE WHEN number < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM rates
+"""
+
+
+# -- periodic runs --------------------------------------------------------
+
+
+def with_repeats(documents: DataFrame) -> DataFrame:
+    """(doc_id, text), where every tenth document, by a hash of its id, ends in repeats of a stretch of its words."""
+    number = F.crc32(F.col("doc_id").cast("string"))
+    chosen = number % 10 == 0
+    words = F.when(chosen, F.regexp_extract_all("text", F.lit(op12_mixing.WORD), F.lit(0)))
+    rows = documents.select("doc_id", "text", words.alias("words"), F.floor(number / 10).alias("g"))
+    n = F.size("words")
+    rows = rows.withColumn("a", F.when(n > 0, F.col("g") % n).cast("int"))
+    rest = n - F.col("a")
+    rows = rows.withColumn("p", (F.floor(rest / (F.col("g") % 8 + 3)) + 1).cast("int"))
+    stretch = F.slice("words", F.col("a") + 1, F.col("p"))
+    repeats = F.slice(F.flatten(F.array_repeat(stretch, F.ceil(rest / F.col("p")).cast("int"))), F.lit(1), rest)
+    changed = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), repeats), " ")
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), changed).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    found = op13_periodic.find_runs(with_repeats(documents))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("before"), (-r.period).alias("short"))))
+    lines = F.transform("runs", lambda r: F.concat(r.start, F.lit(","), r.length, F.lit(","), r.period, F.lit("\n")))
+    found = found.select("doc_id", "runs", best.alias("best"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    length, period = F.col("best.length"), -F.col("best.short")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.before")).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.expr("1000 * best.length div -best.short").alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return _pipeline()(spark, folder)
