@@ -8,7 +8,7 @@ than the bound is a group of its own.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +57,31 @@ def row_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
+def free_names(taken: Iterable[str], *wanted: str) -> list[str]:
+    """Names like those wanted that no column has, in whatever letter case."""
+    names, used = [], {name.lower() for name in taken}
+    for name in wanted:
+        while name.lower() in used:
+            name = "_" + name
+        used.add(name.lower())
+        names.append(name)
+    return names
+
+
+def column_at(columns: list[str], name: str) -> int:
+    """Where a column is, found as Spark finds it: the letter case doesn't matter."""
+    return columns.index(name) if name in columns else [c.lower() for c in columns].index(name.lower())
+
+
+def set_aside(df: DataFrame, names: Iterable[str]) -> tuple[DataFrame, list[str]]:
+    """The table with its columns of these names renamed, and the new names of all its columns."""
+    taken = {name.lower() for name in names}
+    clash = [c for c in df.columns if c.lower() in taken]
+    spare = dict(zip(clash, free_names([*df.columns, *taken], *["own"] * len(clash))))
+    renamed = [spare.get(c, c) for c in df.columns]
+    return df.toDF(*renamed), renamed
+
+
 def without(df: DataFrame, names: list[str]) -> DataFrame:
     """The table without columns of these names, in whatever letter case."""
     taken = {name.lower() for name in names}

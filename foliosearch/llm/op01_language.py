@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliosearch.llm.batches import append_columns, groups, text_bytes
+from foliosearch.llm.batches import append_columns, column_at, free_names, groups, set_aside, text_bytes
 from foliosearch.llm.contexts import gram_keys, longest_contexts, node_sums
 
 ORDER = 3
@@ -111,19 +111,23 @@ def build(names: np.ndarray, gram: np.ndarray, n: np.ndarray, order: int, contex
     copies = np.ones(classes)
     copies[-2:] = max(256 - len(seen), 1), 0  # how many bytes a class stands for
 
-    # Contexts of each length by how often they came, over all languages; the
+    # Of each language its most frequent contexts, of equals the shorter: the
     # suffixes of a context come at least as often, so they are kept with it.
-    kept: list[tuple[int, np.ndarray]] = []
+    kept: list[tuple[np.ndarray, np.ndarray]] = []
     for length in range(1, order + 1):
-        context = (gram >> 8) & ((1 << 8 * length) - 1)
-        values, where = np.unique(context, return_inverse=True)
-        kept.append((length, np.stack([values, np.bincount(where, weights=n).astype(np.int64)])))
-    counts = np.concatenate([t[1] for _, t in kept])
-    least = np.sort(counts)[::-1][min(contexts, len(counts)) - 1] if len(counts) else 0
+        values, where = np.unique((gram >> 8) & ((1 << 8 * length) - 1), return_inverse=True)
+        often = np.zeros((len(values), len(languages)), np.int64)
+        np.add.at(often, (where, lang), n)
+        kept.append((values, often))
+    often, lengths = np.concatenate([t for _, t in kept]), np.repeat(np.arange(order), [len(v) for v, _ in kept])
+    taken = np.zeros(len(often), bool)
+    for k in range(len(languages)):
+        best = np.lexsort((lengths, -often[:, k]))[:contexts]
+        taken[best[often[best, k] > 0]] = True
     node_of: list[tuple[np.ndarray, int]] = [(np.zeros(1, np.int64), 0)]
     nodes = 1
-    for _, table in kept:
-        values = table[0][table[1] > least] if len(counts) > contexts else table[0]
+    for length, (values, _) in enumerate(kept):
+        values = values[taken[lengths == length]]
         node_of.append((values, nodes))
         nodes += len(values)
 
@@ -217,9 +221,10 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
         rest = docs.select(*[f"`{c}`" for c in docs.columns if c.lower() not in names])
         return rest.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
     known = docs.sparkSession.sparkContext.broadcast(model)
-    lettered = docs.withColumn("__lettered", has_letter(text))
-    place = [c.lower() for c in lettered.columns if c.lower() not in {f.name.lower() for f in FIELDS}]
-    text_at, letter_at = place.index(text.lower()), place.index("__lettered")
+    (mark,) = free_names([*docs.columns, *FIELDS.names], "lettered")
+    lettered = docs.withColumn(mark, has_letter(text))
+    place = [c for c in lettered.columns if c.lower() not in FIELDS.names]
+    text_at, letter_at = column_at(place, text), place.index(mark)
 
     def compute(batch: pa.RecordBatch) -> list:
         model = known.value
@@ -239,7 +244,7 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
         lettered = batch.column(letter_at).to_numpy(zero_copy_only=False)
         return [np.where(lettered, names[best], UNKNOWN).tolist(), np.where(lettered, score, 0.0)]
 
-    return append_columns(lettered, FIELDS, compute).drop("__lettered")
+    return append_columns(lettered, FIELDS, compute).drop(mark)
 
 
 def held_out(id_: str = "doc_id", folds: int = 5, fold: int = 0) -> Column:
@@ -259,5 +264,6 @@ def identify(docs: DataFrame, **options) -> DataFrame:
 
 def keep_identified(docs: DataFrame, **options) -> DataFrame:
     """The documents in a learned language, with their own columns."""
-    found = identify(docs, **options).where(F.col("lang_pred") != UNKNOWN)
-    return found.select(*[f"`{c}`" for c in docs.columns if c.lower() not in {f.name.lower() for f in FIELDS}])
+    rows, names = set_aside(docs, FIELDS.names)
+    found = identify(rows, **options).where(F.col("lang_pred") != UNKNOWN)
+    return found.select(*[F.col(f"`{name}`").alias(c) for name, c in zip(names, docs.columns)])

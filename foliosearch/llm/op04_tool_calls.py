@@ -17,7 +17,9 @@ Needed ids that no call of the conversation has are no constraint.
 
 Arguments are valid if they are a JSON object without repeated keys, of a known
 tool, every required parameter is there and not null, and every parameter is known
-and of its kind: string, integer, number, boolean, array or object.
+and of its kind: string, integer, number, boolean, array or object.  A schema row
+without a parameter only says that there is the tool, one without a kind allows
+any; a parameter listed with several kinds may have each.
 
 Each row is serialised as canonical JSON: keys sorted, no spaces, numbers in
 their shortest form, the arguments likewise.
@@ -142,16 +144,17 @@ def _parsed(arguments: str) -> Column:
 def validated(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     """``calls`` with valid, a boolean; schemas are one row for each tool beside them."""
     by_tool = schemas.groupBy(F.col("tool").alias("known_tool")).agg(
-        F.map_from_entries(F.collect_set(F.struct("param", "kind"))).alias("kinds"),
+        F.collect_set(F.when(F.col("param").isNotNull(), F.struct("param", "kind"))).alias("kinds"),
         F.collect_set(F.when(F.col("required"), F.col("param"))).alias("required"),
     )
     entries = F.map_entries(F.col("given"))
-    fits = F.forall(
-        entries,
-        lambda e: (_kind(e["value"]) == F.col("kinds")[e["key"]])
-        | ((_kind(e["value"]) == "integer") & (F.col("kinds")[e["key"]] == "number"))
-        | ((_kind(e["value"]) == "null") & F.array_contains(F.map_keys("kinds"), e["key"])),
-    )
+
+    def allows(given: Column, param: Column) -> Column:
+        kind = _kind(given["value"])
+        like = (param["kind"] == kind) | ((kind == "integer") & (param["kind"] == "number"))
+        return (param["param"] == given["key"]) & ((kind == "null") | param["kind"].isNull() | like)
+
+    fits = F.forall(entries, lambda e: F.exists("kinds", lambda k: allows(e, k)))
     there = F.transform(F.filter(entries, lambda e: _kind(e["value"]) != "null"), lambda e: e["key"])
     complete = F.size(F.array_except("required", there)) == 0
     joined = calls.withColumn("given", _parsed("arguments")).join(by_tool, F.col("tool") == F.col("known_tool"), "left")

@@ -12,7 +12,9 @@ units and their place relative to the fingerprint are a key, whose first
 occurrence is its least (document, position).  Adjacent windows continue each
 other, so their union is the match as far as it reaches, against all
 earlier texts at once.  A line that stands in very many documents costs a row
-for each, never a pair.  Keys are 128 bits: fingerprint and window hash.
+for each, never a pair.  Units are compared by BLAKE2b digests: a key holds 64 bits
+of the fingerprint's and 64 of the window's, so no text is deleted for
+another one that somebody could find.
 
 Lines that lie wholly in windows seen before are deleted where they make a run
 of at least ``least_words`` words; a text of which only blank lines are left goes.
@@ -26,6 +28,7 @@ empty table gives an empty table.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +38,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliosearch.llm.batches import append_columns, groups, text_bytes
-from foliosearch.llm.wordhash import range_hashes, word_ranges
+from foliosearch.llm.batches import append_columns, column_at, free_names, groups, text_bytes
+from foliosearch.llm.wordhash import word_ranges
 from foliosearch.session import discard, scratch_path
 
 WINDOW = 2
@@ -73,7 +76,22 @@ class Units:
         self.rows = np.append(first_unit, len(self.line))[self.line_rows]
 
 
-def marks_of(units: np.ndarray, rows: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+DIGEST = 16
+
+
+def digests_of(raw: bytes, starts: np.ndarray, ends: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """64 bits for each unit, and for each ``window`` units that follow each other."""
+    units = b"".join(
+        hashlib.blake2b(raw[s:e], digest_size=DIGEST).digest() for s, e in zip(starts.tolist(), ends.tolist())
+    )
+    last = len(units) - window * DIGEST
+    windows = b"".join(
+        hashlib.blake2b(units[at : at + window * DIGEST], digest_size=8).digest() for at in range(0, last + 1, DIGEST)
+    )
+    return np.frombuffer(units, np.uint64)[:: DIGEST // 8], np.frombuffer(windows, np.uint64)
+
+
+def marks_of(units: np.ndarray, keys: np.ndarray, rows: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions of the fingerprints, and for each the hashes of the windows around it.
 
     Column ``k`` is the window that starts ``k`` units before; 0 where the row
@@ -88,10 +106,6 @@ def marks_of(units: np.ndarray, rows: np.ndarray, window: int) -> tuple[np.ndarr
     pick = window - 1 - stack[:, ::-1].argmin(axis=1)
     chosen = np.zeros(n, bool)
     chosen[(np.arange(n - window + 1) + pick)[whole]] = True
-    keys = np.zeros(n - window + 1, np.uint64)
-    for k in range(window):
-        keys = (keys ^ stack[:, k]) * np.uint64(0x9E3779B97F4A7C15)
-        keys ^= keys >> np.uint64(29)
     keys = np.where(whole, keys | np.uint64(1), np.uint64(0)).view(np.int64)
     at = np.flatnonzero(chosen)
     out = np.zeros((len(at), window), np.int64)
@@ -111,8 +125,8 @@ def fingerprints(docs: DataFrame, window: int, long_words: int) -> DataFrame:
                 part = offsets[lo : hi + 1] - offsets[lo]
                 raw = data[offsets[lo] : offsets[hi]]
                 units = Units(raw, part, long_words)
-                hashes = range_hashes(raw, units.start, units.end)
-                at, keys = marks_of(hashes, units.rows, window)
+                hashes, windows = digests_of(raw.tobytes(), units.start, units.end, window)
+                at, keys = marks_of(hashes, windows, units.rows, window)
                 row = np.searchsorted(units.rows, at, side="right") - 1
                 rows = pa.array(row + lo)
                 yield pa.RecordBatch.from_arrays(
@@ -189,12 +203,13 @@ def drop_repeated_lines(
     spark = docs.sparkSession
     path = scratch_path(spark, "lines-later")
     repeated_windows(marks).write.parquet(path)
-    later = spark.read.parquet(path).select(F.col("id").alias("__id"), F.col("text_key").alias("__key"), F.col("starts").alias("__starts"))
-    joined = docs.withColumn("__own", key).join(
-        later, F.col(id_).cast("long").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__key")), "left"
+    of_id, of_key, found, own, made = free_names(docs.columns, "id", "key", "starts", "own", "cut")
+    later = spark.read.parquet(path).select(F.col("id").alias(of_id), F.col("text_key").alias(of_key), F.col("starts").alias(found))
+    joined = docs.withColumn(own, key).join(
+        later, F.col(id_).cast("long").eqNullSafe(F.col(of_id)) & (F.col(own) == F.col(of_key)), "left"
     )
-    marked = joined.drop("__id", "__key", "__own")
-    text_at, starts_at = marked.columns.index(text), marked.columns.index("__starts")
+    marked = joined.drop(of_id, of_key, own)
+    text_at, starts_at = column_at(marked.columns, text), marked.columns.index(found)
 
     def compute(batch: pa.RecordBatch) -> list:
         texts, starts = batch.column(text_at).cast(pa.string()), batch.column(starts_at)
@@ -205,9 +220,10 @@ def drop_repeated_lines(
         ]
         return [pc.replace_with_mask(texts, hit, pa.array(cut, pa.string()))]
 
-    cut = append_columns(marked, T.StructType([T.StructField("__cut", T.StringType())]), compute)
-    cut = cut.where(F.col("__cut").isNotNull() | F.col("__starts").isNull())
-    new = {text: F.col("__cut")}
-    if length in docs.columns:
-        new[length] = F.when(F.col("__starts").isNull(), F.col(f"`{length}`")).otherwise(F.length("__cut")).cast(docs.schema[length].dataType)
+    cut = append_columns(marked, T.StructType([T.StructField(made, T.StringType())]), compute)
+    cut = cut.where(F.col(made).isNotNull() | F.col(found).isNull())
+    new = {docs.columns[column_at(docs.columns, text)]: F.col(made)}
+    if length and length.lower() in [c.lower() for c in docs.columns]:
+        length = docs.columns[column_at(docs.columns, length)]
+        new[length] = F.when(F.col(found).isNull(), F.col(f"`{length}`")).otherwise(F.length(made)).cast(docs.schema[length].dataType)
     return cut.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])

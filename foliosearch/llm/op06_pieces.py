@@ -13,7 +13,11 @@ they don't overlap; then it compacts the array.  Rounds end when no pair is
 left.  Merging all pairs of a rank at once gives the library's result as long
 as no new pair could rank before those that are left: pieces for which a longer
 one ranks as high are known from the vocabulary, and of those only the
-leftmost pair of a word is merged in a round.
+leftmost pair of a word is merged in a round.  A word of more than ``LONG`` symbols
+is merged by itself: its places wait by rank, and a round touches only those of the
+least rank and their neighbours, so a long word takes time by its merges.
+
+Words are compared as they are spelled, not by a hash.
 
 Characters without a piece become the pieces of their UTF-8 bytes.
 
@@ -24,6 +28,7 @@ only; repeated rows are encoded alike; an empty table gives an empty table.
 from __future__ import annotations
 
 import hashlib
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,11 +37,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliosearch.llm.batches import groups, text_bytes
-from foliosearch.llm.wordhash import range_hashes
 
 MARK = 0x2581
 NO_RANK = np.int32(1 << 30)
+GONE = np.iinfo(np.int32).min
 GROUP_BYTES = 2 << 20
+LONG = 512  # symbols of a word that is merged by itself
+
+
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(value, start, end) of the runs of equal values."""
+    start = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])[: len(values)])
+    return values[start], start, np.append(start[1:], len(values))
+
+
+def distinct_words(points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For words that make up all ``points``: the number of each, and the first word of each number.
+
+    Words are compared as they are spelled.
+    """
+    offsets = np.append(starts, len(points)) * 4
+    wide = pa.py_buffer(points.astype(np.uint32))
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int64)), wide])
+    which = words.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    first = np.empty(int(which.max(initial=-1)) + 1, np.int64)
+    first[which[::-1]] = np.arange(len(which))[::-1]
+    return which, first
 
 
 class Pieces:
@@ -78,6 +104,8 @@ class Pieces:
                         alone[part] = True
         keys = np.array(left, np.uint64) << np.uint64(32) | np.array(right, np.uint64)
         self.alone = alone
+        self.alone_rank = np.zeros(len(order), bool)
+        self.alone_rank[self.rank[np.flatnonzero(alone)]] = True
         self._pair_table(keys, np.array(made, np.int32))
 
         # Characters: id of the piece, else -1 and the bytes' pieces later.
@@ -144,6 +172,83 @@ class Pieces:
 
     # -- merge rounds -----------------------------------------------------
 
+    def merge_words(self, symbols: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All words merged to the end: the short ones together, each long one by itself."""
+        sizes = np.diff(ends, prepend=0)
+        long = sizes > LONG
+        if not long.any():
+            return self.merge(symbols, ends)
+        merged, merged_ends = self.merge(symbols[np.repeat(~long, sizes)], np.cumsum(sizes[~long]))
+        short = iter(np.split(merged, merged_ends[:-1]))
+        parts = [self.merge_long(symbols[e - n : e]) if n > LONG else next(short) for e, n in zip(ends.tolist(), sizes.tolist())]
+        return np.concatenate(parts), np.cumsum([len(x) for x in parts])
+
+    def merge_long(self, symbols: np.ndarray) -> np.ndarray:
+        """The same for one long word, in time by its merges.
+
+        A round handles the places of the least rank there is, and looks up only
+        the pairs around them; places are linked, and wait by rank.
+        """
+        symbols, n = symbols.copy(), len(symbols)
+        after, before = np.arange(1, n + 2), np.arange(-1, n)  # place n is the end
+        made = np.full(n + 1, -1, np.int32)
+        made[: n - 1] = self.pair(symbols[:-1], symbols[1:])
+        waiting: dict[int, list] = {}
+        ranks: list[int] = []
+
+        def put(at: np.ndarray) -> None:
+            at = at[made[at] >= 0]
+            rank = self.rank[made[at]]
+            order = np.argsort(rank, kind="stable")
+            at, rank = at[order], rank[order]
+            for r, lo, hi in zip(*(x.tolist() for x in _runs(rank))):
+                if r not in waiting:
+                    waiting[r] = []
+                    heapq.heappush(ranks, r)
+                if self.alone_rank[r]:  # place by place, from the left
+                    for place in at[lo:hi].tolist():
+                        heapq.heappush(waiting[r], place)
+                else:
+                    waiting[r].append(at[lo:hi])
+
+        put(np.arange(n - 1))
+        while ranks:
+            r = ranks[0]
+            if self.alone_rank[r]:
+                at = np.empty(0, np.int64)
+                while waiting[r] and not len(at):
+                    place = heapq.heappop(waiting[r])
+                    if made[place] >= 0 and self.rank[made[place]] == r:
+                        at = np.array([place])
+                if not waiting[r]:
+                    heapq.heappop(ranks)
+                    del waiting[r]
+            else:
+                heapq.heappop(ranks)
+                at = np.unique(np.concatenate(waiting.pop(r)))
+                at = at[made[at] >= 0]
+                at = at[self.rank[made[at]] == r]
+                if len(at):  # from the left without overlap
+                    run = np.concatenate([[True], at[1:] != after[at[:-1]]])
+                    first = np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))
+                    at = at[(np.arange(len(at)) - first) % 2 == 0]
+            if not len(at):
+                continue
+            gone = after[at]
+            symbols[at] = made[at]
+            made[gone] = -1
+            after[at] = after[gone]
+            before[after[at]] = at
+            symbols[gone] = GONE
+            touched = np.concatenate([at, before[at]])
+            touched = np.unique(touched[touched >= 0])
+            last = after[touched] >= n
+            made[touched[last]] = -1
+            touched = touched[~last]
+            made[touched] = self.pair(symbols[touched], symbols[after[touched]])
+            put(touched)
+        return symbols[symbols != GONE]
+
     def merge(self, symbols: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Merge the symbols of words (flat; ``ends`` after each word) to the end.
 
@@ -224,9 +329,7 @@ class Pieces:
         starts = np.flatnonzero(begins)
         ends = np.append(starts[1:], len(points))
         # Each distinct word once.
-        wide = points.astype(np.uint32).view(np.uint8)
-        hashes = range_hashes(wide, starts * 4, ends * 4)
-        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        which, first = distinct_words(points, starts)
         sizes = ends[first] - starts[first]
         flat = np.repeat(starts[first] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(int(sizes.sum()))
         ids, word_ends = self._encode_words(points[flat], np.cumsum(sizes))
@@ -240,7 +343,7 @@ class Pieces:
         symbols = self.char[np.minimum(points, len(self.char) - 1)]
         strange = symbols < 0
         symbols = np.where(strange, -1 - points, symbols).astype(np.int32)  # keeps the character
-        symbols, ends = self.merge(symbols, ends)
+        symbols, ends = self.merge_words(symbols, ends)
         if not (symbols < 0).any():
             return symbols, ends
         # Bytes of the characters without a piece.

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliosearch.llm.batches import groups, text_bytes
+from foliosearch.llm.batches import free_names, groups, text_bytes
 from foliosearch.llm.components import component_labels, local_labels
 from foliosearch.session import discard, scratch_path
 
@@ -283,12 +283,13 @@ def near_duplicates(
     )
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
+def keep_one(docs: DataFrame, id_: str = "doc_id", **options) -> DataFrame:
     """One row for each component: that of its least doc_id, with all columns.
 
     Rows without a doc_id can't be told apart and stay as they are.
     """
-    found = near_duplicates(docs, **options)
-    stays = found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    kept = docs.join(stays, F.col("doc_id") == F.col("__kept"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    found = near_duplicates(docs, id_=id_, **options)
+    (least,) = free_names(docs.columns, "least")
+    stays = found.where("doc_id = component_id").select(F.col("doc_id").alias(least)).distinct()
+    kept = docs.join(stays, F.col(id_).cast("long") == F.col(least), "left_semi").dropDuplicates([id_])
+    return kept.unionByName(docs.where(F.col(id_).isNull()))

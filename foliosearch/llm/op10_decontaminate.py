@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliosearch.llm.batches import ASCII_LOWER, append_columns, groups, row_sums, text_bytes, without
+from foliosearch.llm.batches import ASCII_LOWER, append_columns, column_at, free_names, groups, row_sums, set_aside, text_bytes, without
 from foliosearch.llm.wordhash import word_table
 from foliosearch.session import discard, scratch_path
 
@@ -53,6 +53,7 @@ HITS = T.StructType(
         T.StructField("hit_words", T.BinaryType()),
     ]
 )
+CLASHING = [*HITS.names, "hit_words_before", "items_before"]
 
 
 def place_hashes(size: int) -> np.ndarray:
@@ -149,7 +150,7 @@ def _scan(df: DataFrame, text: str, block, earlier: bool) -> DataFrame:
     if earlier:  # read what was found so far, and write it anew
         df = df.withColumnsRenamed({"hit_words": "hit_words_before", "items": "items_before"})
     names = without(df, HITS.names).columns
-    place, before = names.index(text), [names.index(c) for c in ("hit_words_before", "items_before")] if earlier else []
+    place, before = column_at(names, text), [names.index(c) for c in ("hit_words_before", "items_before")] if earlier else []
 
     def compute(batch: pa.RecordBatch) -> list:
         known = _built(block.value)
@@ -190,6 +191,7 @@ def find_hits(
     in an occurrence of a test window.
     """
     spark = docs.sparkSession
+    docs = without(docs, CLASHING)
     path = scratch_path(spark, "test-windows")
     cost = F.sum(F.length("words") + 64 + F.coalesce(F.expr("aggregate(items, 0L, (n, x) -> n + length(x) + 16)"), F.lit(0)))
     test_windows(items, item, item_text, size).write.parquet(path)
@@ -220,11 +222,11 @@ def report(hits: DataFrame) -> DataFrame:
     )
 
 
-def clean_documents(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+def clean_documents(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
     """The documents without any hit, with their own columns."""
-    marked = find_hits(docs, items, **options)
-    own = [f"`{c}`" for c in docs.columns if c not in HITS.names]
-    return marked.where(F.col("n_hit") == 0).select(*own)
+    rows, names = set_aside(docs, CLASHING)
+    clean = find_hits(rows, items, text=names[column_at(docs.columns, text)], **options).where(F.col("n_hit") == 0)
+    return clean.select(*[F.col(f"`{name}`").alias(c) for name, c in zip(names, docs.columns)])
 
 
 def remove_spans(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
@@ -233,8 +235,11 @@ def remove_spans(docs: DataFrame, items: DataFrame, text: str = "text", **option
     A run of hit words goes with what stands between its words; what stands
     before its first and after its last word stays.
     """
-    marked = find_hits(docs, items, text=text, **options)
-    places = [marked.columns.index(c) for c in (text, "n_hit", "hit_words")]
+    rows, names = set_aside(docs, CLASHING)
+    text = names[column_at(docs.columns, text)]
+    marked = find_hits(rows, items, text=text, **options)
+    places = [column_at(marked.columns, c) for c in (text, "n_hit", "hit_words")]
+    (made,) = free_names(marked.columns, "cut")
 
     def compute(batch: pa.RecordBatch) -> list:
         texts, counts, bits = (batch.column(p) for p in places)
@@ -252,9 +257,9 @@ def remove_spans(docs: DataFrame, items: DataFrame, text: str = "text", **option
             out.append(value)
         return [out]
 
-    result = append_columns(marked, T.StructType([T.StructField("__cut", T.StringType())]), compute)
-    own = [F.col("__cut").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c not in HITS.names]
-    return result.select(*own)
+    result = append_columns(marked, T.StructType([T.StructField(made, T.StringType())]), compute)
+    changed = column_at(names, text)
+    return result.select(*[F.col(made if k == changed else f"`{name}`").alias(c) for k, (name, c) in enumerate(zip(names, docs.columns))])
 
 
 def items_digest(items: list[str]) -> str:

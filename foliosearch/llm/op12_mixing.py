@@ -37,6 +37,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from foliosearch.llm.batches import free_names
 from foliosearch.session import discard, scratch_path
 
 SEED = "mix"
@@ -128,17 +129,6 @@ def _copies(id_: Column, size: str, target: str, seed: str) -> Column:
     return F.floor(rate) + F.when(unit_number(id_, seed) < rate - F.floor(rate), 1).otherwise(0)
 
 
-def _free_names(taken: Sequence[str], *wanted: str) -> list[str]:
-    """Names that no column has, in whatever letter case."""
-    names, used = [], {name.lower() for name in taken}
-    for name in wanted:
-        while name.lower() in used:
-            name = "_" + name
-        used.add(name.lower())
-        names.append(name)
-    return names
-
-
 def plan_mix(
     docs: DataFrame,
     text: str = "text",
@@ -175,7 +165,7 @@ def mix(
     """
     sizes = docs.select(F.col(source).cast("string").alias("source"), word_count(F.col(text).cast("string")).alias("size"))
     sources = source_targets(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
-    of, own_size, target, copy = _free_names(docs.columns, "of", "source_size", "target", "copy")
+    of, own_size, target, copy = free_names(docs.columns, "of", "source_size", "target", "copy")
     spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "targets")
     sources.select(F.col("source").alias(of), F.col("source_size").alias(own_size), F.col("target").alias(target)).write.parquet(path)
     rows = docs.join(spark.read.parquet(path), F.col(source).cast("string").eqNullSafe(F.col(of)))

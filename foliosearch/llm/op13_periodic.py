@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from foliosearch.llm.batches import append_columns, groups, text_bytes
+from foliosearch.llm.batches import append_columns, column_at, groups, text_bytes
 from foliosearch.llm.wordhash import word_ranges
 
 LEAST = 12
@@ -335,7 +335,7 @@ def find_runs(docs: DataFrame, text: str = "text", least: int = LEAST) -> DataFr
     is the words without those that a run holds after its first period, joined by
     one space.
     """
-    at = [c.lower() for c in docs.columns if c.lower() not in FIELDS.names].index(text.lower())
+    at = column_at([c for c in docs.columns if c.lower() not in FIELDS.names], text)
 
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
         data, offsets = text_bytes(batch.column(at).cast(pa.large_string()))

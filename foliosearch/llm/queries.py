@@ -181,7 +181,8 @@ SCHEMAS = [
 def as_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results that turns stand for: an assistant's turn calls, a later turn of another role answers.
 
-    A call's arguments tell of its text; some lack a parameter and some have one of another kind.
+    A call needs the one two turns before, and every third also the one four turns
+    before.  Its arguments tell of its text; some lack a parameter and some have one of another kind.
     """
     size = F.length("text")
     words = F.when(size % 11 == 0, F.concat(F.lit('"'), size, F.lit('"'))).otherwise(size.cast("string"))
@@ -193,7 +194,12 @@ def as_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.concat(F.lit("c"), F.col("turn")).alias("call_id"),
         F.when(F.col("turn") % 3 == 0, "fetch").otherwise("search").alias("tool"),
         arguments.alias("arguments"),
-        F.array(F.concat(F.lit("c"), F.col("turn") - 2)).alias("after"),
+        F.array_compact(
+            F.array(
+                F.concat(F.lit("c"), F.col("turn") - 2),
+                F.when(F.col("turn") % 3 == 0, F.concat(F.lit("c"), F.col("turn") - 4)),
+            )
+        ).alias("after"),
     )
     results = turns.where("role <> 'assistant' and turn > 0").select(
         "conv_id", "turn", F.concat(F.lit("c"), F.col("turn") - 1).alias("call_id"), F.col("text").alias("content")
@@ -212,11 +218,12 @@ ORACLE["op4_tool_call_linking"] = """
 WITH RECURSIVE told AS (
   SELECT conv_id, turn, min(text) AS text, length(min(text)) AS size
   FROM conversations WHERE role = 'assistant' GROUP BY conv_id, turn),
-chain AS (
-  SELECT t.conv_id, t.turn, 0 AS rank FROM told t
-  WHERE NOT EXISTS (SELECT 1 FROM told b WHERE b.conv_id = t.conv_id AND b.turn = t.turn - 2)
-  UNION ALL
-  SELECT t.conv_id, t.turn, c.rank + 1 FROM chain c JOIN told t ON t.conv_id = c.conv_id AND t.turn = c.turn + 2),
+paths AS (
+  SELECT conv_id, turn, 0 AS rank FROM told
+  UNION
+  SELECT t.conv_id, t.turn, p.rank + 1 FROM paths p JOIN told t ON t.conv_id = p.conv_id
+    AND (t.turn = p.turn + 2 OR (t.turn = p.turn + 4 AND t.turn % 3 = 0))),
+chain AS (SELECT conv_id, turn, max(rank) AS rank FROM paths GROUP BY conv_id, turn),
 answers AS (
   SELECT conv_id, turn - 1 AS call_turn, turn, min(text) AS content
   FROM conversations WHERE role <> 'assistant' AND turn > 0 GROUP BY conv_id, turn),
