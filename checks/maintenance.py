@@ -348,3 +348,81 @@ def m1_vanished_repository(spark, folder):
     index = _table(spark, folder)
     index.reindex("ALL", source(spark, folder).where(F.col(m.REPOSITORY) != "default"), "default")
     return shown(index.read())
+
+
+@query(content_sql(APPLIED_SQL, *STREAM_VIEWS))
+def x1_batches_in_reverse(spark, folder):
+    """The commands in three batches, the newest first, each with older and newer ones of a document."""
+    told = commands(spark.read.parquet(f"{folder}/events.parquet"))
+    index = _table(spark, folder)
+    for part in (2, 0, 1):
+        batch = told.where(F.pmod(F.floor(F.col("seq") / 2), F.lit(3)) == part)
+        index.apply_commands(batch, source(spark, folder), f"part {part}", recursive=False)
+        if part == 0:
+            index.compact()
+    return shown(index.read())
+
+
+@query(
+    """
+    SELECT 2 * event_id AS seq, event_type AS type, 'doc-' || (event_id // 9) AS uuid, 'unknown type' AS reason, 'events' AS batch
+    FROM events WHERE event_type NOT IN ('error', 'purchase')
+    """
+)
+def x1_rejected_commands(spark, folder):
+    index = _table(spark, folder)
+    for _ in range(2):
+        index.apply_commands(commands(spark.read.parquet(f"{folder}/events.parquet")), source(spark, folder), "events", recursive=False)
+    return index.rejects().select("seq", "type", F.col("docId").alias("uuid"), "reason", "batch")
+
+
+# Some documents without a repository; no rebuild of one may touch them.
+NULLS_SQL = """
+SELECT CASE WHEN doc_id % 13 = 0 THEN NULL ELSE repository END AS repository, uuid, path, primary_type, ancestor_ids, title, doc_id
+FROM content WHERE doc_id % 3 = 0
+"""
+NULLS_VIEWS = [
+    ("whole", NULLS_SQL),
+    ("fresh", "SELECT * FROM whole WHERE doc_id % 11 <> 5"),
+    ("older", "SELECT * REPLACE ('old ' || title AS title) FROM whole WHERE doc_id % 7 <> 3"),
+]
+NULLS_SHOWN = f"repository, uuid, {sort_key('title')} AS title_lowercase"
+
+
+def _nulls_sql(replaced, gone=None):
+    return content_sql(
+        f"""
+        SELECT {NULLS_SHOWN} FROM older WHERE ({gone or replaced}) IS NOT TRUE
+          AND (uuid NOT IN (SELECT uuid FROM fresh WHERE {replaced}))
+        UNION ALL SELECT {NULLS_SHOWN} FROM fresh WHERE {replaced}
+        """,
+        *NULLS_VIEWS,
+    )
+
+
+def _with_nulls(spark, folder, kind, **more):
+    number = _number()
+    rows = content(spark, folder).where(number % 3 == 0)
+    rows = rows.withColumn(m.REPOSITORY, F.when(number % 13 != 0, F.col(m.REPOSITORY)))
+    index = IndexTable(spark, scratch_path(spark, "index"))
+    index.create(rows.where(number % 7 != 3).withColumn(m.TITLE, F.concat(F.lit("old "), F.col(m.TITLE))))
+    index.reindex(kind, rows.where(number % 11 != 5), "default", **more)
+    return index.read().select(
+        F.col(m.REPOSITORY).alias("repository"), F.col(m.UUID).alias("uuid"), F.col(m.TITLE_LOWERCASE).alias("title_lowercase")
+    )
+
+
+@query(_nulls_sql("repository = 'default'"))
+def m1_documents_without_a_repository(spark, folder):
+    return _with_nulls(spark, folder, "ALL")
+
+
+@query(_nulls_sql("false", "repository = 'default' AND list_contains(ancestor_ids, '/src0')"))
+def m2_documents_without_a_repository(spark, folder):
+    """No document is the root, so its subtree goes, but for those of no repository."""
+    return _with_nulls(spark, folder, "ROOT", root_id="/src0")
+
+
+@query(_nulls_sql("repository = 'default' AND primary_type = 'File'", "false"))
+def m3_documents_without_a_repository(spark, folder):
+    return _with_nulls(spark, folder, "QUERY", predicate=p.equals(m.PRIMARY_TYPE, "File"))

@@ -97,15 +97,33 @@ def by_document(df: DataFrame, keep: list[str]) -> DataFrame:
     A text is several times smaller than its postings, each of which repeats the
     document's key.  So the text is what is shuffled, once; groupings by document
     that follow find its terms together.  The number of partitions is explicit,
-    since adaptive execution would size them by the small text, not by the work.
+    since adaptive execution would size them by the small text, not by the work; it
+    follows the size of the input.
     """
     spark = df.sparkSession
     partitions = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        2 * spark.sparkContext.defaultParallelism,
+        -(-_known_bytes(df) // TEXT_BYTES),
     )
     return df.repartition(partitions, *keep)
 
 
+# Bytes of text that one task analyses.
+TEXT_BYTES = 64 << 20
+
+
+# A table whose size Spark doesn't know counts as larger than this.
+UNKNOWN_BYTES = 1 << 60
+
+
+def _known_bytes(df: DataFrame) -> int:
+    """The size of the files and tables that ``df`` is made of, as far as Spark knows it."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(k).stats().sizeInBytes()) for k in range(leaves.size())]
+    return sum(size for size in sizes if size < UNKNOWN_BYTES)
+
+
 def postings(terms: DataFrame, keep: list[str]) -> DataFrame:
     """``(*keep, term, tf)`` from a table of terms: how often a document has each.
 

@@ -93,6 +93,17 @@ def fulltext_match(query: FullTextQuery, terms: str) -> Column:
     return F.exists(F.array(column), condition)
 
 
+def position_flags(query: FullTextQuery) -> tuple[list[Column], Column]:
+    """Aggregates over a document's terms, one for each position of a query, and the
+    condition on them that makes the document match."""
+    found: dict[tuple, str] = {}
+    for clause in query.required + query.excluded:
+        for position in clause:
+            found.setdefault(tuple(position), f"position_{len(found)}")
+    flags = [F.max(F.col("term").isin(*position)).alias(name) for position, name in found.items()]
+    return flags, _matches(query, lambda position: F.col(found[tuple(position)]))
+
+
 def fulltext_keys(terms: DataFrame, keep: list[str], query: FullTextQuery) -> DataFrame:
     """Keys of the documents that match, from a term or posting table.
 
@@ -101,18 +112,14 @@ def fulltext_keys(terms: DataFrame, keep: list[str], query: FullTextQuery) -> Da
     the shuffle.  Needs at least one required word; ``search_fulltext`` takes
     queries of exclusions only.
     """
-    found: dict[tuple, str] = {}
-    for clause in query.required + query.excluded:
-        for position in clause:
-            found.setdefault(tuple(position), f"position_{len(found)}")
     if not query.required:
         return terms.select(*keep).where(F.lit(False))
-    flags = [F.max(F.col("term").isin(*position)).alias(name) for position, name in found.items()]
+    flags, matches = position_flags(query)
     return (
         terms.where(F.col("term").isin(*query.all_terms))
         .groupBy(*keep)
         .agg(*flags)
-        .where(_matches(query, lambda position: F.col(found[tuple(position)])))
+        .where(matches)
         .select(*keep)
     )
 

@@ -24,9 +24,19 @@ CHANGE = "change_type"
 
 COMMAND_SCHEMA = "seq bigint, type string, docId string, repo string, recurse boolean, sync boolean"
 
+# A command's text where it could not be read, and why a command is refused.
+UNREADABLE = "unreadable"
+REASON = "reason"
+
+# The order of commands on a document; the newest one counts, in whatever batch it came.
+ORDER = "command_order"
+RECURSIVE = "recursive"
+NUMBER_SCHEMA = f"`{m.REPOSITORY}` string, `{m.UUID}` string, {ORDER} bigint, {RECURSIVE} boolean"
+
 
 def _in_repository(repository: str) -> Column:
-    return F.col(m.REPOSITORY) == repository
+    """Never null, so its negation takes the documents without a repository."""
+    return F.col(m.REPOSITORY).eqNullSafe(F.lit(repository))
 
 
 def _in_subtree(root_id: str) -> Column:
@@ -99,58 +109,118 @@ def query_changes(source: DataFrame, repository: str, predicate: Column) -> Data
     return selected.withColumn(CHANGE, F.lit(INSERT))
 
 
+def checked_commands(commands: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Commands to apply, and those to refuse with the reason."""
+    unreadable = F.col(UNREADABLE).isNotNull() if UNREADABLE in commands.columns else F.lit(False)
+    reason = (
+        F.when(unreadable, "unreadable")
+        .when(F.col("type").isNull() | ~F.col("type").isin(INSERT, DELETE), "unknown type")
+        .when(F.col("docId").isNull(), "no document")
+        .when(F.col("repo").isNull(), "no repository")
+        .when(F.col("seq").isNull(), "no number")
+    )
+    judged = commands.withColumn(REASON, reason)
+    return judged.where(F.col(REASON).isNull()).drop(REASON, UNREADABLE), judged.where(F.col(REASON).isNotNull())
+
+
+def _order(kind: Column) -> Column:
+    """Numbers as one order: of a deletion and an insertion with one number, the
+    insertion comes later.  The type rides in the lowest bit."""
+    return F.col("seq") * 2 + (kind == INSERT).cast("long")
+
+
+def _recursive_roots(commands: DataFrame, kind: str) -> DataFrame:
+    """``(repository, root, order)`` of the recursive commands of one type, the newest of each root."""
+    return (
+        commands.where((F.col("type") == kind) & F.col("recurse"))
+        .groupBy(F.col("repo").alias(m.REPOSITORY), F.col("docId").alias("root"))
+        .agg(F.max(_order(F.lit(kind))).alias(ORDER))
+    )
+
+
 def _targets(df: DataFrame, commands: DataFrame, kind: str) -> DataFrame:
-    """``(key, seq)``: the documents of ``df`` that recursive commands reach.
+    """``(key, order)``: the documents of ``df`` that recursive commands reach.
 
     Ancestors are exploded from narrow rows only and met with the commands by
     equality; Catalyst broadcasts the commands when they are few.
     """
-    roots = commands.where((F.col("type") == kind) & F.col("recurse")).select(
-        F.col("repo").alias(m.REPOSITORY), F.col("docId").alias("root"), F.col("seq")
-    ).groupBy(m.REPOSITORY, "root").agg(F.max("seq").alias("seq"))
     members = df.select(*m.KEY, F.explode(m.ANCESTOR_IDS).alias("root"))
-    return members.join(roots, [m.REPOSITORY, "root"]).select(*m.KEY, "seq")
-
+    return members.join(_recursive_roots(commands, kind), [m.REPOSITORY, "root"]).select(*m.KEY, ORDER)
 
-def newest_commands(
-    commands: DataFrame, source: DataFrame, index: DataFrame, recursive: bool = True
-) -> DataFrame:
-    """``(key, type)``: the newest command of each document.
 
-    Commands of any other type than the two, null included, change nothing.
+def newest_commands(commands: DataFrame, source: DataFrame, index: DataFrame, recursive: bool = True) -> DataFrame:
+    """``(key, command_order, recursive, type)``: the newest command of each document.
 
     A recursive deletion also reaches what the index holds below its document, a
     recursive insertion what the source holds.  A side without such a command is
-    not searched; ``recursive=False`` promises that there is none.
+    not searched; ``recursive=False`` promises that there is none.  Roots of
+    recursive deletions come once more, with ``recursive``: what they reach later
+    is not known yet.
     """
     commands = commands.where(F.col("type").isin(INSERT, DELETE))
     direct = commands.select(
-        F.col("repo").alias(m.REPOSITORY), F.col("docId").alias(m.UUID), "seq", "type"
+        F.col("repo").alias(m.REPOSITORY), F.col("docId").alias(m.UUID), _order(F.col("type")).alias(ORDER), F.lit(False).alias(RECURSIVE)
     )
     kinds = {row.type for row in commands.where("recurse").select("type").distinct().collect()} if recursive else set()
     for kind, rows in ((DELETE, index), (INSERT, source)):
         if kind in kinds:  # one of the two names
-            direct = direct.unionByName(_targets(rows, commands, kind).select("*", F.lit(kind).alias("type")))
-    # The type rides in the lowest bit of the number, which keeps this a hash
-    # aggregate with one partial row per document and task: a document with a
-    # third of all commands gathers nowhere.
-    numbered = F.col("seq") * 2 + (F.col("type") == INSERT).cast("long")
-    newest = direct.groupBy(*m.KEY).agg(F.max(numbered).alias("newest"))
-    return newest.select(*m.KEY, F.when(F.col("newest") % 2 == 1, INSERT).otherwise(DELETE).alias("type"))
+            direct = direct.unionByName(_targets(rows, commands, kind).withColumn(RECURSIVE, F.lit(False)))
+    if DELETE in kinds:
+        roots = _recursive_roots(commands, DELETE).withColumnRenamed("root", m.UUID)
+        direct = direct.unionByName(roots.withColumn(RECURSIVE, F.lit(True)))
+    # A hash aggregate with one partial row per document and task: a document
+    # with a third of all commands gathers nowhere.
+    newest = direct.groupBy(*m.KEY, RECURSIVE).agg(F.max(ORDER).alias(ORDER))
+    kind = F.when(F.col(ORDER) % 2 == 1, INSERT).otherwise(DELETE)
+    return newest.select(*m.KEY, ORDER, RECURSIVE, kind.alias("type"))
+
+
+def newest_numbers(numbers: DataFrame) -> DataFrame:
+    """The order of the newest command that each document has had, by rows of several batches."""
+    return numbers.groupBy(*m.KEY, RECURSIVE).agg(F.max(ORDER).alias(ORDER))
+
+
+def fresh_commands(newest: DataFrame, numbers: DataFrame) -> DataFrame:
+    """The newest commands without those that come after a newer one, or a second time.
+
+    The batch is the small side; of the numbers only the batch's documents are grouped.
+    """
+    named = numbers.join(newest.select(*m.KEY, RECURSIVE), [*m.KEY, RECURSIVE], "left_semi")
+    known = newest_numbers(named).withColumnRenamed(ORDER, "known")
+    joined = newest.join(known, [*m.KEY, RECURSIVE], "left")
+    return joined.where(F.col("known").isNull() | (F.col(ORDER) > F.col("known"))).drop("known")
+
+
+def overruled(found: DataFrame, newest: DataFrame, roots: DataFrame) -> DataFrame:
+    """Keys of documents whose insertion is older than the recursive deletion of an ancestor.
+
+    ``roots`` has the recursive deletions of earlier batches.  The ancestors are those
+    of the documents to insert, not of the whole source.
+    """
+    own = newest.where(~F.col(RECURSIVE)).select(*m.KEY, F.col(ORDER).alias("own"))
+    below = found.select(*m.KEY, F.explode(m.ANCESTOR_IDS).alias("root")).join(own, m.KEY)
+    gone = roots.select(m.REPOSITORY, F.col(m.UUID).alias("root"), F.col(ORDER).alias("gone"))
+    return below.join(gone, [m.REPOSITORY, "root"]).where("gone > own").select(*m.KEY).distinct()
 
 
 def command_changes(
-    newest: DataFrame, source: DataFrame, prepare: Callable[[DataFrame], DataFrame] | None = None
+    newest: DataFrame,
+    source: DataFrame,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+    roots: DataFrame | None = None,
 ) -> DataFrame:
     """Row changes for the newest commands.
 
     Every named document is deleted; one to index is inserted as the source has
-    it now.  So a document that is gone from the source stays deleted.
-    ``prepare`` adds index columns, to the named documents only.
+    it now.  So a document that is gone from the source stays deleted, and one
+    below a root that a newer command deleted (``roots``) too.  ``prepare`` adds
+    index columns, to the named documents only.
     """
-    wanted = newest.where(F.col("type") == INSERT).select(*m.KEY)
-    found = source.join(wanted, m.KEY, "left_semi")
-    return _changes(newest, prepare(found) if prepare else found)
+    named = newest.where(~F.col(RECURSIVE)) if RECURSIVE in newest.columns else newest
+    found = source.join(named.where(F.col("type") == INSERT).select(*m.KEY), m.KEY, "left_semi")
+    if roots is not None:
+        found = found.join(overruled(found, newest, roots), m.KEY, "left_anti")
+    return _changes(named, prepare(found) if prepare else found)
 
 
 def newest_insertions(changes: DataFrame) -> DataFrame:

@@ -46,6 +46,19 @@ def sort_orders(df: DataFrame, keys: Sequence[SortKey] = ()) -> list[Column]:
     return [*orders, *[F.col(name).asc() for name in (m.UUID, m.REPOSITORY) if name in df.columns]]
 
 
+def sort_columns(df: DataFrame, keys: Sequence[SortKey]) -> list[str]:
+    """The columns of ``df`` that the keys sort by, other than the document's key."""
+    names = []
+    for name, _ in keys:
+        if name.lower() == m.TITLE:
+            names += [m.TITLE_LOWERCASE] if m.TITLE_LOWERCASE in df.columns else [m.TITLE]
+        elif name.startswith(m.RECORD_VARIABLES + "."):
+            names += [m.VARIABLES_LOWERCASE] if m.VARIABLES_LOWERCASE in df.columns else [m.RECORD_VARIABLES]
+        else:
+            names.append(name)
+    return [name for name in dict.fromkeys(names) if name in df.columns and name not in m.KEY]
+
+
 def sort_hits(df: DataFrame, keys: Sequence[SortKey] = ()) -> DataFrame:
     return df.orderBy(*sort_orders(df, keys))
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from foliosearch import model as m
 from foliosearch.operators.analysis import analyze_fields, by_document, postings
+from foliosearch.operators.fulltext import FullTextQuery, position_flags
 
 SCORE_DIGITS = 6
 
@@ -106,6 +107,42 @@ def field_statistics(posted: DataFrame) -> DataFrame:
     return posted.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
 
 
+SIGN = "sign"
+
+
+def net_postings(posted: DataFrame, keep: Sequence[str] = tuple(m.KEY)) -> DataFrame:
+    """Postings that are left when those with sign -1 take away earlier ones.
+
+    Rows are dealt by document, which is the only shuffle here and serves a grouping
+    by document that follows.  There is nothing to combine before it: a posting
+    comes once for each time that its document came or left.
+    """
+    count = F.sum(SIGN)
+    net = (
+        posted.repartition(*keep)
+        .groupBy(*keep, "field", "term")
+        .agg(count.alias("held"), F.sum(F.col("tf") * F.col(SIGN)).alias("tf"), F.sum(F.col("length") * F.col(SIGN)).alias("length"))
+    )
+    return net.where("held > 0").drop("held")
+
+
+def _weighted(posted: DataFrame, statistics: DataFrame, total: int, terms: Sequence[str], keep: Sequence[str], boosts: Mapping[str, float]) -> DataFrame:
+    """Postings of terms with ``weight``; both sides are filtered by the terms at the scan.
+
+    The statistics left hold one row per field and term of the query, which
+    bounds the broadcast.
+    """
+    wanted = F.col("term").isin(*sorted(set(terms))) & F.col("field").isin(*boosts)
+    boost = F.lit(0.0)
+    for name, value in boosts.items():
+        boost = F.when(F.col("field") == name, F.lit(float(value))).otherwise(boost)
+    weight = _weight(F.col("tf"), F.col("df"), F.lit(total), boost, F.col("length"))
+    named = posted.where(wanted)
+    found = net_postings(named, keep) if SIGN in posted.columns else named
+    frequencies = statistics.where(wanted).groupBy("field", "term").agg(F.sum("df").alias("df"))
+    return found.join(F.broadcast(frequencies), ["field", "term"]).withColumn("weight", weight)
+
+
 def score_postings(
     posted: DataFrame,
     statistics: DataFrame,
@@ -116,17 +153,28 @@ def score_postings(
 ) -> DataFrame:
     """``(*keep, score)`` from materialised postings and statistics.
 
-    Both are filtered by the query's terms at the scan.  The statistics left
-    hold one row per field and term of the query, which bounds the broadcast.
+    Postings may have signs, and statistics may come in parts; both are summed.
     """
-    wanted = F.col("term").isin(*sorted(set(terms))) & F.col("field").isin(*boosts)
-    boost = F.lit(0.0)
-    for name, value in boosts.items():
-        boost = F.when(F.col("field") == name, F.lit(float(value))).otherwise(boost)
-    weight = _weight(F.col("tf"), F.col("df"), F.lit(total), boost, F.col("length"))
-    return (
-        posted.where(wanted)
-        .join(F.broadcast(statistics.where(wanted)), ["field", "term"])
-        .groupBy(*keep)
-        .agg(F.round(F.sum(weight), SCORE_DIGITS).alias("score"))
-    )
+    weighted = _weighted(posted, statistics, total, terms, keep, boosts)
+    return weighted.groupBy(*keep).agg(F.round(F.sum("weight"), SCORE_DIGITS).alias("score"))
+
+
+def match_postings(
+    posted: DataFrame,
+    statistics: DataFrame,
+    total: int,
+    keep: Sequence[str],
+    query: FullTextQuery,
+    boosts: Mapping[str, float] = m.FIELD_BOOSTS,
+) -> DataFrame:
+    """``(*keep, score)`` of the documents that match a query, in one reading of the postings.
+
+    Terms that only exclude have no part in the score.
+    """
+    if not query.required:
+        return posted.select(*keep, F.lit(0.0).alias("score")).where(F.lit(False))
+    weighted = _weighted(posted, statistics, total, query.all_terms, keep, boosts)
+    flags, matches = position_flags(query)
+    scored = F.when(F.col("term").isin(*query.required_terms), F.col("weight"))
+    grouped = weighted.groupBy(*keep).agg(F.round(F.sum(scored), SCORE_DIGITS).alias("score"), *flags)
+    return grouped.where(matches).select(*keep, "score")

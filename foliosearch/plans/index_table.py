@@ -5,19 +5,28 @@ A folder holds
     data/n=N       a whole index, or one repository of it, partitioned by
                    repository
     changes/n=N    rows changed since
+    numbers/n=N    the newest command of each document that commands named
+    rejects        commands that were refused, by batch
     commits        one line per finished write, numbered in order
     audit          one line per rebuild
 
 A write goes to a folder of its own and counts once its commit line exists.  So
 a lost executor or driver leaves the last committed state, and nothing is
 overwritten while it is read.  Partial rebuilds write the rows they change, not
-the index; ``compact`` folds those in.  One writer at a time.
+the index; ``compact`` folds those in, and all commit lines into one.  One writer
+at a time.
+
+Commands count by their numbers, not by the batch they come in: a command that
+is older than one already applied to its document changes nothing.  The numbers
+are kept for that, for deleted documents too, and outlast rebuilds.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import logging
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -28,16 +37,21 @@ from pyspark.sql import types as T
 from foliosearch import model as m
 from foliosearch.operators import maintain
 from foliosearch.operators.fields import derive_fields
-from foliosearch.session import discard, scratch_path
+from foliosearch.session import discard, remove, scratch_path
 
 log = logging.getLogger(__name__)
 
 # ``schema`` tells the columns of a version, also where it holds no row and so no file.
-COMMIT_SCHEMA = "n bigint, kind string, repository string, label string, schema string"
+# ``numbers`` is true where the write has a folder of command numbers.
+COMMIT_SCHEMA = "n bigint, kind string, repository string, label string, schema string, numbers boolean"
 AUDIT_SCHEMA = "category string, event string, comment string, principal string, logged_at timestamp"
 
 DATA = "data"
 CHANGES = "changes"
+NUMBERS = "numbers"
+REJECTS = "rejects"
+
+COMPACT = "compact"
 
 REINDEX_TYPES = ("ALL", "ROOT", "QUERY")
 
@@ -65,8 +79,10 @@ class IndexTable:
             return []
         return sorted(lines, key=lambda line: line.n)
 
-    def _commit(self, n: int, kind: str, repository: str | None, label: str, schema: str | None = None) -> None:
-        line = self.spark.createDataFrame([(n, kind, repository, label, schema)], COMMIT_SCHEMA)
+    def _commit(
+        self, n: int, kind: str, repository: str | None, label: str, schema: str | None = None, numbers: bool = False
+    ) -> None:
+        line = self.spark.createDataFrame([(n, kind, repository, label, schema, numbers)], COMMIT_SCHEMA)
         line.coalesce(1).write.mode("append").json(f"{self.path}/commits")
 
     def _next(self) -> int:
@@ -74,9 +90,17 @@ class IndexTable:
 
     # -- read ----------------------------------------------------------------
 
-    def read(self) -> DataFrame:
-        """The index as it stands: what was written whole, and changes since."""
-        commits = self.commits()
+    def version(self) -> int:
+        """The number of the last finished write; 0 without any."""
+        return max((line.n for line in self.commits()), default=0)
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """The index as it stands: what was written whole, and changes since.
+
+        With a ``version``, as it stood after that write, unless ``compact`` has
+        folded it away.
+        """
+        commits = [line for line in self.commits() if version is None or line.n <= version]
         whole = max((line.n for line in commits if line.kind == DATA and line.repository is None), default=0)
         renewed = {
             line.repository: line.n for line in commits if line.kind == DATA and line.repository and line.n > whole
@@ -85,7 +109,8 @@ class IndexTable:
         parts = []
         if whole:
             base = self._data(whole, schemas[whole])
-            parts.append(base.where(~F.col(m.REPOSITORY).isin(*renewed)) if renewed else base)
+            others = F.col(m.REPOSITORY).isNull() | ~F.col(m.REPOSITORY).isin(*renewed)
+            parts.append(base.where(others) if renewed else base)
         for repository, n in renewed.items():
             parts.append(self._data(n, schemas[n]).where(F.col(m.REPOSITORY) == repository))
         if not parts:
@@ -98,10 +123,42 @@ class IndexTable:
             return index
         changes = self.spark.read.parquet(*folders)
         for repository, n in renewed.items():
-            outdated = (F.col(m.REPOSITORY) == repository) & (F.col(maintain.SEQUENCE) < n)
+            outdated = F.col(m.REPOSITORY).eqNullSafe(F.lit(repository)) & (F.col(maintain.SEQUENCE) < n)
             changes = changes.where(~outdated)
         return maintain.apply_changes(index, changes)
 
+    def difference(self, before: int, after: int, columns: Sequence[str]) -> DataFrame:
+        """``(key, *columns, sign)``: what left the index between two versions (-1), and what came (1).
+
+        Only documents that a write between the two names are looked at, and
+        those that are the same on both sides are left out.
+        """
+        lines = [line for line in self.commits() if before < line.n <= after]
+        renewed = sorted({line.repository for line in lines if line.kind == DATA and line.repository})
+        whole = any(line.kind == DATA and not line.repository and line.label != COMPACT for line in lines)
+        folders = [f"{self.path}/{CHANGES}/n={line.n}" for line in lines if line.kind == CHANGES]
+        named = self.spark.read.parquet(*folders).select(*m.KEY).distinct() if folders else None
+        in_renewed = F.coalesce(F.col(m.REPOSITORY).isin(*renewed), F.lit(False)) if renewed else F.lit(False)
+        sides = []
+        for version, sign in ((before, -1), (after, 1)):
+            rows = self.read(version)
+            parts = [rows] if whole else [rows.where(in_renewed)] if renewed else []
+            if named is not None and not whole:
+                parts.append(rows.where(~in_renewed).join(named, m.KEY, "left_semi"))
+            if not parts:
+                parts = [rows.where(F.lit(False))]
+            for part in parts:
+                held = F.struct(*[F.col(f"`{name}`") for name in columns]).alias("held")
+                sides.append(part.select(*m.KEY, held, F.lit(sign).alias("sign")))
+        digest = F.sha2(F.to_json("held", {"ignoreNullFields": "false"}), 256)
+        net = (
+            reduce(DataFrame.unionByName, sides)
+            .groupBy(*m.KEY, digest.alias("digest"))
+            .agg(F.any_value("held").alias("held"), F.sum("sign").cast("int").alias("sign"))
+            .where("sign <> 0")
+        )
+        return net.select(*m.KEY, *[F.col("held").getField(name).alias(name) for name in columns], "sign")
+
     def _data(self, n: int, told: str | None) -> DataFrame:
         """A stored version.  Repository names stay text, even if they look like
         numbers or dates in the folder names they are read from."""
@@ -115,7 +172,7 @@ class IndexTable:
     def _indexed(self, df: DataFrame) -> DataFrame:
         return derive_fields(df, self.language) if self.derive else df
 
-    def _write_data(self, df: DataFrame, label: str, repository: str | None = None) -> None:
+    def _write_data(self, df: DataFrame, label: str, repository: str | None = None, numbers: DataFrame | None = None) -> None:
         """Tasks write the rows they hold into the repositories' folders.  They
         are not shuffled by repository first: that would put a repository with
         most of the rows into one task.  Writing by repository sorts each task's
@@ -130,22 +187,58 @@ class IndexTable:
             .option("maxRecordsPerFile", ROWS_PER_FILE)
             .parquet(f"{self.path}/{DATA}/n={n}")
         )
-        self._commit(n, DATA, repository, label, df.schema.json())
+        self._write_numbers(n, numbers)
+        self._commit(n, DATA, repository, label, df.schema.json(), numbers is not None)
+
+    def _write_numbers(self, n: int, numbers: DataFrame | None) -> None:
+        if numbers is not None:
+            shown = numbers.select(*m.KEY, maintain.ORDER, maintain.RECURSIVE)
+            shown.write.mode("overwrite").parquet(f"{self.path}/{NUMBERS}/n={n}")
 
-    def _write_changes(self, changes: DataFrame, label: str) -> None:
+    def _write_changes(self, changes: DataFrame, label: str, numbers: DataFrame | None = None) -> None:
         """The write's number orders these changes after all earlier ones."""
         n = self._next()
+        self._write_numbers(n, numbers)
         numbered = changes.withColumn(maintain.SEQUENCE, F.lit(n).cast("long"))
         numbered.write.mode("overwrite").parquet(f"{self.path}/{CHANGES}/n={n}")
-        self._commit(n, CHANGES, None, label)
+        self._commit(n, CHANGES, None, label, numbers=numbers is not None)
 
     def create(self, source: DataFrame) -> None:
         """(Re)create the whole index from source documents."""
         self._write_data(self._indexed(source), "create")
 
     def compact(self) -> None:
-        """Fold the changes into a whole index again."""
-        self._write_data(self.read(), "compact")
+        """Fold the changes into a whole index again, the numbers into one table, and
+        the commit lines into one.
+
+        The new line stands for all before it, so they may go one by one.
+        """
+        numbers = self.numbers()
+        self._write_data(self.read(), COMPACT, None, None if numbers is None else maintain.newest_numbers(numbers))
+        last = self.version()
+        read = self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.path}/commits")
+        lines = read.groupBy(F.input_file_name().alias("file")).agg(F.max("n").alias("n")).where(F.col("n") < last)
+        remove(self.spark, [line.file for line in lines.collect()])  # one line per write since the last time
+
+    def numbers(self) -> DataFrame | None:
+        """``(key, command_order, recursive)`` of the commands applied so far; None without any.
+
+        A document may come once for each batch that named it.
+        """
+        told = [line for line in self.commits() if line.numbers]
+        folded = max((line.n for line in told if line.kind == DATA), default=0)
+        folders = [f"{self.path}/{NUMBERS}/n={line.n}" for line in told if line.n >= folded]
+        return self.spark.read.schema(maintain.NUMBER_SCHEMA).parquet(*folders) if folders else None
+
+    def rejects(self) -> DataFrame:
+        """The commands refused so far, with ``reason`` and the ``batch`` they came in."""
+        try:
+            return self.spark.read.parquet(f"{self.path}/{REJECTS}").drop("of")
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            columns = f"{maintain.COMMAND_SCHEMA}, {maintain.UNREADABLE} string, {maintain.REASON} string, batch string"
+            return self.spark.createDataFrame([], columns)
 
     # -- rebuild -------------------------------------------------------------
 
@@ -200,13 +293,30 @@ class IndexTable:
         """Apply a batch of index commands once: a label that is committed already
         was applied already.
 
-        The commands are resolved to a table of keys first.  It is used twice,
-        and as a file it has a known size when its joins are planned.
+        Commands that can't be obeyed go to the rejects, under the batch's label.  Of
+        the others, those that come after a newer one of their document are left
+        out.  What remains is resolved to a table of keys first.  It is used
+        several times, and as a file it has a known size when its joins are planned.
+        A recursive deletion reaches what the index held before its batch, and
+        what older commands of later batches would insert.
         """
         if any(line.label == label for line in self.commits()):
             return
+        sound, refused = maintain.checked_commands(commands)
+        self._write_rejects(refused, label)
         staged = scratch_path(self.spark, "commands")
-        maintain.newest_commands(commands, source, self.read(), recursive).write.parquet(staged)
+        newest, known = maintain.newest_commands(sound, source, self.read(), recursive), self.numbers()
+        (newest if known is None else maintain.fresh_commands(newest, known)).write.parquet(staged)
         newest = self.spark.read.parquet(staged)
-        self._write_changes(maintain.command_changes(newest, source, self._indexed), label)
+        roots = None if known is None else known.where(maintain.RECURSIVE)
+        self._write_changes(maintain.command_changes(newest, source, self._indexed, roots), label, newest)
         discard(self.spark, staged)
+
+    def _write_rejects(self, refused: DataFrame, label: str) -> None:
+        """A folder for each batch that has rejects; a batch that comes again writes the same one."""
+        if refused.isEmpty():
+            return
+        if maintain.UNREADABLE not in refused.columns:
+            refused = refused.withColumn(maintain.UNREADABLE, F.lit(None).cast("string"))
+        folder = hashlib.sha256(label.encode()).hexdigest()[:32]
+        refused.withColumn("batch", F.lit(label)).write.mode("overwrite").parquet(f"{self.path}/{REJECTS}/of={folder}")

@@ -6,13 +6,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from foliosearch import model as m
 from foliosearch.operators.envelope import envelope, page_json
 from foliosearch.operators.facets import Facet, facets
 from foliosearch.operators.fulltext import FullTextQuery
 from foliosearch.operators.hydrate import hydrate
-from foliosearch.operators.page import ALL_ROWS, SortKey, page, page_info, sort_hits, total_matches
+from foliosearch.operators.page import ALL_ROWS, SortKey, page, page_info, sort_columns, sort_hits, total_matches
 from foliosearch.operators.security import acl_filter
 from foliosearch.plans.term_index import TermIndex
 
@@ -48,7 +49,13 @@ class Search:
         return readable if self.terms is None else readable.join(self.terms.ranked(self.fulltext), m.KEY)
 
     def hits(self, df: DataFrame) -> DataFrame:
-        return page(sort_hits(self.matches(df), self.sort), self.page_size, self.page_index)
+        """The page of hits.  Where hits are ranked, only keys, scores and sort columns
+        move until the page is cut; the documents are fetched for it alone."""
+        if self.terms is None or self.page_size == ALL_ROWS:
+            return page(sort_hits(self.matches(df), self.sort), self.page_size, self.page_index)
+        narrow = self.matches(df).select(*m.KEY, "score", *sort_columns(df, self.sort))
+        full = hydrate(narrow, df, self.page_size, self.page_index, self.sort)
+        return full.select(*[F.col(f"`{name}`") for name in (*df.columns, "score")])
 
     def envelopes(self, df: DataFrame) -> DataFrame:
         return envelope(self.hits(df), self.prefixes)

@@ -1,81 +1,186 @@
 """Postings of a corpus on disk, for full-text queries that read little.
 
-A folder holds
+A folder holds, for each finished write n,
 
-    postings      (repository, uuid, field, term, tf, length), sorted by term
-    statistics    (field, term, df), sorted by term
-    corpus        one row: the number of documents
+    postings/n=N      (repository, uuid, field, term, tf, length, sign), sorted by term
+    statistics/n=N    (field, term, df), sorted by term
+    corpus/n=N        one row: the number of documents
+    commits           one line per finished write
 
 A query names its terms as literals, so the scan skips every file and row group
-of other terms, and only hits are shuffled.  Build into a new folder; an index
-that is in use is not overwritten.
+of other terms, and only hits are shuffled.
+
+The first write holds a whole corpus.  ``follow`` brings the postings up to an
+index table by the documents that its writes since then name: the postings of
+what left come with sign -1, of what came with +1, and document frequencies and
+corpus size as differences.  Sums over all writes are those of a fresh build.  A
+write counts once its commit line exists; ``fold`` makes one of all.  One writer at
+a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliosearch import model as m
 from foliosearch.operators.fulltext import FullTextQuery, fulltext_keys
-from foliosearch.operators.relevance import field_postings, field_statistics, score_postings
-from foliosearch.session import discard, scratch_path
+from foliosearch.operators.relevance import field_postings, match_postings, net_postings, score_postings
+from foliosearch.plans.index_table import IndexTable
+from foliosearch.session import discard, remove, scratch_path
+
+# ``whole`` is true for a write that stands for the whole corpus, in place of all before it.
+COMMIT_SCHEMA = "n bigint, followed bigint, whole boolean"
+POSTING_SCHEMA = f"`{m.REPOSITORY}` string, `{m.UUID}` string, field string, term string, tf bigint, length bigint, sign int"
 
 
 class TermIndex:
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        *,
+        fields: Sequence[str] = tuple(m.FIELD_BOOSTS),
+        language: str = "fulltext",
+    ):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.fields = list(fields)
+        self.language = language
+
+    def commits(self) -> list:
+        try:
+            lines = self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.path}/commits").collect()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+        whole = max((line.n for line in lines if line.whole), default=0)
+        return sorted((line for line in lines if line.n >= whole), key=lambda line: line.n)
 
-    def build(self, df: DataFrame, fields: Sequence[str] = tuple(m.FIELD_BOOSTS), language: str = "fulltext") -> None:
-        """Analyse the documents once and lay their postings out by term.
+    # -- write ---------------------------------------------------------------
 
-        The document is part of the range, so that the postings of a term found
-        in every document fill many files.  Ranges are sampled from a written
-        table: sampling the analysis itself would run it twice.
+    def build(self, df: DataFrame, followed: int | None = None) -> None:
+        """Analyse a whole corpus, in place of what there was.
+
+        ``followed`` is the version of the index table that ``df`` is.
         """
+        self._write(df.select(*m.KEY, *self.fields).withColumn("sign", F.lit(1)), followed, whole=True)
+        self._forget_replaced()
+
+    def follow(self, index: IndexTable) -> None:
+        """Bring the postings up to an index table, by the documents changed since the last time.
+
+        Where the table has folded away the version followed last, the corpus is
+        analysed anew.
+        """
+        lines, now = self.commits(), index.version()
+        done = lines[-1].followed if lines else None
+        if done == now:
+            return
+        if done is None or done not in {line.n for line in index.commits()}:
+            self.build(index.read(), now)
+        else:
+            self._write(index.difference(done, now, self.fields), now, whole=False)
+
+    def fold(self) -> None:
+        """One write of all: what has left is no longer stored."""
+        before = self.commits()
         staged = scratch_path(self.spark, "postings")
-        field_postings(df, m.KEY, fields, language).write.parquet(staged)
+        net_postings(self.postings()).withColumn("sign", F.lit(1)).write.parquet(staged)
+        n = before[-1].n + 1
+        self._lay_out(self.spark.read.parquet(staged), n)
+        self.spark.createDataFrame([(self.total(),)], "total bigint").write.mode("overwrite").parquet(f"{self.path}/corpus/n={n}")
+        discard(self.spark, staged)
+        self._commit(n, before[-1].followed, whole=True)
+        self._forget_replaced()
+
+    def _write(self, rows: DataFrame, followed: int | None, whole: bool) -> None:
+        """Rows are (key, *fields, sign).  They are analysed once, and laid out from a
+        written table: sampling ranges of the analysis itself would run it twice."""
+        n = max((line.n for line in self.commits()), default=0) + 1
+        staged, changed = scratch_path(self.spark, "postings"), scratch_path(self.spark, "changed")
+        if not whole:  # a difference is used twice
+            rows.write.parquet(changed)
+            rows = self.spark.read.parquet(changed)
+        field_postings(rows, [*m.KEY, "sign"], self.fields, self.language).write.parquet(staged)
+        self._lay_out(self.spark.read.parquet(staged), n)
+        total = rows.agg(F.coalesce(F.sum("sign"), F.lit(0)).cast("long").alias("total"))
+        total.write.mode("overwrite").parquet(f"{self.path}/corpus/n={n}")
+        for path in (staged, changed):
+            discard(self.spark, path)
+        self._commit(n, followed, whole)
+
+    def _lay_out(self, postings: DataFrame, n: int) -> None:
+        """The document is part of the range, so that the postings of a term found
+        in every document fill many files."""
+        columns = [*m.KEY, "field", "term", F.col("tf").cast("long").alias("tf"), F.col("length").cast("long").alias("length"), "sign"]
+        path = f"{self.path}/postings/n={n}"
         (
-            self.spark.read.parquet(staged)
+            postings.select(*columns)
             .repartitionByRange("term", "field", *m.KEY)
             .sortWithinPartitions("term", "field", *m.KEY)
-            .write.parquet(f"{self.path}/postings")
+            .write.mode("overwrite")
+            .parquet(path)
         )
-        discard(self.spark, staged)
         (
-            field_statistics(self.postings())
+            self.spark.read.schema(POSTING_SCHEMA)
+            .parquet(path)
+            .groupBy("field", "term")
+            .agg(F.sum("sign").cast("long").alias("df"))
             .repartitionByRange("term", "field")
             .sortWithinPartitions("term", "field")
-            .write.parquet(f"{self.path}/statistics")
+            .write.mode("overwrite")
+            .parquet(f"{self.path}/statistics/n={n}")
         )
-        df.agg(F.count(F.lit(1)).alias("total")).write.parquet(f"{self.path}/corpus")
+
+    def _commit(self, n: int, followed: int | None, whole: bool) -> None:
+        line = self.spark.createDataFrame([(n, followed, whole)], COMMIT_SCHEMA)
+        line.coalesce(1).write.mode("append").json(f"{self.path}/commits")
+
+    def _forget_replaced(self) -> None:
+        """Remove the lines that the last whole write has replaced; nobody reads them any more."""
+        first = self.commits()[0].n
+        read = self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.path}/commits")
+        files = read.groupBy(F.input_file_name().alias("file")).agg(F.max("n").alias("n")).where(F.col("n") < first)
+        remove(self.spark, [line.file for line in files.collect()])
+
+    # -- read ----------------------------------------------------------------
+
+    def _read(self, name: str, schema: str) -> DataFrame:
+        folders = [f"{self.path}/{name}/n={line.n}" for line in self.commits()]
+        if not folders:
+            raise ValueError(f"no term index at {self.path}")
+        return self.spark.read.schema(schema).parquet(*folders)
 
     def postings(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/postings")
+        """Signed postings of all writes."""
+        return self._read("postings", POSTING_SCHEMA)
 
     def statistics(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/statistics")
+        """``(field, term, df)`` of each write; their sums are the document frequencies."""
+        return self._read("statistics", "field string, term string, df bigint")
 
     def total(self) -> int:
-        return self.spark.read.parquet(f"{self.path}/corpus").first().total
+        return self._read("corpus", "total bigint").agg(F.sum("total").alias("total")).first().total
 
     def keys(self, query: FullTextQuery) -> DataFrame:
         """Keys of the documents that match a query in any field."""
-        return fulltext_keys(self.postings(), m.KEY, query)
+        named = self.postings().where(F.col("term").isin(*query.all_terms))
+        return fulltext_keys(net_postings(named), m.KEY, query)
 
     def scores(self, query: FullTextQuery, boosts: Mapping[str, float] = m.FIELD_BOOSTS) -> DataFrame:
         """``(*key, score)`` of the documents that hold a term of the query."""
-        return score_postings(
-            self.postings(), self.statistics(), self.total(), m.KEY, query.required_terms, boosts
-        )
+        return score_postings(self.postings(), self.statistics(), self.total(), m.KEY, query.required_terms, boosts)
 
     def ranked(self, query: FullTextQuery, boosts: Mapping[str, float] = m.FIELD_BOOSTS) -> DataFrame:
         """``(*key, score)`` of the documents that match the query.
 
         All required words and none of the excluded ones; a query without
-        required words has no score and finds nothing here.
+        required words has no score and finds nothing here.  Postings are read
+        once: a document's match and its score are decided in one grouping.
         """
-        return self.scores(query, boosts).join(self.keys(query), m.KEY, "left_semi")
+        return match_postings(self.postings(), self.statistics(), self.total(), m.KEY, query, boosts)

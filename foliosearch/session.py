@@ -61,9 +61,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete files or folders, wherever they are stored."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        named = jvm.java.net.URI(path) if ":/" in path else path
+        target = jvm.org.apache.hadoop.fs.Path(named)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a scratch path that is done with; anything else stays."""
     if path.startswith(shared_folder(spark) + "/"):
-        jvm = spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        remove(spark, [path])

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from foliosearch.operators.maintain import COMMAND_SCHEMA
+from foliosearch.operators.maintain import COMMAND_SCHEMA, UNREADABLE
 from foliosearch.plans.index_table import IndexTable
 from foliosearch.session import shared_folder
 
 
 def read_commands(spark, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Commands as JSON lines, dropped into a folder."""
-    reader = spark.readStream.schema(COMMAND_SCHEMA)
+    """Commands as JSON lines, dropped into a folder.  A line that is no command is kept as text, to be rejected."""
+    reader = spark.readStream.schema(f"{COMMAND_SCHEMA}, {UNREADABLE} string").option("columnNameOfCorruptRecord", UNREADABLE)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.json(path)
@@ -29,7 +29,8 @@ def maintain_index(
     recursive: bool = True,
     checkpoint: str | None = None,
 ) -> StreamingQuery:
-    """Start applying commands to ``index``; the newest per document wins.
+    """Start applying commands to ``index``; the newest per document wins, in
+    whatever batch it comes.  Refused commands are kept in ``index.rejects()``.
 
     ``sync=True`` works off what is there, waits and stops; otherwise the query
     goes on in the background, one batch per ``interval``.  A batch that is

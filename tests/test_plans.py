@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foliosearch import model as m
 from foliosearch.functions import predicates as p
+from foliosearch.operators import analysis
 from foliosearch.operators.analysis import analyze, analyzed_terms, document_postings, postings, term_statistics
 from foliosearch.operators.envelope import project_schemas
 from foliosearch.operators.facets import date_histogram_facet, facets, terms_facet
@@ -16,6 +17,7 @@ from foliosearch.operators.page import page, page_info, sort_hits
 from foliosearch.operators.relevance import field_postings, score_text
 from foliosearch.operators.security import acl_filter
 from foliosearch.plans.index_table import IndexTable
+from foliosearch.plans.search import Search
 from foliosearch.plans.term_index import TermIndex
 from foliosearch.sources.content import content, in_repository, table
 
@@ -157,6 +159,9 @@ def test_term_index_reads_the_terms_of_the_query_only(spark, tmp_path):
     scores = index.scores(fulltext_query(spark, "then attion"))
     filters = pushed(scores)
     assert len(filters) == 2 and all("In(term, [attion,then])" in text for text in filters)
+    matched = plan(index.ranked(fulltext_query(spark, "then attion -thre")))
+    assert matched.count("/postings/") == 1, "the match and the score of a document are decided together"
+    assert matched.count("Exchange hashpartitioning") == 1 + matched.count("/statistics/")
     assert "BroadcastHashJoin" in plan(scores) and "NestedLoop" not in plan(scores)
 
 
@@ -195,3 +200,44 @@ def test_reads_after_rebuilds_prune_columns_and_push_filters(spark, tmp_path):
     assert any("EqualTo(`dc:title`,x)" in filters for filters, _ in changed)
     assert "max_by" not in plan(found)
     spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def exchanged(text):
+    """The columns of what each shuffle moves, by name."""
+    return [set(re.findall(r"([\w:]+)#\d+", line)) for line in re.findall(r"Exchange (?:hash|range)partitioning.*\n(.*)", text)]
+
+
+def test_a_ranked_search_moves_keys_scores_and_sort_columns(spark, index, tmp_path):
+    """With the ranked side too large to broadcast."""
+    terms = TermIndex(spark, str(tmp_path / "terms"))
+    terms.build(index.read())
+    search = Search(
+        predicate=p.state_is_not("deleted"),
+        fulltext=fulltext_query(spark, "then attion"),
+        terms=terms,
+        principals=["members"],
+        sort=[(m.TITLE, True)],
+        page_size=5,
+    )
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        narrow = search.matches(index.read()).select(*m.KEY, "score", m.TITLE_LOWERCASE)
+        moved = set().union(*exchanged(plan(narrow)))
+        text = plan(search.hits(index.read()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert "TakeOrderedAndProject" in text
+    stored = set(index.read().columns) - {*m.KEY, m.TITLE_LOWERCASE}
+    assert moved and not moved & stored, moved & stored
+
+
+def test_analysis_tasks_follow_the_size_of_the_input(spark, monkeypatch):
+    rows = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    monkeypatch.setattr(analysis, "TEXT_BYTES", 1 << 10)
+    many = analysis.by_document(rows, ["doc_id"]).rdd.getNumPartitions()
+    monkeypatch.setattr(analysis, "TEXT_BYTES", 1 << 40)
+    few = analysis.by_document(rows, ["doc_id"]).rdd.getNumPartitions()
+    assert many > 50 and few == 2 * spark.sparkContext.defaultParallelism
