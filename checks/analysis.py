@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from checks.base import content_sql, query
+from checks.projections import CATCH_ALL_SQL
 from checks.textsql import (
     drop_article,
     fold,
@@ -347,3 +348,25 @@ def f18_fulltext_with_predicates(spark, folder):
         )
     )
     return found.select(F.col(m.UUID).alias("uuid"), F.col(m.TITLE).alias("title"))
+
+
+@query(
+    content_sql(
+        """
+        SELECT uuid, title FROM content WHERE uuid IN (
+          SELECT uuid FROM terms WHERE term IN ('then', '2016', 'file') GROUP BY uuid
+          HAVING count(DISTINCT CASE WHEN term <> 'file' THEN term END) = 2 AND bool_and(term <> 'file'))
+        AND NOT is_proxy AND (state <> 'deleted' OR state IS NULL)
+        """,
+        *term_views("content", "uuid", CATCH_ALL_SQL, "fr"),
+    )
+)
+def f18_catch_all_of_an_index(spark, folder):
+    """A word of the text, a year of a date and an excluded type, in the terms of all fields that an index derives."""
+    index = IndexTable(spark, scratch_path(spark, "index"))
+    index.create(content(spark, folder, spread=True))
+    wanted = fulltext_query(spark, "then 2016 -File")
+    found = index.read().where(
+        p.all_of(fulltext_match(wanted, m.ALL_TERMS), p.flag(m.IS_PROXY, 0), p.state_is_not("deleted"))
+    )
+    return found.select(F.col(m.UUID).alias("uuid"), F.col(m.TITLE).alias("title"))

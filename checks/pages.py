@@ -9,9 +9,9 @@ from checks.textsql import sort_key
 from foliosearch import model as m
 from foliosearch.functions import predicates as p
 from foliosearch.functions.text import sort_key as sort_key_column
-from foliosearch.operators.envelope import envelope
+from foliosearch.operators.envelope import envelope, resolve_schema_names
 from foliosearch.operators.hydrate import hydrate
-from foliosearch.operators.page import ALL_ROWS, page, page_info, sort_hits, total_matches
+from foliosearch.operators.page import ALL_ROWS, cursor_after, page, page_info, sort_hits, total_matches
 from foliosearch.plans.index_table import IndexTable
 from foliosearch.plans.search import Search
 from foliosearch.session import scratch_path
@@ -105,9 +105,8 @@ def a2_page_info(spark, folder):
 )
 def j1_schema_lookup(spark, folder):
     """Every part's schema name resolved to its prefix."""
-    prefix = F.coalesce(F.nullif(F.trim("prefix"), F.lit("")), F.col("name"))
     parts = spark.read.parquet(f"{folder}/part.parquet").select(F.col("p_brand").alias("name"))
-    named = parts.join(schemas(spark, folder), "name").select(prefix.alias("prefix"))
+    named = resolve_schema_names(parts, schemas(spark, folder))
     return named.groupBy("prefix").agg(F.count(F.lit(1)).alias("parts"))
 
 
@@ -168,3 +167,49 @@ def flagship_search(spark, folder):
         page_size=10,
     )
     return flat_envelope(envelope(search.hits(content(spark, folder)), prefixes=None))
+
+
+@query(
+    content_sql(
+        """
+        SELECT row_number() OVER (ORDER BY pos DESC, uuid) AS position, uuid, md5(note) AS note_md5
+        FROM (SELECT * FROM content WHERE NOT is_version ORDER BY pos DESC, uuid LIMIT 25 OFFSET 50)
+        """
+    )
+)
+def j4_hydrate_page_by_id(spark, folder):
+    """The same page, whose ids reach the scan of an index table."""
+    index = IndexTable(spark, scratch_path(spark, "index"), derive=False)
+    index.create(content(spark, folder))
+    keys = [(m.POS, False)]
+    narrow = index.read().where(p.flag(m.IS_VERSION, 0)).select(*m.KEY, m.POS)
+    full = hydrate(narrow, index.read(), 25, 2, keys, by_id=True)
+    return full.select(
+        F.col("position").cast("long").alias("position"), F.col(m.UUID).alias("uuid"), F.md5(m.NOTE).alias("note_md5")
+    )
+
+
+@query(
+    content_sql(
+        """
+        SELECT uuid, state, expired, 1 + (row_number() OVER (ORDER BY state DESC NULLS LAST, expired NULLS LAST, uuid) - 1) // 90 AS page
+        FROM content WHERE primary_type <> 'Folder'
+        ORDER BY state DESC NULLS LAST, expired NULLS LAST, uuid LIMIT 540
+        """
+    )
+)
+def o5_seek_pages(spark, folder):
+    """Six pages, each found from the last hit of the one before; states and dates tie and are missing."""
+    rows = content(spark, folder)
+    search = Search(
+        p.not_equals(m.PRIMARY_TYPE, "Folder"), admin=True, sort=[(m.STATE, False), (m.EXPIRED, True)], page_size=90
+    )
+    cursor, pages = None, []
+    for number in range(1, 7):
+        hits = search.hits_after(rows, cursor)
+        pages.append(hits.withColumn("page", F.lit(number).cast("long")))
+        cursor = cursor_after(hits, search.sort)
+    found = pages[0]
+    for more in pages[1:]:
+        found = found.unionByName(more)
+    return _ids(found, F.col(m.STATE).alias("state"), F.col(m.EXPIRED).alias("expired"), "page")

@@ -126,8 +126,10 @@ def _distinct_terms(alias, text):
 
 CATCH_ALL_SQL = """concat_ws(' ', repository, uuid, path, primary_type, state, parent_id,
   array_to_string(ancestor_ids, ' '), version_label, array_to_string(mixins, ' '), change_token,
-  array_to_string(acl, ' '), binary_text, title, description, array_to_string(subjects, ' '),
-  note, web_id, rcd_source, rcd_lang)"""
+  array_to_string(acl, ' '), CAST(is_version AS VARCHAR), CAST(is_proxy AS VARCHAR), CAST(is_checked_in AS VARCHAR),
+  CAST(pos AS VARCHAR), binary_text, title, description, array_to_string(subjects, ' '),
+  strftime(modified, '%Y-%m-%d %H:%M:%S'), strftime(expired, '%Y-%m-%d %H:%M:%S'), strftime(modified, '%Y-%m-%d %H:%M:%S'),
+  strftime(issued, '%Y-%m-%d'), note, web_id, rcd_source, rcd_lang)"""
 
 
 @query(

@@ -50,6 +50,7 @@ NOTE_TERMS = "idx:note_terms"
 ALL_TERMS = "idx:all_terms"
 PATH_CHILDREN = "idx:path_children"
 VARIABLES_LOWERCASE = "idx:variables_lowercase"
+ACL_CLASS = "idx:acl_class"
 
 _strings = T.ArrayType(T.StringType())
 _object = T.MapType(T.StringType(), T.StringType())

@@ -51,8 +51,13 @@ def resolve_schemas(names: str, schemas: DataFrame) -> DataFrame:
     requested = schemas.sparkSession.createDataFrame([(names,)], "names string").select(
         F.explode(F.transform(F.split("names", ","), lambda name: F.trim(name))).alias("name")
     )
+    return resolve_schema_names(F.broadcast(requested.distinct()), schemas)
+
+
+def resolve_schema_names(names: DataFrame, schemas: DataFrame) -> DataFrame:
+    """``(prefix)`` for each row of a table ``(name)`` that names a known schema."""
     prefix = F.coalesce(F.nullif(F.trim("prefix"), F.lit("")), F.col("name"))
-    return schemas.join(F.broadcast(requested.distinct()), "name").select(prefix.alias("prefix"))
+    return schemas.join(names, "name").select(prefix.alias("prefix"))
 
 
 def requested_prefixes(names: str | None, schemas: DataFrame) -> list[str]:

@@ -11,13 +11,14 @@ from pyspark.sql import types as T
 from foliosearch import model as m
 from foliosearch.functions import text as t
 from foliosearch.operators.analysis import analyzed_terms
+from foliosearch.operators.security import acl_class
 
 
 def catch_all(df: DataFrame, excluded: list[str] = m.NOT_IN_CATCH_ALL) -> Column:
     """All text of a document in one string, for searches that name no column.
 
-    Strings, arrays of strings and members of objects take part in schema
-    order, unless their column is excluded; nulls leave no gap.
+    Strings, arrays of strings, members of objects, numbers, flags, dates and times
+    take part in schema order, unless their column is excluded; nulls leave no gap.
     """
     parts = []
     for field in df.schema:
@@ -28,6 +29,10 @@ def catch_all(df: DataFrame, excluded: list[str] = m.NOT_IN_CATCH_ALL) -> Column
             parts.append(column)
         elif isinstance(field.dataType, T.MapType):
             parts.append(F.map_values(column))
+        elif isinstance(field.dataType, T.TimestampType):
+            parts.append(F.date_format(column, "yyyy-MM-dd HH:mm:ss"))
+        elif isinstance(field.dataType, (T.NumericType, T.BooleanType, T.DateType)):
+            parts.append(column.cast("string"))
     return F.concat_ws(" ", *parts)
 
 
@@ -62,6 +67,7 @@ def derive_fields(df: DataFrame, language: str = "fulltext") -> DataFrame:
         m.TITLE_LOWERCASE: t.sort_key(F.col(m.TITLE)),
         m.VARIABLES_LOWERCASE: F.transform_values(m.RECORD_VARIABLES, lambda _, value: t.sort_key(value)),
         m.PATH_CHILDREN: t.path_hierarchy(F.col(m.PATH)),
+        m.ACL_CLASS: acl_class(F.col(m.ACL)),
         m.ALL_TERMS: analyzed_terms(catch_all(df, [*m.NOT_IN_CATCH_ALL, *own_terms]), language),
     }
     for name, terms in own_terms.items():

@@ -75,6 +75,64 @@ def page(df: DataFrame, page_size: int = ALL_ROWS, page_index: int = 0) -> DataF
     return df.offset(page_size * page_index).limit(page_size)
 
 
+def _sort_values(df: DataFrame, keys: Sequence[SortKey] = ()) -> list[tuple[Column, bool]]:
+    """What hits are ordered by, and whether it ascends: the same as ``sort_orders``."""
+    values = [(F.col("score"), False)] if not keys and "score" in df.columns else []
+    for name, ascending in keys:
+        column = _sort_column(df, name)
+        if column is not None:
+            values.append((column, ascending))
+    return [*values, *[(F.col(name), True) for name in (m.UUID, m.REPOSITORY) if name in df.columns]]
+
+
+def cursor_after(hits: DataFrame, keys: Sequence[SortKey] = ()) -> list | None:
+    """The place of the last hit of a page: its sort values, as plain values; None for an empty page.
+
+    A page is small; it is read once for this.
+    """
+    values = [value.alias(f"v{k}") for k, (value, _) in enumerate(_sort_values(hits, keys))]
+    rows = hits.select(*values).collect()
+    return list(rows[-1]) if rows else None
+
+
+def after_cursor(df: DataFrame, cursor: Sequence, keys: Sequence[SortKey] = ()) -> DataFrame:
+    """The hits that come after a cursor in the order of ``sort_hits``.
+
+    One predicate on the sort columns: an earlier column is beyond the cursor's
+    value, or equal to it and the next one decides.  Nulls come last both
+    ways.  The first column's part stands alone as well, so that it reaches the scan.
+    """
+    values = _sort_values(df, keys)
+    if len(cursor) != len(values):
+        raise ValueError(f"a cursor of {len(cursor)} values for an order of {len(values)}")
+    beyond, same = F.lit(False), F.lit(True)
+    for (column, ascending), value in zip(values, cursor):
+        literal = F.lit(value)
+        if value is None:
+            later = F.lit(False)
+        else:
+            later = column.isNull() | ((column > literal) if ascending else (column < literal))
+        beyond, same = beyond | (same & later), same & column.eqNullSafe(literal)
+    (first, ascending), value = values[0], cursor[0]
+    if value is None:
+        reach = first.isNull()
+    else:
+        reach = first.isNull() | ((first >= F.lit(value)) if ascending else (first <= F.lit(value)))
+    return df.where(reach & F.coalesce(beyond, F.lit(False)))
+
+
+def next_page(df: DataFrame, cursor: Sequence | None, page_size: int, keys: Sequence[SortKey] = ()) -> DataFrame:
+    """The page after a cursor, or the first one without.
+
+    It costs what the first page costs, however far it is: a top-k of ``page_size``
+    rows, not of all rows before it too.
+    """
+    if page_size < 1:
+        raise ValueError(f"no such page: size {page_size}")
+    rest = df if cursor is None else after_cursor(df, cursor, keys)
+    return sort_hits(rest, keys).limit(page_size)
+
+
 def total_matches(df: DataFrame) -> DataFrame:
     """``(totalSize)``: all matches, whatever the page; zero where none."""
     return df.agg(F.count(F.lit(1)).alias("totalSize"))

@@ -6,6 +6,7 @@ A folder holds
                    repository
     changes/n=N    rows changed since
     numbers/n=N    the newest command of each document that commands named
+    classes/n=N    the distinct ACLs of the rows that a write holds, by class
     rejects        commands that were refused, by batch
     commits        one line per finished write, numbered in order
     audit          one line per rebuild
@@ -37,6 +38,7 @@ from pyspark.sql import types as T
 from foliosearch import model as m
 from foliosearch.operators import maintain
 from foliosearch.operators.fields import derive_fields
+from foliosearch.operators.security import acl_dictionary
 from foliosearch.session import discard, remove, scratch_path
 
 log = logging.getLogger(__name__)
@@ -49,6 +51,7 @@ AUDIT_SCHEMA = "category string, event string, comment string, principal string,
 DATA = "data"
 CHANGES = "changes"
 NUMBERS = "numbers"
+CLASSES = "classes"
 REJECTS = "rejects"
 
 COMPACT = "compact"
@@ -60,6 +63,14 @@ REINDEX_TYPES = ("ALL", "ROOT", "QUERY")
 ROWS_PER_FILE = 1_000_000
 
 
+# A Bloom filter of the document ids in each row group: a page of hits, or a batch of
+# commands, then reads the row groups that may have its documents.
+ID_FILTER = {
+    f"parquet.bloom.filter.enabled#{m.UUID}": "true",
+    f"parquet.bloom.filter.expected.ndv#{m.UUID}": str(ROWS_PER_FILE),
+}
+
+
 class IndexTable:
     """``derive=False`` stores documents without their index columns."""
 
@@ -185,11 +196,48 @@ class IndexTable:
             .write.mode("overwrite")
             .partitionBy(m.REPOSITORY)
             .option("maxRecordsPerFile", ROWS_PER_FILE)
+            .options(**ID_FILTER)
             .parquet(f"{self.path}/{DATA}/n={n}")
         )
         self._write_numbers(n, numbers)
+        self._write_classes(n, DATA)
         self._commit(n, DATA, repository, label, df.schema.json(), numbers is not None)
 
+    def _write_classes(self, n: int, kind: str) -> None:
+        """From the written rows: only their classes and ACLs are read again."""
+        if self.derive:
+            rows = self.spark.read.parquet(f"{self.path}/{kind}/n={n}") if self._holds_rows(n, kind) else None
+            if rows is not None and m.ACL_CLASS in rows.columns:
+                acl_dictionary(rows).write.mode("overwrite").parquet(f"{self.path}/{CLASSES}/n={n}")
+
+    def _holds_rows(self, n: int, kind: str) -> bool:
+        """A version without rows may have no file, and then no columns to read."""
+        try:
+            return bool(self.spark.read.parquet(f"{self.path}/{kind}/n={n}").columns)
+        except AnalysisException:
+            return False
+
+    def acl_classes(self) -> DataFrame:
+        """``(class, acl)`` of the ACLs in the index; some of them may no longer be in use.
+
+        For ``operators.security``.  Every write adds the classes of its rows.
+        """
+        commits = self.commits()
+        whole = max((line.n for line in commits if line.kind == DATA and not line.repository), default=0)
+        numbers = [line.n for line in commits if line.n >= whole]
+        parts = [part for n in numbers if (part := self._classes(n)) is not None]
+        if not parts:
+            return acl_dictionary(self.read()).select("class", "acl")
+        return reduce(DataFrame.unionByName, parts).groupBy("class").agg(F.any_value("acl").alias("acl"))
+
+    def _classes(self, n: int) -> DataFrame | None:
+        try:
+            return self.spark.read.schema("class string, acl array<string>").parquet(f"{self.path}/{CLASSES}/n={n}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
     def _write_numbers(self, n: int, numbers: DataFrame | None) -> None:
         if numbers is not None:
             shown = numbers.select(*m.KEY, maintain.ORDER, maintain.RECURSIVE)
@@ -201,6 +249,7 @@ class IndexTable:
         self._write_numbers(n, numbers)
         numbered = changes.withColumn(maintain.SEQUENCE, F.lit(n).cast("long"))
         numbered.write.mode("overwrite").parquet(f"{self.path}/{CHANGES}/n={n}")
+        self._write_classes(n, CHANGES)
         self._commit(n, CHANGES, None, label, numbers=numbers is not None)
 
     def create(self, source: DataFrame) -> None:

@@ -13,7 +13,7 @@ from foliosearch.operators.envelope import envelope, page_json
 from foliosearch.operators.facets import Facet, facets
 from foliosearch.operators.fulltext import FullTextQuery
 from foliosearch.operators.hydrate import hydrate
-from foliosearch.operators.page import ALL_ROWS, SortKey, page, page_info, sort_columns, sort_hits, total_matches
+from foliosearch.operators.page import ALL_ROWS, SortKey, next_page, page, page_info, sort_columns, sort_hits, total_matches
 from foliosearch.operators.security import acl_filter
 from foliosearch.plans.term_index import TermIndex
 
@@ -54,9 +54,14 @@ class Search:
         if self.terms is None or self.page_size == ALL_ROWS:
             return page(sort_hits(self.matches(df), self.sort), self.page_size, self.page_index)
         narrow = self.matches(df).select(*m.KEY, "score", *sort_columns(df, self.sort))
-        full = hydrate(narrow, df, self.page_size, self.page_index, self.sort)
+        full = hydrate(narrow, df, self.page_size, self.page_index, self.sort, by_id=True)
         return full.select(*[F.col(f"`{name}`") for name in (*df.columns, "score")])
 
+    def hits_after(self, df: DataFrame, cursor: Sequence | None) -> DataFrame:
+        """The page that follows a cursor (``page.cursor_after`` of the page before), at the
+        cost of the first page."""
+        return next_page(self.matches(df), cursor, self.page_size, self.sort)
+
     def envelopes(self, df: DataFrame) -> DataFrame:
         return envelope(self.hits(df), self.prefixes)
 

@@ -59,8 +59,8 @@ def index(spark, tmp_path_factory):
         (lambda: p.state_is_not("deleted"), ["Not(EqualNullSafe(ecm:currentLifeCycleState,deleted))"]),
         (lambda: p.not_in(m.STATE, ["a", "b"]), ["Or(IsNull(ecm:currentLifeCycleState),Not(In(ecm:currentLifeCycleState"]),
         (lambda: p.is_in(m.PRIMARY_TYPE, ["Note", "File"]), ["In(ecm:primaryType, [File,Note])"]),
-        (lambda: p.between_dates(m.ISSUED, "2016-07-11", "2016-07-12"), ["GreaterThanOrEqual(dc:issued", "LessThan(dc:issued"]),
-        (lambda: p.between_dates(m.MODIFIED, "2016-07-11", "2016-07-12"), ["GreaterThanOrEqual(dc:modified", "LessThan(dc:modified"]),
+        (lambda: p.between_dates(m.ISSUED, "2019-05-31", "2019-06-02"), ["GreaterThanOrEqual(dc:issued", "LessThan(dc:issued"]),
+        (lambda: p.between_dates(m.MODIFIED, "2019-05-31", "2019-06-02"), ["GreaterThanOrEqual(dc:modified", "LessThan(dc:modified"]),
         (lambda: p.flag(m.IS_PROXY, 0), ["Not(EqualTo(ecm:isProxy,true))"]),
     ],
 )
