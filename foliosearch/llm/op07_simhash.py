@@ -47,8 +47,8 @@ SEED = 42
 SHINGLE = 4
 BUDGET = 4
 GROUP_ROWS = 2_000_000
-WALK_PAIRS = 500_000
-CHUNK_ROWS = 200_000
+WALK_PAIRS = 200_000
+CHUNK_ROWS = 100_000
 
 
 # -- fingerprints ---------------------------------------------------------
@@ -124,7 +124,7 @@ def walk(fp: np.ndarray, group: np.ndarray, budget: int) -> np.ndarray:
     """
     n = len(fp)
     labels = local_labels(n, *_near_in_order(fp, group, budget))
-    ones = [np.concatenate([[0], np.cumsum((fp >> np.uint64(63 - d)) & np.uint64(1), dtype=np.int64)]) for d in range(64)]
+    ones: dict[int, np.ndarray] = {}  # of the depth at hand: how many fingerprints before each have the bit
     edge = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
     lo, hi = edge, np.append(edge[1:], n)
     many = hi - lo > 1
@@ -155,6 +155,9 @@ def walk(fp: np.ndarray, group: np.ndarray, budget: int) -> np.ndarray:
                 stack.append((depth, pairs))
                 break
             al, ah, bl, bh, bits = pairs
+            if depth not in ones:
+                ones.clear()
+                ones[depth] = np.concatenate([[0], np.cumsum((fp >> np.uint64(63 - depth)) & np.uint64(1), dtype=np.int64)])
             seen = ones[depth]
             am, bm = ah - (seen[ah] - seen[al]), bh - (seen[bh] - seen[bl])
             same = al == bl  # a node with itself: its second crossing is the first one mirrored
