@@ -7,11 +7,14 @@ as df = 0.  The cosine of a line and a template is
 
     sum of squared weights of shared terms / (length of line * length of template).
 
-A line whose best cosine reaches ``least`` states that licence; a file has the
-licence of its best line (ties: the first name).  Lines are found by a filter
-that loses none: for each template terms are taken, those of everyday English
-last, until what is left of it is shorter than ``least``; a line with none of
-these terms can't reach it.
+A line whose best cosine reaches ``least`` states that licence, under two conditions,
+as a wrong licence is worse than none.  It has the terms that tell the licence from
+its relatives, such as its name and version, and none that name a relative
+(``TELLING``, ``RELATIVES``); else it isn't compared with that template.  And no other
+licence comes within ``MARGIN`` of the best cosine.  A file has the licence of its
+best line (ties: the first name).  Lines are found by a filter that loses none: for
+each template terms are taken, those of everyday English last, until what is left
+of it is shorter than ``least``; a line with none of these terms can't reach it.
 
 A file is compared in the same way by larger parts with ``documents``: full licence texts, standard headers, SPDX tags and the
 short notices, with weights of their own.  Its parts are the whole text, its runs
@@ -19,7 +22,8 @@ of comment lines and of other lines, its paragraphs (also between blank comment
 lines), and its sentences, wrapped or not.  The best part counts (ties: the first
 name) if no line states a licence, or if it is nearer to a text or header than the
 best line to its template.  Only parts that have a word of ``LEGAL`` are compared, as all of these
-documents have.
+documents have.  The conditions hold for parts as well; a full text needs no terms of
+``TELLING``, and has ``STRANGERS`` instead: terms that a like text of another licence has.
 
 A licence file (its name is in ``LICENCE_FILES``) gives its licence to its
 directory; of several in one, the best cosine counts, then the first path.  A
@@ -39,6 +43,7 @@ from __future__ import annotations
 import functools
 import math
 import re
+from collections.abc import Sequence
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
@@ -51,18 +56,74 @@ LICENCE_FILES = ("LICENSE", "LICENCE", "COPYING", "NOTICE")
 
 EVERYDAY = {"a", "by", "file", "is", "of", "the", "this", "to", "under", "use", "work", "library", "version", "source", "code"}
 
-#: Short notices by licence; our own wording of what such headers say.
+#: How far the best cosine must be from that of any other licence.
+MARGIN = 0.01
+
+#: Short notices by licence, in the words that such notices commonly have.
 TEMPLATES = {
+    "AGPL-3.0": "GNU Affero General Public License, version 3",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
+    "BSD-2-Clause": "Licensed under the BSD 2-Clause License.",
     "BSD-3-Clause": "Licensed under the BSD 3-Clause License.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0.",
     "CC-BY-4.0": "Licensed under CC BY 4.0 Creative Commons Attribution.",
+    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
+    "CC0-1.0": "Released under CC0 1.0 Universal Public Domain Dedication.",
+    "EPL-1.0": "Eclipse Public License, Version 1.0",
+    "EPL-2.0": "Eclipse Public License, Version 2.0",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
+    "ISC": "Released under the ISC License.",
+    "LGPL-2.1": "GNU Lesser General Public License, version 2.1",
     "LGPL-3.0": "GNU Lesser General Public License, version 3",
     "MIT": "Released under the MIT License.",
     "MPL-2.0": "Mozilla Public License, version 2.0",
+    "Unlicense": "Released into the public domain under the Unlicense.",
+    "Zlib": "Released under the zlib License.",
+}
+
+_V1, _V2, _V3 = ("1", "1.0", "v1", "v1.0"), ("2", "2.0", "v2", "v2.0"), ("3", "3.0", "v3", "v3.0")
+
+#: Of each of these groups of terms, a notice of the licence has one.
+TELLING = {
+    "AGPL-3.0": (("affero", "agpl"), _V3),
+    "Apache-2.0": (("apache",), _V2),
+    "BSD-2-Clause": (("bsd",), ("2", "two", "simplified")),
+    "BSD-3-Clause": (("bsd",), ("3", "three", "new", "revised")),
+    "BSL-1.0": (("boost", "bsl"), _V1),
+    "CC-BY-4.0": (("by", "attribution"), ("4.0", "4")),
+    "CC-BY-NC-4.0": (("nc", "noncommercial"), ("4.0", "4")),
+    "CC-BY-SA-4.0": (("sa", "sharealike"), ("4.0", "4")),
+    "CC0-1.0": (("cc0",),),
+    "EPL-1.0": (("eclipse", "epl"), _V1),
+    "EPL-2.0": (("eclipse", "epl"), _V2),
+    "GPL-2.0": (("general", "gpl"), _V2),
+    "GPL-3.0": (("general", "gpl"), _V3),
+    "ISC": (("isc",),),
+    "LGPL-2.1": (("lesser", "lgpl"), ("2.1", "v2.1")),
+    "LGPL-3.0": (("lesser", "lgpl"), _V3),
+    "MIT": (("mit", "expat"),),
+    "MPL-2.0": (("mozilla", "mpl"), _V2),
+    "Unlicense": (("unlicense",),),
+    "Zlib": (("zlib",),),
+}
+
+#: Terms that name a relative, unless the notice of the licence has them itself.
+RELATIVES = {
+    "AGPL-3.0": ("lesser", "lgpl"),
+    "CC-BY-4.0": ("nc", "noncommercial", "sa", "sharealike", "nd", "noderivatives"),
+    "CC-BY-NC-4.0": ("sa", "sharealike", "nd", "noderivatives"),
+    "CC-BY-SA-4.0": ("nc", "noncommercial", "nd", "noderivatives"),
+    "GPL-2.0": ("affero", "agpl", "lesser", "lgpl"),
+    "GPL-3.0": ("affero", "agpl", "lesser", "lgpl"),
+    "LGPL-2.1": ("affero", "agpl"),
+    "LGPL-3.0": ("affero", "agpl"),
 }
 
+#: The Affero text is the GPL's with a section on those who interact remotely.
+STRANGERS = {"GPL-3.0": ("remotely",)}
+
 
 LEGAL = r"(?i)licen[cs]|copyright|permi(?:ssion|tted)|redistribut|warrant|spdx"
 
@@ -118,6 +179,10 @@ language governing permissions and limitations under the License."""
 _MPL = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
 distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
 
+_UNLICENSE = "This is free and unencumbered software released into the public domain under no copyright."
+_ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held
+liable for any damages arising from the use of this software."""
+
 
 def _gnu(name: str, version: str) -> tuple[str, str]:
     """The first sentence of a GNU header, and the whole."""
@@ -136,11 +201,13 @@ def documents() -> dict[str, str]:
     out |= {f"{p.stem}#text": p.read_text() for p in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))}
     gnu = {"GPL-2.0": ("General Public License", "2"), "GPL-3.0": ("General Public License", "3")}
     gnu |= {"LGPL-2.1": ("Lesser General Public License", "2.1"), "LGPL-3.0": ("Lesser General Public License", "3")}
+    gnu |= {"AGPL-3.0": ("Affero General Public License", "3")}
     for licence, (name, version) in gnu.items():
         out[f"{licence}#first"], out[f"{licence}#header"] = _gnu(name, version)
     out |= {"MIT#first": _MIT, "MIT#text": f"{_MIT}\n\n{_MIT_REST}", "ISC#first": _ISC, "ISC#text": f"{_ISC}\n\n{_ISC_REST}"}
     out |= {"BSD-2-Clause#text": _BSD + _BSD_REST, "BSD-3-Clause#text": _BSD + _BSD_THIRD + _BSD_REST}
     out |= {"Apache-2.0#first": _APACHE, "Apache-2.0#header": f"{_APACHE}\n\n{_APACHE_REST}", "MPL-2.0#header": _MPL}
+    out |= {"Unlicense#first": _UNLICENSE, "Zlib#first": _ZLIB}
     licences = sorted({name.split("#")[0] for name in out})
     return out | {f"{licence}#tag": f"SPDX-License-Identifier: {licence}" for licence in licences}
 
@@ -167,6 +234,19 @@ def weights(templates: dict[str, str]) -> tuple[dict[str, float], float]:
     return {t: weight(sum(t in x for x in of)) for t in sorted(set().union(*of))}, weight(0)
 
 
+def told_by(name: str, text: str) -> tuple[list[tuple[str, ...]], list[str]]:
+    """Groups of terms of which a line needs one each, and terms it must not have, to be this template's.
+
+    A template asks only for what it has itself: the body of a licence doesn't name it.
+    """
+    licence, _, kind = name.partition("#")
+    own = terms_of(text)
+    if kind == "text":
+        return [], [t for t in STRANGERS.get(licence, ()) if t not in own]
+    needed = [group for group in TELLING.get(licence, ()) if own.intersection(group)]
+    return needed, [t for t in RELATIVES.get(licence, ()) if t not in own]
+
+
 def signs(templates: dict[str, str], least: float) -> list[str]:
     """Terms of which any line near a template has one."""
     weight, _ = weights(templates)
@@ -209,22 +289,42 @@ def _best(files: DataFrame, parts: Column, pattern: str, least: float, templates
     near = lines.where(F.col("words").rlike(pattern)).select("path", "text_key", "line", terms.alias("terms"))
     near = near.where(strange <= F.lit((max(norm.values()) / least) ** 2 + 1e-6))
     rows = near.select("path", "text_key", "line", F.explode("terms").alias("term"))
+    # Terms that decide are numbered; a line has them as bits of one or two numbers.
+    rules = {name: told_by(name, templates[name]) for name in names}
+    ruling = sorted({t for needed, barred in rules.values() for t in (*barred, *(t for group in needed for t in group))})
+    places = [ruling[at : at + 60] for at in range(0, len(ruling), 60)]
+    bits = lambda terms: [sum(1 << k for k, t in enumerate(place) if t in terms) for place in places]
     vocabulary = files.sparkSession.createDataFrame(
-        [(term, value**2, [term in of[name] for name in names]) for term, value in weight.items()],
-        "known string, square double, inside array<boolean>",
+        [(t, weight.get(t, other) ** 2, [t in of[name] for name in names], bits({t})) for t in sorted({*weight, *ruling})],
+        "known string, square double, inside array<boolean>, marks array<long>",
     )
     square = F.coalesce("square", F.lit(other**2))
     dots = [F.sum(F.when(F.element_at("inside", k + 1), F.col("square")).otherwise(0.0)).alias(f"dot{k}") for k in range(len(names))]
+    has = [F.bit_or(F.coalesce(F.element_at("marks", k + 1), F.lit(0).cast("long"))).alias(f"has{k}") for k in range(len(places))]
     summed = (
         rows.join(vocabulary, F.col("term") == F.col("known"), "left")
         .groupBy("path", "text_key", "line")
-        .agg(F.sqrt(F.sum(square)).alias("length"), *dots)
+        .agg(F.sqrt(F.sum(square)).alias("length"), *has, *dots)
     )
-    best = [
-        F.struct((-F.round(F.col(f"dot{k}") / (F.col("length") * F.lit(norm[name])), 6)).alias("away"), F.lit(name).alias("licence"))
-        for k, name in enumerate(names)
-    ]  # the least is the best
-    found = summed.select("path", "text_key", F.array_min(F.array(*best)).alias("top")).where(F.col("top.away") <= -least)
+
+    def any_of(terms: Sequence[str]) -> Column:
+        told = [F.col(f"has{k}").bitwiseAND(F.lit(mask).cast("long")) != 0 for k, mask in enumerate(bits(terms)) if mask]
+        return functools.reduce(Column.__or__, told)
+
+    def away(k: int, name: str) -> Column:
+        """Minus the cosine; 0 where the line lacks a needed term or has a barred one."""
+        needed, barred = rules[name]
+        may = [any_of(group) for group in needed] + ([~any_of(barred)] if barred else [])
+        cosine = F.round(F.col(f"dot{k}") / (F.col("length") * F.lit(norm[name])), 6)
+        return -F.when(functools.reduce(Column.__and__, may, F.lit(True)), cosine).otherwise(0.0)
+
+    each = [F.struct(away(k, name).alias("away"), F.lit(name).alias("licence")) for k, name in enumerate(names)]  # the least is the best
+    licence_of = lambda name: F.substring_index(name, "#", 1)
+    # The one-element explode keeps the long expression from being copied into all that use it.
+    ranked = summed.select("path", "text_key", F.explode(F.array(F.array(*each))).alias("each")).withColumn("top", F.array_min("each"))
+    ranked = ranked.where(F.col("top.away") <= -least)
+    rival = F.array_min(F.filter("each", lambda one: licence_of(one["licence"]) != licence_of(F.col("top.licence"))))["away"]
+    found = ranked.where(F.coalesce(F.round(rival - F.col("top.away"), 6) > MARGIN, F.lit(True))).select("path", "text_key", "top")
     top = found.groupBy("path", "text_key").agg(F.min("top").alias("top"))
     return top.select("path", "text_key", (-F.col("top.away")).alias("cosine"), "top.licence")
 

@@ -134,6 +134,9 @@ def _licence_sql() -> str:
         f"('{name}', '{term}', {weight[term]!r})" for name, text in sorted(op03_licenses.TEMPLATES.items()) for term in sorted(op03_licenses.terms_of(text))
     )
     vocabulary = ", ".join(f"('{term}', {value!r})" for term, value in weight.items())
+    rules = {name: op03_licenses.told_by(name, text) for name, text in op03_licenses.TEMPLATES.items()}
+    needed = ", ".join(f"('{name}', {k}, '{term}')" for name in rules for k, group in enumerate(rules[name][0]) for term in group)
+    barred = ", ".join(f"('{name}', '{term}')" for name in rules for term in rules[name][1])
     return f"""
 WITH template(name, term, w) AS (VALUES {rows}), vocabulary(term, w) AS (VALUES {vocabulary}),
 norms AS (SELECT name, sqrt(sum(w * w)) AS norm FROM template GROUP BY name),
@@ -147,9 +150,17 @@ terms AS (SELECT DISTINCT path, text, n, unnest(regexp_extract_all(lower(line),
 lengths AS (SELECT n, sqrt(sum(coalesce(v.w, {other!r}) * coalesce(v.w, {other!r}))) AS length
   FROM terms LEFT JOIN vocabulary v ON terms.term = v.term GROUP BY n),
 shared AS (SELECT t.path, t.text, t.n, m.name, sum(m.w * m.w) AS dot FROM terms t JOIN template m ON t.term = m.term GROUP BY ALL),
-cosines AS (SELECT s.path, s.text, s.name, round(s.dot / (l.length * o.norm), 6) AS cosine
+cosines AS (SELECT s.path, s.text, s.n, s.name, round(s.dot / (l.length * o.norm), 6) AS cosine
   FROM shared s JOIN lengths l ON s.n = l.n JOIN norms o ON s.name = o.name),
-best AS (SELECT path, text, cosine, name FROM cosines WHERE cosine >= {op03_licenses.LEAST}
+needed(name, part, term) AS (VALUES {needed}), barred(name, term) AS (VALUES {barred}),
+asked AS (SELECT name, count(DISTINCT part) AS parts FROM needed GROUP BY name),
+met AS (SELECT t.n, d.name, count(DISTINCT d.part) AS parts FROM terms t JOIN needed d ON t.term = d.term GROUP BY ALL),
+refused AS (SELECT DISTINCT t.n, b.name FROM terms t JOIN barred b ON t.term = b.term),
+allowed AS (SELECT c.* FROM cosines c JOIN asked a ON c.name = a.name JOIN met m ON c.n = m.n AND c.name = m.name AND a.parts = m.parts
+  WHERE NOT EXISTS (SELECT 1 FROM refused r WHERE r.n = c.n AND r.name = c.name)),
+firsts AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY cosine DESC, name) AS place,
+  round(cosine - lead(cosine) OVER (PARTITION BY n ORDER BY cosine DESC, name), 6) AS lead FROM allowed),
+best AS (SELECT path, text, cosine, name FROM firsts WHERE place = 1 AND cosine >= {op03_licenses.LEAST} AND coalesce(lead > {op03_licenses.MARGIN}, true)
   QUALIFY row_number() OVER (PARTITION BY path, text ORDER BY cosine DESC, name) = 1),
 told AS (SELECT f.path, f.text, b.cosine, b.name AS own, regexp_replace(f.path, '/[^/]*$', '') AS folder
   FROM files f LEFT JOIN best b ON f.path = b.path AND f.text = b.text),
