@@ -426,3 +426,44 @@ def m2_documents_without_a_repository(spark, folder):
 @query(_nulls_sql("repository = 'default' AND primary_type = 'File'", "false"))
 def m3_documents_without_a_repository(spark, folder):
     return _with_nulls(spark, folder, "QUERY", predicate=p.equals(m.PRIMARY_TYPE, "File"))
+
+
+# An index of whole documents of which some are out of date, some missing and some gone from the source.
+DIFFERING_VIEWS = [
+    ("fresh", "SELECT * FROM content WHERE doc_id % 11 <> 5"),
+    ("older", "SELECT * REPLACE (CASE WHEN doc_id % 5 = 2 THEN 'old ' || title ELSE title END AS title) FROM content WHERE doc_id % 7 <> 3"),
+]
+
+
+def _written_sql(scope, delete=True):
+    gone = f"UNION ALL SELECT 'DELETE', repository, uuid FROM older WHERE {scope} AND doc_id % 11 = 5"
+    return content_sql(
+        f"""
+        SELECT 'INSERT' AS change, repository, uuid FROM fresh WHERE {scope} AND (doc_id % 7 = 3 OR (doc_id % 5 = 2 AND title IS NOT NULL))
+        {gone if delete else ""}
+        """,
+        *DIFFERING_VIEWS,
+    )
+
+
+def _written(spark, folder, kind, **more):
+    whole, number = content(spark, folder), _number()
+    old = F.when(number % 5 == 2, F.concat(F.lit("old "), F.col(m.TITLE))).otherwise(F.col(m.TITLE))
+    index = IndexTable(spark, scratch_path(spark, "index"))
+    index.create(whole.where(number % 7 != 3).withColumn(m.TITLE, old))
+    for _ in range(2):  # the second rebuild finds nothing to do
+        index.reindex(kind, whole.where(number % 11 != 5), "default", only_changed=True, **more)
+    assert index.version() == 2
+    # Of a document with a deletion and an insertion in one write, the insertion counts.
+    rows = index.written(2).groupBy(*m.KEY).agg(F.max("change_type").alias("change"))
+    return rows.select("change", F.col(m.REPOSITORY).alias("repository"), F.col(m.UUID).alias("uuid"))
+
+
+@query(_written_sql("repository = 'default'"))
+def m1_rebuild_writes_what_differs(spark, folder):
+    return _written(spark, folder, "ALL")
+
+
+@query(_written_sql("repository = 'default' AND primary_type = 'File'", delete=False))
+def m3_rebuild_writes_what_differs(spark, folder):
+    return _written(spark, folder, "QUERY", predicate=p.equals(m.PRIMARY_TYPE, "File"))

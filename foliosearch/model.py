@@ -51,6 +51,7 @@ ALL_TERMS = "idx:all_terms"
 PATH_CHILDREN = "idx:path_children"
 VARIABLES_LOWERCASE = "idx:variables_lowercase"
 ACL_CLASS = "idx:acl_class"
+DIGEST = "idx:digest"
 
 _strings = T.ArrayType(T.StringType())
 _object = T.MapType(T.StringType(), T.StringType())

@@ -31,7 +31,9 @@ REASON = "reason"
 # The order of commands on a document; the newest one counts, in whatever batch it came.
 ORDER = "command_order"
 RECURSIVE = "recursive"
-NUMBER_SCHEMA = f"`{m.REPOSITORY}` string, `{m.UUID}` string, {ORDER} bigint, {RECURSIVE} boolean"
+KEY_SCHEMA = f"`{m.REPOSITORY}` string, `{m.UUID}` string"
+NUMBER_SCHEMA = f"{KEY_SCHEMA}, {ORDER} bigint, {RECURSIVE} boolean"
+DIFFERING_SCHEMA = f"{KEY_SCHEMA}, type string"
 
 
 def _in_repository(repository: str) -> Column:
@@ -55,6 +57,10 @@ def reindex_all(index: DataFrame, source: DataFrame, repository: str) -> DataFra
     return kept.unionByName(source.where(_in_repository(repository)))
 
 
+def subtree(rows: DataFrame, repository: str, root_id: str) -> DataFrame:
+    return rows.where(_in_repository(repository)).where(_in_subtree(root_id))
+
+
 def subtree_of_live_root(source: DataFrame, repository: str, root_id: str) -> DataFrame:
     """The root and its subtree, or nothing once the root is gone."""
     here = source.where(_in_repository(repository))
@@ -93,7 +99,7 @@ def reindex_query(
 def subtree_changes(index: DataFrame, source: DataFrame, repository: str, root_id: str) -> DataFrame:
     """The rows a subtree rebuild changes: all there was is deleted, all there
     is is inserted.  Where a document has both, the insertion counts."""
-    gone = index.where(_in_repository(repository) & _in_subtree(root_id)).select(*m.KEY)
+    gone = subtree(index, repository, root_id).select(*m.KEY)
     found = subtree_of_live_root(source, repository, root_id)
     return _changes(gone, found)
 
@@ -103,6 +109,32 @@ def _changes(gone: DataFrame, found: DataFrame) -> DataFrame:
     return found.withColumn(CHANGE, F.lit(INSERT)).unionByName(deleted, allowMissingColumns=True)
 
 
+def content_digest(df: DataFrame, language: str = "") -> Column:
+    """The digest of a source row: of all its columns but derived ones, and of the language
+    its terms are derived by.  Null values and missing ones differ."""
+    names = sorted(name for name in df.columns if not name.startswith(m.DERIVED_PREFIX + ":"))
+    options = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    text = F.to_json(F.struct(*[F.col(f"`{name}`") for name in names]), options)
+    return F.sha2(F.concat_ws("\n", F.lit(language), text), 256)
+
+
+def differing(held: DataFrame, found: DataFrame) -> DataFrame:
+    """``(key, type)``: what is to be done so that ``held`` becomes ``found``; both are ``(key, digest)``.
+
+    A document that is the same on both sides isn't named.  One grouping of keys and
+    digests, combined inside the tasks.  Documents without an id can't be told from
+    each other and are left alone; one that comes several times is written anew.
+    """
+    sides = held.select(*m.KEY, m.DIGEST, F.lit(True).alias("old")).unionByName(found.select(*m.KEY, m.DIGEST, F.lit(False).alias("old")))
+    told = (
+        sides.where(F.col(m.UUID).isNotNull() & F.col(m.REPOSITORY).isNotNull())
+        .groupBy(*m.KEY)
+        .agg(F.count_if("old").alias("held"), F.count_if(~F.col("old")).alias("found"), F.min(m.DIGEST).alias("low"), F.max(m.DIGEST).alias("high"))
+    )
+    same = (F.col("held") == 1) & (F.col("found") == 1) & (F.col("low") == F.col("high"))
+    return told.where(~same).select(*m.KEY, F.when(F.col("found") > 0, INSERT).otherwise(DELETE).alias("type"))
+
+
 def query_changes(source: DataFrame, repository: str, predicate: Column) -> DataFrame:
     """The rows a rebuild by query changes: insertions."""
     selected = source.where(_in_repository(repository)).where(predicate)

@@ -181,7 +181,14 @@ class IndexTable:
     # -- write ---------------------------------------------------------------
 
     def _indexed(self, df: DataFrame) -> DataFrame:
-        return derive_fields(df, self.language) if self.derive else df
+        if not self.derive:
+            return df
+        return derive_fields(df.withColumn(m.DIGEST, maintain.content_digest(df, self.language)), self.language)
+
+    def _digests(self, rows: DataFrame) -> DataFrame:
+        """``(key, digest)``: the stored digest where rows of the index have one."""
+        digest = F.col(m.DIGEST) if m.DIGEST in rows.columns else maintain.content_digest(rows, self.language)
+        return rows.select(*m.KEY, digest.alias(m.DIGEST))
 
     def _write_data(self, df: DataFrame, label: str, repository: str | None = None, numbers: DataFrame | None = None) -> None:
         """Tasks write the rows they hold into the repositories' folders.  They
@@ -309,22 +316,36 @@ class IndexTable:
         root_id: str | None = None,
         predicate: Column | None = None,
         principal: str = "system",
+        only_changed: bool = False,
     ) -> None:
         """Rebuild ``ALL`` of a repository, the part below a ``ROOT``, or what a
         ``QUERY`` selects in the source.
 
         The audit row is written before the work.  A blank root or query warns
         and does nothing.
+
+        With ``only_changed`` the digests of the source's documents are compared
+        with those that the index keeps.  Only documents that differ are analysed and written,
+        and a rebuild that finds no difference writes nothing.  The index reads the same
+        afterwards, but for documents without an id, which are left alone.
         """
         if kind == "ALL":
             self._audit(f"rebuild of repository {repository!r}", principal)
             own = source.where(F.col(m.REPOSITORY) == repository)
+            if only_changed and self.version():
+                held = self.read().where(F.col(m.REPOSITORY) == repository)
+                self._write_differing(held, own, "reindex all")
+                return
             self._write_data(self._indexed(own), "reindex all", repository)
         elif kind == "ROOT":
             if not root_id or not root_id.strip():
                 log.warning("subtree rebuild asked for without a root: nothing is done")
                 return
             self._audit(f"rebuild below document {root_id!r}", principal)
+            if only_changed:
+                held, found = maintain.subtree(self.read(), repository, root_id), maintain.subtree_of_live_root(source, repository, root_id)
+                self._write_differing(held, found, "reindex root")
+                return
             changes = maintain.subtree_changes(self.read(), self._indexed(source), repository, root_id)
             self._write_changes(changes, "reindex root")
         elif kind == "QUERY":
@@ -332,10 +353,34 @@ class IndexTable:
                 log.warning("rebuild by query asked for without a query: nothing is done")
                 return
             self._audit(f"rebuild of the documents where {predicate}", principal)
+            if only_changed:
+                here = F.col(m.REPOSITORY) == repository
+                self._write_differing(self.read().where(here), source.where(here).where(predicate), "reindex query", delete=False)
+                return
             self._write_changes(maintain.query_changes(self._indexed(source), repository, predicate), "reindex query")
         else:
             raise ValueError(f"unknown rebuild type {kind!r}: one of {REINDEX_TYPES}")
 
+    def _write_differing(self, held: DataFrame, found: DataFrame, label: str, *, delete: bool = True) -> None:
+        """Make ``held`` rows of the index what ``found`` in the source says.
+
+        The keys of what differs are a table first, so their number is known when they
+        meet the source, and it is seen whether there are any.
+        """
+        staged = scratch_path(self.spark, "differing")
+        # ``held`` and ``found`` may come from one table; only keys and digests move.
+        named = maintain.differing(self._digests(held), self._digests(found))
+        (named if delete else named.where(F.col("type") == maintain.INSERT)).write.parquet(staged)
+        named = self.spark.read.schema(maintain.DIFFERING_SCHEMA).parquet(staged)
+        if not named.isEmpty():
+            self._write_changes(maintain.command_changes(named, found, self._indexed), label)
+        discard(self.spark, staged)
+
+    def written(self, version: int) -> DataFrame:
+        """``(key, change_type)`` of the rows that a partial write holds."""
+        schema = f"{maintain.KEY_SCHEMA}, {maintain.CHANGE} string"
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{CHANGES}/n={version}")
+
     def apply_commands(
         self, commands: DataFrame, source: DataFrame, label: str, *, recursive: bool = True
     ) -> None:

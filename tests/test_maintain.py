@@ -115,3 +115,51 @@ def test_repository_names_stay_text(spark, tmp_path):
     table.create(documents(spark, ("007", "a", [], "x"), ("2016", "b", [], "y")))
     table.reindex("QUERY", documents(spark, ("007", "a", [], "z")), "007", predicate=p.match_all())
     assert rows(table.read()) == [("007", "a", "z"), ("2016", "b", "y")]
+
+
+def test_an_unchanged_repository_is_not_written(spark, index):
+    same = index.read().persist()
+    for kind, more in (("ALL", {}), ("ROOT", {"root_id": "root"}), ("QUERY", {"predicate": p.match_all()})):
+        index.reindex(kind, same, "r1", only_changed=True, **more)
+    assert index.version() == 1 and index.audit().count() == 3
+    assert len(rows(index.read())) == 5
+
+
+@pytest.mark.parametrize("kind", ["ALL", "ROOT", "QUERY"])
+def test_rebuilds_of_what_differs_read_like_whole_ones(spark, tmp_path, index, kind):
+    more = {"ALL": {}, "ROOT": {"root_id": "root"}, "QUERY": {"predicate": p.match_all()}}[kind]
+    source = documents(
+        spark, ("r1", "root", [], "old"), ("r1", "a", ["root"], "new"), ("r1", "fresh", ["root"], None), ("r1", "other", [], "old"),
+        ("r1", "twice", ["root"], "x"), ("r1", "twice", ["root"], "x"), ("r2", "root", [], "new"), (None, "a", ["root"], "new"),
+    )
+    whole = IndexTable(spark, str(tmp_path / "whole"), derive=False)
+    whole.create(index.read())
+    whole.reindex(kind, source, "r1", **more)
+    index.reindex(kind, source, "r1", only_changed=True, **more)
+    assert rows(index.read().na.fill("-")) == rows(whole.read().na.fill("-"))
+    written = {row[1] for row in index.written(2).collect()}
+    assert "root" not in written and {"a", "fresh", "twice"} <= written
+    assert ("gone" in written) == (kind != "QUERY")
+    assert ("other" in written) == (kind != "ROOT")  # its list of ancestors was null, and is empty now
+
+
+def test_a_digest_tells_values_apart(spark):
+    told = spark.sql(
+        """SELECT * FROM VALUES (1, CAST(null AS string), timestamp'2020-01-01 00:00:00.000001'), (2, '', timestamp'2020-01-01 00:00:00.000001'),
+        (3, 'null', timestamp'2020-01-01 00:00:00.000001'), (4, '', timestamp'2020-01-01 00:00:00.000002') AS t(n, s, at)"""
+    )
+    digests = told.drop("n").select(maintain.content_digest(told.drop("n")).alias("d"))
+    assert digests.distinct().count() == 4
+    assert told.select(maintain.content_digest(told.drop("n"), "other").alias("d")).intersect(digests).count() == 0
+
+
+def test_a_rebuild_of_what_differs_analyses_that_alone(spark, tmp_path):
+    whole = content(spark, "/root/testdata/sf0.001")
+    index = IndexTable(spark, str(tmp_path / "derived"))
+    index.create(whole)
+    index.reindex("ALL", whole, "default", only_changed=True)
+    assert index.version() == 1
+    renamed = F.when(F.col(m.UUID) == "doc-7", "another title").otherwise(F.col(m.TITLE))
+    index.reindex("ALL", whole.withColumn(m.TITLE, renamed), "default", only_changed=True)
+    assert {row[1] for row in index.written(2).collect()} == {"doc-7"}
+    assert index.read().where(F.col(m.UUID) == "doc-7").select(m.TITLE_LOWERCASE).collect()[0][0] == "another title"
