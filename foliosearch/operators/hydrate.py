@@ -45,7 +45,7 @@ def hydrate(
     columns only a score is kept.
 
     ``by_id=True`` finds the page at once, and reads the parts of the source that
-    may have its documents instead of all.
+    may have its documents instead of all; a page of more than ``MOST_IDS`` stays lazy.
     """
     if page_size == ALL_ROWS:
         raise ValueError("a page has a size; all matches are exported instead")
@@ -53,7 +53,7 @@ def hydrate(
     position = F.row_number().over(Window.orderBy(*sort_orders(best, keys)))
     score = [name for name in best.columns if name == "score"]
     numbered = best.select(*m.KEY, *score, position.alias(POSITION))
-    if not by_id:
+    if not by_id or page_size > MOST_IDS:
         return source.join(numbered, m.KEY).orderBy(POSITION)
     found = numbered.collect()  # a page
     return named_documents(source, source.sparkSession.createDataFrame(found, numbered.schema)).orderBy(POSITION)
