@@ -9,8 +9,8 @@ returns a table.  All but the last return the columns of ``documents``.
 4. decontaminate: documents that hold a benchmark passage go;
 5. sentencepiece: the token counts and digests of what is left.
 
-No stage's rows are SQL's to say, so ``ORACLE_SQL`` is None and the tests compare
-with a brute-force version.
+No stage's rows are SQL's to say, so ``ORACLE_SQL`` is None.  The tests compare each
+stage with its operator, and the operators with brute force or the library.
 """
 
 from __future__ import annotations
