@@ -1,7 +1,9 @@
 """Facets (A3, A3a–A3e)."""
 
+from pyspark.sql import functions as F
 
 from checks.base import content_sql, query
+from checks.textsql import sort_key
 from foliosearch import model as m
 from foliosearch.functions import predicates as p
 from foliosearch.operators.facets import (
@@ -126,3 +128,54 @@ def a3_facets_with_search(spark, folder):
 def a3_facets_of_events(spark, folder):
     wanted = [terms_facet("type", "event_type", 10), date_histogram_facet("day", "ts", "day")]
     return facets(table(spark, folder, "events"), wanted)
+
+
+def _as_rows(result):
+    """Page, total and facets of one result as rows ``(part, name, number)``."""
+    names = result.hits.select(F.lit("hit").alias("part"), F.col(m.UUID).alias("name"), F.lit(1).cast("long").alias("number"))
+    info = result.info().select(F.explode(F.map_from_arrays(
+        F.array(F.lit("totalSize"), F.lit("resultsCount"), F.lit("pageCount")),
+        F.array("totalSize", "resultsCount", "pageCount"),
+    )).alias("name", "number"))
+    buckets = result.facets.select("agg_id", "bucket_key", "doc_count")
+    return names.union(info.select(F.lit("info"), "name", "number")).union(buckets)
+
+
+def _result_sql(order, size, index):
+    """Rows of a result over ``MATCHED``: its page in this order, page info, four facets."""
+    return content_sql(
+        f"""
+        SELECT 'hit' AS part, uuid AS name, 1 AS number
+        FROM (SELECT uuid FROM {MATCHED} ORDER BY {order} LIMIT {size} OFFSET {size * index})
+        UNION ALL SELECT 'info', 'totalSize', count(*) FROM {MATCHED}
+        UNION ALL SELECT 'info', 'resultsCount', greatest(0, least({size}, count(*) - {size * index})) FROM {MATCHED}
+        UNION ALL SELECT 'info', 'pageCount', CAST(ceil(count(*) / {size}) AS BIGINT) FROM {MATCHED}
+        UNION ALL ({_top_sql("state", MATCHED, "state", 10)})
+        UNION ALL ({_top_sql("subject", f"(SELECT unnest(subjects) AS s FROM {MATCHED})", "s", 6)})
+        UNION ALL SELECT 'pos', CAST(pos // 20 * 20 AS VARCHAR), count(*) FROM {MATCHED} GROUP BY ALL
+        UNION ALL SELECT 'year', strftime(date_trunc('year', modified), '%Y-%m-%d'), count(*) FROM {MATCHED} GROUP BY ALL
+        """
+    )
+
+
+def _result(spark, folder, sort, size, index):
+    search = Search(p.flag(m.IS_PROXY, 0), principals=["members", "staff"], sort=sort, page_size=size, page_index=index)
+    wanted = [
+        terms_facet("state", m.STATE, 10),
+        terms_facet("subject", m.SUBJECTS, 6),
+        histogram_facet("pos", m.POS, 20),
+        date_histogram_facet("year", m.MODIFIED, "year"),
+    ]
+    return _as_rows(search.result(content(spark, folder), wanted))
+
+
+@query(_result_sql(f"{sort_key('title')}, uuid", 20, 1))
+def a3_page_total_and_facets_by_title(spark, folder):
+    """All of one search: the second page by a text, its info, four facets."""
+    return _result(spark, folder, [(m.TITLE, True)], 20, 1)
+
+
+@query(_result_sql("expired DESC NULLS LAST, pos, uuid", 15, 0))
+def a3_page_total_and_facets_by_date(spark, folder):
+    """The same by a falling date with ties and nulls."""
+    return _result(spark, folder, [(m.EXPIRED, False), (m.POS, True)], 15, 0)

@@ -75,6 +75,18 @@ def _buckets(facet: Facet, multi_valued: bool) -> Column:
     return F.coalesce(buckets, F.array().cast("array<struct<agg_id:string,bucket_key:string>>"))
 
 
+def stacked_buckets(df: DataFrame, wanted: Sequence[Facet]) -> Column:
+    """All buckets of a row, of every facet, as one array of ``(agg_id, bucket_key)``."""
+    if len({facet.agg_id for facet in wanted}) < len(wanted):
+        raise ValueError("facet ids must differ")
+    multi_valued = {
+        field.name for field in df.schema if isinstance(field.dataType, T.ArrayType)
+    }
+    if any(facet.several or facet.column in multi_valued for facet in wanted):
+        return F.flatten(F.array(*[_buckets(facet, facet.several or facet.column in multi_valued) for facet in wanted]))
+    return F.array(*[_bucket(facet, facet.bucket) for facet in wanted])
+
+
 def facets(df: DataFrame, wanted: Sequence[Facet]) -> DataFrame:
     """``(agg_id, bucket_key, doc_count)`` of every facet over all rows of ``df``.
 
@@ -83,26 +95,20 @@ def facets(df: DataFrame, wanted: Sequence[Facet]) -> DataFrame:
     partial count per task.  The top of a terms facet is cut inside each task
     before its ranking, so no task ever ranks all values.
     """
-    if len({facet.agg_id for facet in wanted}) < len(wanted):
-        raise ValueError("facet ids must differ")
-    multi_valued = {
-        field.name for field in df.schema if isinstance(field.dataType, T.ArrayType)
-    }
-    if any(facet.several or facet.column in multi_valued for facet in wanted):
-        stacked = F.flatten(F.array(*[_buckets(facet, facet.several or facet.column in multi_valued) for facet in wanted]))
-    else:
-        stacked = F.array(*[_bucket(facet, facet.bucket) for facet in wanted])
     counts = (
-        df.select(F.explode(stacked).alias("bucket"))
+        df.select(F.explode(stacked_buckets(df, wanted)).alias("bucket"))
         .select("bucket.agg_id", "bucket.bucket_key")
         .where(F.col("bucket_key").isNotNull())
         .groupBy("agg_id", "bucket_key")
         .agg(F.count(F.lit(1)).alias("doc_count"))
     )
+    return top_buckets(counts, wanted)
+
+
+def top_buckets(counts: DataFrame, wanted: Sequence[Facet]) -> DataFrame:
+    """Counted buckets without those beyond the top of a terms facet; other columns stay."""
     tops = {facet.agg_id: facet.top for facet in wanted if facet.top is not None}
-    if not tops:
-        return counts
-    return _top_values(counts, tops)
+    return _top_values(counts, tops) if tops else counts
 
 
 def _top_values(counts: DataFrame, tops: dict[str, int]) -> DataFrame:
@@ -126,4 +132,4 @@ def _top_values(counts: DataFrame, tops: dict[str, int]) -> DataFrame:
 
     if highest > int(counts.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
         ranked = cut(ranked, F.pmod(F.xxhash64("bucket_key"), F.lit(SALTS))).drop("rank")
-    return cut(ranked).where(F.col("rank") <= limit).select("agg_id", "bucket_key", "doc_count")
+    return cut(ranked).where(F.col("rank") <= limit).drop("rank", "group")

@@ -75,7 +75,7 @@ def page(df: DataFrame, page_size: int = ALL_ROWS, page_index: int = 0) -> DataF
     return df.offset(page_size * page_index).limit(page_size)
 
 
-def _sort_values(df: DataFrame, keys: Sequence[SortKey] = ()) -> list[tuple[Column, bool]]:
+def sort_values(df: DataFrame, keys: Sequence[SortKey] = ()) -> list[tuple[Column, bool]]:
     """What hits are ordered by, and whether it ascends: the same as ``sort_orders``."""
     values = [(F.col("score"), False)] if not keys and "score" in df.columns else []
     for name, ascending in keys:
@@ -90,7 +90,7 @@ def cursor_after(hits: DataFrame, keys: Sequence[SortKey] = ()) -> list | None:
 
     A page is small; it is read once for this.
     """
-    values = [value.alias(f"v{k}") for k, (value, _) in enumerate(_sort_values(hits, keys))]
+    values = [value.alias(f"v{k}") for k, (value, _) in enumerate(sort_values(hits, keys))]
     rows = hits.select(*values).collect()
     return list(rows[-1]) if rows else None
 
@@ -102,7 +102,7 @@ def after_cursor(df: DataFrame, cursor: Sequence, keys: Sequence[SortKey] = ())
     value, or equal to it and the next one decides.  Nulls come last both
     ways.  The first column's part stands alone as well, so that it reaches the scan.
     """
-    values = _sort_values(df, keys)
+    values = sort_values(df, keys)
     if len(cursor) != len(values):
         raise ValueError(f"a cursor of {len(cursor)} values for an order of {len(values)}")
     beyond, same = F.lit(False), F.lit(True)
@@ -144,11 +144,16 @@ def page_info(df: DataFrame, page_size: int, page_index: int) -> DataFrame:
     Counting needs no sort and no data column, and the size of the page follows
     from the total.  There is no page info for a result without pages.
     """
+    return info_of_total(total_matches(df), page_size, page_index)
+
+
+def info_of_total(totals: DataFrame, page_size: int, page_index: int) -> DataFrame:
+    """``page_info`` from a total that is known: a row ``(totalSize)``."""
     if page_size < 1 or page_index < 0:
         raise ValueError(f"no page info for size {page_size}, index {page_index}")
     size = F.lit(page_size).cast("long")
     left = F.col("totalSize") - F.lit(page_size * page_index).cast("long")
-    return total_matches(df).select(
+    return totals.select(
         F.lit(True).alias("isPaginable"),
         F.greatest(F.lit(0).cast("long"), F.least(left, size)).alias("resultsCount"),
         "totalSize",

@@ -13,11 +13,42 @@ from foliosearch.operators.envelope import envelope, page_json
 from foliosearch.operators.facets import Facet, facets
 from foliosearch.operators.fulltext import FullTextQuery
 from foliosearch.operators.hydrate import hydrate
-from foliosearch.operators.page import ALL_ROWS, SortKey, next_page, page, page_info, sort_columns, sort_hits, total_matches
+from foliosearch.operators.page import (
+    ALL_ROWS,
+    SortKey,
+    info_of_total,
+    next_page,
+    page,
+    page_info,
+    sort_columns,
+    sort_hits,
+    total_matches,
+)
 from foliosearch.operators.security import acl_filter
+from foliosearch.operators.summary import summarise
 from foliosearch.plans.term_index import TermIndex
 
 
+@dataclass(frozen=True)
+class SearchResult:
+    """A page with the total of all matches and their facets."""
+
+    hits: DataFrame
+    facets: DataFrame
+    total: int
+    page_size: int
+    page_index: int
+
+    def facet(self, agg_id: str) -> DataFrame:
+        """``(bucket_key, doc_count)`` of one facet."""
+        return self.facets.where(F.col("agg_id") == agg_id).select("bucket_key", "doc_count")
+
+    def info(self) -> DataFrame:
+        """The row that ``page_info`` gives, without another count."""
+        totals = self.facets.sparkSession.range(1).select(F.lit(self.total).cast("long").alias("totalSize"))
+        return info_of_total(totals, self.page_size, self.page_index)
+
+
 @dataclass(frozen=True)
 class Search:
     """What to find, for whom, in which order, and which page of it.
@@ -51,9 +82,12 @@ class Search:
     def hits(self, df: DataFrame) -> DataFrame:
         """The page of hits.  Where hits are ranked, only keys, scores and sort columns
         move until the page is cut; the documents are fetched for it alone."""
+        return self._page_of(df, self.matches(df))
+
+    def _page_of(self, df: DataFrame, found: DataFrame) -> DataFrame:
         if self.terms is None or self.page_size == ALL_ROWS:
-            return page(sort_hits(self.matches(df), self.sort), self.page_size, self.page_index)
-        narrow = self.matches(df).select(*m.KEY, "score", *sort_columns(df, self.sort))
+            return page(sort_hits(found, self.sort), self.page_size, self.page_index)
+        narrow = found.select(*m.KEY, "score", *sort_columns(df, self.sort))
         full = hydrate(narrow, df, self.page_size, self.page_index, self.sort, by_id=True)
         return full.select(*[F.col(f"`{name}`") for name in (*df.columns, "score")])
 
@@ -78,6 +112,21 @@ class Search:
     def facets(self, df: DataFrame, wanted: Sequence[Facet]) -> DataFrame:
         return facets(self.matches(df), wanted)
 
+    def result(self, df: DataFrame, wanted: Sequence[Facet] = ()) -> SearchResult:
+        """The page, the total and the facets, from one reading of all matches.
+
+        That reading runs at once and leaves a small table: the counted buckets, and
+        the best leading sort value of each of a fixed number of cells of hits.
+        The total is the cells' sum, and the page is read below the bound that
+        the cells prove for it.  The predicate, the ACL and the query must be
+        the same in both readings: nothing may write to ``df`` in between.
+        """
+        found = self.matches(df)
+        paged = self.page_size != ALL_ROWS
+        counted = summarise(found, wanted, self.page_size * (self.page_index + 1) if paged else 0, self.sort)
+        bounded = found if counted.bound is None else found.where(counted.bound)
+        return SearchResult(self._page_of(df, bounded), counted.facets, counted.total, self.page_size, self.page_index)
+
 
 def ranked_hits(
     df: DataFrame,
