@@ -106,11 +106,11 @@ def m1_reindex_all_in_table(spark, folder):
     return shown(index.read())
 
 
-def _subtree_sql(root):
+def _subtree_sql(root, columns=SHOWN_SQL):
     inside = f"repository = 'default' AND (uuid = '{root}' OR list_contains(ancestor_ids, '{root}'))"
     return f"""
-    SELECT {SHOWN_SQL} FROM stale WHERE NOT ({inside})
-    UNION ALL SELECT {SHOWN_SQL} FROM source WHERE {inside}
+    SELECT {columns} FROM stale WHERE NOT ({inside})
+    UNION ALL SELECT {columns} FROM source WHERE {inside}
       AND EXISTS (SELECT 1 FROM source WHERE repository = 'default' AND uuid = '{root}')
     """
 
@@ -467,3 +467,19 @@ def m1_rebuild_writes_what_differs(spark, folder):
 @query(_written_sql("repository = 'default' AND primary_type = 'File'", delete=False))
 def m3_rebuild_writes_what_differs(spark, folder):
     return _written(spark, folder, "QUERY", predicate=p.equals(m.PRIMARY_TYPE, "File"))
+
+
+@query(
+    content_sql(
+        f"""
+        SELECT {SHOWN_SQL} FROM ({_subtree_sql("/src1/fr", f"{SHOWN_SQL}, ancestor_ids")})
+        WHERE uuid = '/src1' OR list_contains(ancestor_ids, '/src1')
+        """,
+        *TREES,
+    )
+)
+def f9_below_by_path_ranges(spark, folder):
+    """An ancestor's subtree in all repositories, by its ranges, after a rebuild of a part of it."""
+    index = _table(spark, folder)
+    index.reindex("ROOT", source(spark, folder), "default", root_id="/src1/fr")
+    return shown(index.read().where(index.below("/src1")))

@@ -41,7 +41,7 @@ def _in_repository(repository: str) -> Column:
     return F.col(m.REPOSITORY).eqNullSafe(F.lit(repository))
 
 
-def _in_subtree(root_id: str) -> Column:
+def in_subtree(root_id: str) -> Column:
     """The root or anything below it; never null."""
     below = F.array_contains(m.ANCESTOR_IDS, root_id)
     return F.coalesce(F.col(m.UUID) == root_id, F.lit(False)) | F.coalesce(below, F.lit(False))
@@ -58,14 +58,14 @@ def reindex_all(index: DataFrame, source: DataFrame, repository: str) -> DataFra
 
 
 def subtree(rows: DataFrame, repository: str, root_id: str) -> DataFrame:
-    return rows.where(_in_repository(repository)).where(_in_subtree(root_id))
+    return rows.where(_in_repository(repository)).where(in_subtree(root_id))
 
 
 def subtree_of_live_root(source: DataFrame, repository: str, root_id: str) -> DataFrame:
     """The root and its subtree, or nothing once the root is gone."""
     here = source.where(_in_repository(repository))
     root_exists = here.where(F.col(m.UUID) == root_id).agg((F.count(F.lit(1)) > 0).alias("exists")).scalar()
-    return here.where(_in_subtree(root_id)).where(root_exists)
+    return here.where(in_subtree(root_id)).where(root_exists)
 
 
 def reindex_subtree(index: DataFrame, source: DataFrame, repository: str, root_id: str | None) -> DataFrame:
@@ -77,7 +77,7 @@ def reindex_subtree(index: DataFrame, source: DataFrame, repository: str, root_i
     if not root_id or not root_id.strip():
         log.warning("subtree rebuild asked for without a root: nothing is done")
         return index
-    kept = index.where(~(_in_repository(repository) & _in_subtree(root_id)))
+    kept = index.where(~(_in_repository(repository) & in_subtree(root_id)))
     return kept.unionByName(subtree_of_live_root(source, repository, root_id))
 
 
@@ -174,7 +174,8 @@ def _targets(df: DataFrame, commands: DataFrame, kind: str) -> DataFrame:
     """``(key, order)``: the documents of ``df`` that recursive commands reach.
 
     Ancestors are exploded from narrow rows only and met with the commands by
-    equality; Catalyst broadcasts the commands when they are few.
+    equality; Catalyst broadcasts the commands when they are few.  An index table
+    gives only the rows in the ranges that the commands can reach.
     """
     members = df.select(*m.KEY, F.explode(m.ANCESTOR_IDS).alias("root"))
     return members.join(_recursive_roots(commands, kind), [m.REPOSITORY, "root"]).select(*m.KEY, ORDER)

@@ -7,6 +7,7 @@ A folder holds
     changes/n=N    rows changed since
     numbers/n=N    the newest command of each document that commands named
     classes/n=N    the distinct ACLs of the rows that a write holds, by class
+    subtrees/n=N   the range of paths below each ancestor that its rows name
     rejects        commands that were refused, by batch
     commits        one line per finished write, numbered in order
     audit          one line per rebuild
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliosearch import model as m
-from foliosearch.operators import maintain
+from foliosearch.operators import maintain, subtrees
 from foliosearch.operators.fields import derive_fields
 from foliosearch.operators.security import acl_dictionary
 from foliosearch.session import discard, remove, scratch_path
@@ -52,6 +53,7 @@ DATA = "data"
 CHANGES = "changes"
 NUMBERS = "numbers"
 CLASSES = "classes"
+SUBTREES = "subtrees"
 REJECTS = "rejects"
 
 COMPACT = "compact"
@@ -208,6 +210,7 @@ class IndexTable:
         )
         self._write_numbers(n, numbers)
         self._write_classes(n, DATA)
+        self._write_subtrees(n, DATA)
         self._commit(n, DATA, repository, label, df.schema.json(), numbers is not None)
 
     def _write_classes(self, n: int, kind: str) -> None:
@@ -245,6 +248,59 @@ class IndexTable:
                 raise
             return None
 
+    def _write_subtrees(self, n: int, kind: str) -> None:
+        """From the written rows: only their paths and ancestors are read again."""
+        rows = self.spark.read.parquet(f"{self.path}/{kind}/n={n}") if self._holds_rows(n, kind) else None
+        if rows is None:
+            intervals = self.spark.createDataFrame([], subtrees.INTERVAL_SCHEMA)
+        elif {m.PATH, m.ANCESTOR_IDS} <= set(rows.columns):
+            named = rows.withColumn(m.REPOSITORY, F.col(m.REPOSITORY).cast("string"))
+            intervals = subtrees.subtree_intervals(named).sortWithinPartitions(subtrees.ROOT)
+        else:
+            return
+        intervals.write.mode("overwrite").parquet(f"{self.path}/{SUBTREES}/n={n}")
+
+    def subtrees(self) -> DataFrame | None:
+        """``(repository, root, low, high, unplaced)`` by write, as ``operators.subtrees`` says.
+
+        Rows of all ancestors that documents of the index name, and of some that no longer do.
+        None where a write left none.
+        """
+        commits = self.commits()
+        whole = max((line.n for line in commits if line.kind == DATA and not line.repository), default=0)
+        folders = [f"{self.path}/{SUBTREES}/n={line.n}" for line in commits if line.n >= whole]
+        try:
+            return self.spark.read.schema(subtrees.INTERVAL_SCHEMA).parquet(*folders)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
+    def below(self, root_id: str, repository: str | None = None) -> Column:
+        """The documents below an ancestor and the ancestor itself, as a predicate on ``read()``.
+
+        It carries the ranges of paths that can hold them as the index stands now, so the
+        scan skips the row groups outside, and reads the ancestors of the rest.
+        """
+        intervals = self.subtrees()
+        decided = maintain.in_subtree(root_id)
+        if intervals is None:
+            return decided
+        named = intervals.where(F.col(subtrees.ROOT) == root_id)
+        if repository is not None:
+            named = named.where(F.col(m.REPOSITORY) == repository)
+        return ((F.col(m.UUID) == root_id) | subtrees.within(subtrees.reach(named))) & decided
+
+    def _within_reach(self, commands: DataFrame) -> DataFrame:
+        """The index without the rows that no recursive deletion among the commands can reach."""
+        intervals = self.subtrees()
+        if intervals is None:
+            return self.read()
+        recursive = commands.where((F.col("type") == maintain.DELETE) & F.col("recurse"))
+        roots = recursive.select(F.col("repo").alias(m.REPOSITORY), F.col("docId").alias(subtrees.ROOT))
+        named = intervals.join(roots, [m.REPOSITORY, subtrees.ROOT], "left_semi")
+        return self.read().where(subtrees.within(subtrees.reach(named)))
+
     def _write_numbers(self, n: int, numbers: DataFrame | None) -> None:
         if numbers is not None:
             shown = numbers.select(*m.KEY, maintain.ORDER, maintain.RECURSIVE)
@@ -257,6 +313,7 @@ class IndexTable:
         numbered = changes.withColumn(maintain.SEQUENCE, F.lit(n).cast("long"))
         numbered.write.mode("overwrite").parquet(f"{self.path}/{CHANGES}/n={n}")
         self._write_classes(n, CHANGES)
+        self._write_subtrees(n, CHANGES)
         self._commit(n, CHANGES, None, label, numbers=numbers is not None)
 
     def create(self, source: DataFrame) -> None:
@@ -342,11 +399,12 @@ class IndexTable:
                 log.warning("subtree rebuild asked for without a root: nothing is done")
                 return
             self._audit(f"rebuild below document {root_id!r}", principal)
+            held = self.read().where(self.below(root_id, repository))
             if only_changed:
-                held, found = maintain.subtree(self.read(), repository, root_id), maintain.subtree_of_live_root(source, repository, root_id)
+                held, found = maintain.subtree(held, repository, root_id), maintain.subtree_of_live_root(source, repository, root_id)
                 self._write_differing(held, found, "reindex root")
                 return
-            changes = maintain.subtree_changes(self.read(), self._indexed(source), repository, root_id)
+            changes = maintain.subtree_changes(held, self._indexed(source), repository, root_id)
             self._write_changes(changes, "reindex root")
         elif kind == "QUERY":
             if predicate is None:
@@ -399,7 +457,8 @@ class IndexTable:
         sound, refused = maintain.checked_commands(commands)
         self._write_rejects(refused, label)
         staged = scratch_path(self.spark, "commands")
-        newest, known = maintain.newest_commands(sound, source, self.read(), recursive), self.numbers()
+        reached = self._within_reach(sound) if recursive else self.read()
+        newest, known = maintain.newest_commands(sound, source, reached, recursive), self.numbers()
         (newest if known is None else maintain.fresh_commands(newest, known)).write.parquet(staged)
         newest = self.spark.read.parquet(staged)
         roots = None if known is None else known.where(maintain.RECURSIVE)
