@@ -24,7 +24,6 @@ from foliosearch.operators.analysis import (
     analyze,
     analyzed_terms,
     document_postings,
-    postings,
     term_statistics,
     tokens,
 )
@@ -283,9 +282,8 @@ def t15_term_statistics(spark, folder):
     )
 )
 def t15_term_frequencies(spark, folder):
-    terms = analyze(table(spark, folder, "documents", "doc_id"), ["doc_id"], "text", "fulltext")
     return (
-        postings(terms, ["doc_id"])
+        document_postings(table(spark, folder, "documents"), ["doc_id"], "text", "fulltext")
         .groupBy("doc_id")
         .agg(
             F.count(F.lit(1)).alias("terms"),

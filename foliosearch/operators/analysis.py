@@ -109,8 +109,9 @@ def by_document(df: DataFrame, keep: list[str]) -> DataFrame:
     return df.repartition(partitions, *keep)
 
 
-# Bytes of text that one task analyses.
-TEXT_BYTES = 64 << 20
+# Bytes of stored text that one task analyses.  They become some twenty-five times as many
+# bytes of postings, which the task's hash table holds.
+TEXT_BYTES = 16 << 20
 
 
 # A table whose size Spark doesn't know counts as larger than this.

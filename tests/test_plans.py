@@ -5,17 +5,20 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from checks.catalog import QUERIES
 from foliosearch import model as m
 from foliosearch.functions import predicates as p
 from foliosearch.operators import analysis
 from foliosearch.operators.analysis import analyze, analyzed_terms, document_postings, postings, term_statistics
 from foliosearch.operators.envelope import project_schemas
 from foliosearch.operators.facets import date_histogram_facet, facets, terms_facet
+from foliosearch.operators.fields import derive_fields
 from foliosearch.operators.fulltext import fulltext_match, fulltext_query
 from foliosearch.operators.maintain import command_changes
 from foliosearch.operators.page import page, page_info, sort_hits
 from foliosearch.operators.relevance import field_postings, score_text
 from foliosearch.operators.security import acl_filter
+from foliosearch.plans import term_index
 from foliosearch.plans.index_table import IndexTable
 from foliosearch.plans.search import Search
 from foliosearch.plans.term_index import TermIndex
@@ -243,3 +246,8 @@ def test_analysis_tasks_follow_the_size_of_the_input(spark, monkeypatch):
     monkeypatch.setattr(analysis, "TEXT_BYTES", 1 << 40)
     few = analysis.by_document(rows, ["doc_id"]).rdd.getNumPartitions()
     assert many > 50 and few == 2 * spark.sparkContext.defaultParallelism
+
+
+def test_term_frequencies_of_a_corpus_are_counted_in_tasks_that_follow_its_size(spark, monkeypatch):
+    monkeypatch.setattr(analysis, "TEXT_BYTES", 1 << 10)
+    assert QUERIES["t15_term_frequencies"](spark, FOLDER).rdd.getNumPartitions() > 50
