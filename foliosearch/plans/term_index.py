@@ -68,7 +68,7 @@ class TermIndex:
 
         ``followed`` is the version of the index table that ``df`` is.
         """
-        self._write(df.select(*m.KEY, *self.fields).withColumn("sign", F.lit(1)), followed, whole=True)
+        self._write(df.select(*m.KEY, *self.fields), followed, whole=True)
         self._forget_replaced()
 
     def follow(self, index: IndexTable) -> None:
@@ -99,16 +99,26 @@ class TermIndex:
         self._forget_replaced()
 
     def _write(self, rows: DataFrame, followed: int | None, whole: bool) -> None:
-        """Rows are (key, *fields, sign).  They are analysed once, and laid out from a
-        written table: sampling ranges of the analysis itself would run it twice."""
+        """Rows are (key, *fields) of a whole corpus, or (key, *fields, sign) of a difference.  They
+        are analysed once, and laid out from a written table: sampling ranges of the
+        analysis itself would run it twice.
+
+        Rows of a whole corpus all count 1, which is said after the analysis: Catalyst puts
+        a constant among the grouping keys in another place than where the texts are dealt
+        by it, and would shuffle all postings for that, twice.
+        """
         n = max((line.n for line in self.commits()), default=0) + 1
         staged, changed = scratch_path(self.spark, "postings"), scratch_path(self.spark, "changed")
         if not whole:  # a difference is used twice
             rows.write.parquet(changed)
             rows = self.spark.read.parquet(changed)
-        field_postings(rows, [*m.KEY, "sign"], self.fields, self.language).write.parquet(staged)
+        if whole:
+            posted, signs = field_postings(rows, m.KEY, self.fields, self.language).withColumn("sign", F.lit(1)), F.lit(1)
+        else:
+            posted, signs = field_postings(rows, [*m.KEY, "sign"], self.fields, self.language), F.col("sign")
+        posted.write.parquet(staged)
         self._lay_out(self.spark.read.parquet(staged), n)
-        total = rows.agg(F.coalesce(F.sum("sign"), F.lit(0)).cast("long").alias("total"))
+        total = rows.agg(F.coalesce(F.sum(signs), F.lit(0)).cast("long").alias("total"))
         total.write.mode("overwrite").parquet(f"{self.path}/corpus/n={n}")
         for path in (staged, changed):
             discard(self.spark, path)

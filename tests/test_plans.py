@@ -251,3 +251,16 @@ def test_analysis_tasks_follow_the_size_of_the_input(spark, monkeypatch):
 def test_term_frequencies_of_a_corpus_are_counted_in_tasks_that_follow_its_size(spark, monkeypatch):
     monkeypatch.setattr(analysis, "TEXT_BYTES", 1 << 10)
     assert QUERIES["t15_term_frequencies"](spark, FOLDER).rdd.getNumPartitions() > 50
+
+
+def test_a_whole_build_shuffles_texts_only(spark, monkeypatch, tmp_path):
+    """Catalyst moves constants among grouping keys; a constant sign there had all postings shuffled twice."""
+    found = []
+
+    def noted(*args):
+        found.append(field_postings(*args))
+        return found[-1]
+
+    monkeypatch.setattr(term_index, "field_postings", noted)
+    TermIndex(spark, str(tmp_path / "terms")).build(content(spark, FOLDER))
+    assert [plan(posted).count("Exchange") for posted in found] == [1]
