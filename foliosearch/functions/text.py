@@ -125,6 +125,9 @@ def words(text: Column) -> Column:
     )
 
 
+# A word in one piece: most words are, and this is seen in one pass over the letters.
+_ONE_PIECE = r"^\p{Lu}?+\p{Ll}++$"
+
 # Where a word falls into parts.
 _PART_BREAK = r"[^\p{L}\p{M}\p{N}]|\p{Ll}\p{Lu}|\p{L}\p{M}*\p{N}|\p{N}\p{L}"
 
@@ -134,14 +137,15 @@ def with_word_parts(word: Column) -> Column:
 
     Parts end at punctuation, at a lower-to-upper case change and between
     letters and digits; a possessive ``'s`` is dropped from them.  Most words
-    have no parts and cost a single match.
+    have no parts and cost a single short match.
     """
     spaced = F.regexp_replace(word, r"'[sS]([^\p{L}\p{N}]|$)", "$1")
     spaced = F.regexp_replace(spaced, r"(\p{Ll})(\p{Lu})", "$1 $2")
     spaced = F.regexp_replace(spaced, r"(\p{L}\p{M}*)(\p{N})", "$1 $2")
     spaced = F.regexp_replace(spaced, r"(\p{N})(\p{L})", "$1 $2")
     parts = F.array_remove(F.split(spaced, r"[^\p{L}\p{M}\p{N}]+"), "")
-    return F.when(word.rlike(_PART_BREAK), F.concat(F.array(word), parts)).otherwise(F.array(word))
+    whole = word.rlike(_ONE_PIECE) | ~word.rlike(_PART_BREAK)
+    return F.when(whole, F.array(word)).otherwise(F.concat(F.array(word), parts))
 
 
 def lowercase(word: Column) -> Column:
@@ -168,19 +172,31 @@ def stem_english(word: Column) -> Column:
     )
 
 
+def _french_ending(word: Column, ending: str = "", letters: str = "sreé") -> Column:
+    """How many letters the longest ending ``é?e?r?s?`` of a word has."""
+    if not letters:
+        return F.lit(len(ending))
+    longer = letters[0] + ending
+    return F.when(word.endswith(longer), _french_ending(word, longer, letters[1:])).otherwise(
+        _french_ending(word, ending, letters[1:])
+    )
+
+
 def stem_french(word: Column) -> Column:
     """Minimal French stemmer (Savoy, 1999): words under six letters stay.
 
     A word loses a final s, then r, e and é, then one of two equal last letters.
-    One match does all of it: a doubled letter just before those endings starts
-    further left, hence wins.
+    Every word is asked for its ending, so the endings are compared, not matched: a
+    pattern would be tried at each letter of the word.  The ending is named twice at
+    most: Java leaves a method uncompiled once its code is too long.
     """
-    ending = "é?e?r?s?$"
+    before = F.substring(word, F.length(word) - _french_ending(word) - 1, F.lit(2))
+    doubled = before.rlike(r"^(\p{L})\1$").cast("int")
     return (
         F.when(F.length(word) < 6, word)
         .when(word.endswith("aux"), F.concat(_without_last(word, 3), F.lit("al")))
         .when(word.endswith("x"), _without_last(word, 1))
-        .otherwise(F.regexp_replace(word, rf"(\p{{L}})\1{ending}|{ending}", "$1"))
+        .otherwise(_without_last(word, _french_ending(word) + doubled))
     )
 
 

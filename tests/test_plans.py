@@ -264,3 +264,7 @@ def test_a_whole_build_shuffles_texts_only(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(term_index, "field_postings", noted)
     TermIndex(spark, str(tmp_path / "terms")).build(content(spark, FOLDER))
     assert [plan(posted).count("Exchange") for posted in found] == [1]
+
+
+def test_stems_are_compared_and_not_matched(spark):
+    assert "é?e?r?s?" not in plan(analyze(table(spark, FOLDER, "documents"), ["doc_id"], "text", "fulltext"))
