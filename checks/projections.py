@@ -152,8 +152,7 @@ def p7_derived_fields(spark, folder):
     derived = derive_fields(content(spark, folder, spread=True))
 
     def digest(name):
-        listed = F.array_sort(F.col(name))
-        return F.when(F.size(listed) > 0, F.md5(F.array_join(listed, " ")))
+        return F.when(F.size(name) > 0, F.md5(F.array_join(F.sort_array(name), " ")))
 
     variables = F.col(m.VARIABLES_LOWERCASE)
     return derived.select(

@@ -71,8 +71,18 @@ def analyzed_terms(text: Column, language: str) -> Column:
     The same chain as ``analyze``, for columns an index keeps beside the
     document: it needs no regrouping, hence no shuffle.
     """
+    return terms_of_words(distinct_words(text), language)
+
+
+def distinct_words(text: Column) -> Column:
+    """The words of a text, each once, as an array inside its own row."""
+    return F.array_distinct(t.words(t.strip_html(text)))
+
+
+def terms_of_words(words: Column, language: str) -> Column:
+    """The distinct terms of an array of words; each word has its own, whatever stands around it."""
     analyzer = ANALYZERS[language]
-    found = F.flatten(F.transform(t.words(t.strip_html(text)), t.with_word_parts))
+    found = F.flatten(F.transform(words, t.with_word_parts))
     found = F.array_distinct(F.transform(found, t.lowercase))
     found = F.filter(found, lambda word: ~t.is_stop_word(word, analyzer.stop_words))
     found = F.flatten(F.transform(F.transform(found, analyzer.stem), t.with_folded))

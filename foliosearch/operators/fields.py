@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from foliosearch import model as m
 from foliosearch.functions import text as t
-from foliosearch.operators.analysis import analyzed_terms
+from foliosearch.operators.analysis import distinct_words, terms_of_words
 from foliosearch.operators.security import acl_class
 
 
@@ -63,17 +63,24 @@ def derive_fields(df: DataFrame, language: str = "fulltext") -> DataFrame:
     Worked out once, when the index is built, so that queries only read them.
     """
     own_terms = {m.TITLE: m.TITLE_TERMS, m.DESCRIPTION: m.DESCRIPTION_TERMS, m.NOTE: m.NOTE_TERMS}
+    empty = F.array().cast("array<string>")
+    texts = {m.ALL_TERMS: catch_all(df, [*m.NOT_IN_CATCH_ALL, *own_terms])}
+    texts.update({terms: F.col(name) for name, terms in own_terms.items()})
+    words = {terms: f"{terms}:words" for terms in texts}
+    # The catch-all holds the terms of all fields; words of those with terms of their
+    # own are not analysed again for it, wherever else they stand.
+    others = F.col(words[m.ALL_TERMS])
+    for terms in own_terms.values():
+        others = F.array_except(others, F.coalesce(F.col(words[terms]), empty))
     derived = {
         m.TITLE_LOWERCASE: t.sort_key(F.col(m.TITLE)),
         m.VARIABLES_LOWERCASE: F.transform_values(m.RECORD_VARIABLES, lambda _, value: t.sort_key(value)),
         m.PATH_CHILDREN: t.path_hierarchy(F.col(m.PATH)),
         m.ACL_CLASS: acl_class(F.col(m.ACL)),
-        m.ALL_TERMS: analyzed_terms(catch_all(df, [*m.NOT_IN_CATCH_ALL, *own_terms]), language),
+        m.ALL_TERMS: terms_of_words(others, language),
     }
-    for name, terms in own_terms.items():
-        derived[terms] = analyzed_terms(F.col(name), language)
-    # The catch-all holds the terms of all fields; those with terms of their
-    # own are not analysed again for it.
-    empty = F.array().cast("array<string>")
+    for terms in own_terms.values():
+        derived[terms] = terms_of_words(F.col(words[terms]), language)
     everything = F.concat(*[F.coalesce(F.col(name), empty) for name in (m.ALL_TERMS, *own_terms.values())])
-    return df.withColumns(derived).withColumn(m.ALL_TERMS, F.array_distinct(everything))
+    found = df.withColumns({words[terms]: distinct_words(text) for terms, text in texts.items()}).withColumns(derived)
+    return found.withColumn(m.ALL_TERMS, F.array_distinct(everything)).drop(*words.values())

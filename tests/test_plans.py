@@ -266,5 +266,16 @@ def test_a_whole_build_shuffles_texts_only(spark, monkeypatch, tmp_path):
     assert [plan(posted).count("Exchange") for posted in found] == [1]
 
 
+def test_index_terms_take_each_word_of_a_document_once(spark):
+    """Words are told apart first; then each is analysed once, also where several fields have it."""
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        lines = [x for x in plan(derive_fields(content(spark, FOLDER))).split("\n") if "Project [" in x]
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    analysed = [x for x in lines if "array_except" in x]
+    assert len(analysed) == 1 and "regexp_extract_all" not in analysed[0]
+
+
 def test_stems_are_compared_and_not_matched(spark):
     assert "é?e?r?s?" not in plan(analyze(table(spark, FOLDER, "documents"), ["doc_id"], "text", "fulltext"))

@@ -1,12 +1,15 @@
 """Analyzers, on hand-written text."""
 
+import itertools
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from foliosearch import model as m
 from foliosearch.functions import text as t
 from foliosearch.operators.analysis import analyze, analyzed_terms, postings, term_statistics
+from foliosearch.operators.fields import catch_all, derive_fields
 
 
 def apply(spark, function, *values):
@@ -176,3 +179,33 @@ def test_unclosed_markup_takes_linear_time(spark, opening):
 
     seconds(10)
     assert seconds(200_000) < 10
+
+
+def test_french_stems_are_those_of_the_pattern(spark):
+    """Endings in all combinations, behind single and doubled letters and other signs."""
+    pattern = r"(\p{L})\1é?e?r?s?$|é?e?r?s?$"
+    endings = ["".join(part) for part in itertools.product(("", "é"), ("", "e"), ("", "r"), ("", "s"))]
+    stems = ["parlot", "pomm", "chatt", "grannn", "ballss", "passer", "l'éco", "abcde11", "x__", "élé", "𝒜𝒜𝒜𝒜", "été", "a"]
+    words = [stem + ending for stem in stems for ending in [*endings, "ss", "rr", "sr", "ee", "éé", "aux", "x"]]
+    df = spark.createDataFrame([(word,) for word in words], "word string")
+    word = F.col("word")
+    matched = (
+        F.when(F.length(word) < 6, word)
+        .when(word.endswith("aux"), F.concat(F.left(word, F.length(word) - 3), F.lit("al")))
+        .when(word.endswith("x"), F.left(word, F.length(word) - 1))
+        .otherwise(F.regexp_replace(word, pattern, "$1"))
+    )
+    found = df.select("word", t.stem_french(word).alias("found"), matched.alias("matched"))
+    assert found.where("found <> matched").collect() == []
+
+
+def test_terms_of_all_fields_are_those_of_the_catch_all(spark):
+    """A word of several fields counts for all of them, in any case and with its parts."""
+    fields = [(m.TITLE, "Wi-Fi l'École"), (m.DESCRIPTION, None), (m.NOTE, "école Fi fi chats"), (m.BINARY_TEXT, "Wi-Fi école CHATS l'abri Wi")]
+    columns = f"`{m.UUID}` string, `{m.PATH}` string, `{m.ACL}` array<string>, `{m.RECORD_VARIABLES}` map<string,string>, "
+    columns += ", ".join(f"`{name}` string" for name, _ in fields)
+    df = spark.createDataFrame([("doc-1", "/a/b", None, None, *[text for _, text in fields])], columns)
+    row = derive_fields(df).first()
+    whole = df.select(analyzed_terms(catch_all(df, [x for x in m.NOT_IN_CATCH_ALL if x not in dict(fields)]), "fulltext").alias("terms")).first()
+    assert sorted(row[m.ALL_TERMS]) == sorted(whole.terms)
+    assert row[m.DESCRIPTION_TERMS] is None and sorted(row[m.NOTE_TERMS]) == sorted(["ecole", "école", "fi", "chats"])
