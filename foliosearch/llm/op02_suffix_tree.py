@@ -74,14 +74,17 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 def _streams(column: pa.Array, limit: int) -> Iterator[list[list[bytes]]]:
-    """The words of each text, in groups of texts of bounded size."""
+    """The words of each text, in groups of texts of bounded size.
+
+    Texts are copied one by one: a copy of the whole batch would stay in the worker's memory.
+    """
     data, offsets = text_bytes(column)
-    raw, group, size = data.tobytes(), [], 0
+    group, size = [], 0
     for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
         if group and size + b - a > limit:
             yield group
             group, size = [], 0
-        group.append(words_of(raw[a:b]))
+        group.append(words_of(data[a:b].tobytes()))
         size += b - a
     if group:
         yield group
@@ -378,6 +381,7 @@ def _blocks(texts: DataFrame, tree: Tree | None, order: int) -> DataFrame:
                     block, tokens = _Block(number), 0
         if block.rows:
             yield from block.batches()
+        pa.default_memory_pool().release_unused()
 
     return texts.mapInArrow(run, BLOCKS)
 

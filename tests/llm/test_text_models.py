@@ -3,10 +3,12 @@
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from foliosearch.llm import op01_language, op02_suffix_tree, op06_pieces
@@ -222,3 +224,14 @@ def test_pieces_of_odd_rows(spark):
     assert rows[0].ids == [1, 2] and rows[0].decoded == ""
     assert all(rows[k + 1].decoded == t.replace("▁", " ") for k, t in enumerate(ODD))
     assert op06_pieces.encode_documents(docs_of(spark, []), tokenizer()).count() == 0
+
+
+def test_words_of_a_batch_are_read_without_a_copy_of_it():
+    column = pa.array(["two words " * 1000] * 2000)
+    tracemalloc.start()
+    try:
+        found = sum(len(words) for group in op02_suffix_tree._streams(column, 1 << 17) for words in group)
+        _, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert found == 4_000_000 and most < column.nbytes / 2
