@@ -14,11 +14,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliosearch import model as m
-from foliosearch.operators.analysis import analyze_fields, by_document, postings
+from foliosearch.operators.analysis import analyze, analyze_fields, by_document, postings, stack_fields
 from foliosearch.operators.fulltext import FullTextQuery, position_flags
 
 SCORE_DIGITS = 6
 
+SIGN = "sign"
+
 
 def _weight(tf: Column, df: Column, total: Column, boost: Column, length: Column) -> Column:
     idf = F.lit(1.0) + F.log(total / (df + 1))
@@ -97,19 +99,42 @@ def field_postings(
     """
     keep = list(keep)
     texts = by_document(df.select(*keep, *fields), keep)
-    terms = analyze_fields(texts, keep, {name: name for name in fields}, language)
+    return _with_lengths(analyze_fields(texts, keep, {name: name for name in fields}, language), keep)
+
+
+def _with_lengths(terms: DataFrame, keep: list[str]) -> DataFrame:
     counted = postings(terms, [*keep, "field"])
     return counted.withColumn("length", F.sum("tf").over(Window.partitionBy(*keep, "field")))
 
 
+def difference_postings(
+    df: DataFrame,
+    keep: Sequence[str],
+    fields: Sequence[str] = tuple(m.FIELD_BOOSTS),
+    language: str = "fulltext",
+) -> DataFrame:
+    """``(*keep, sign, field, term, tf, length)`` of documents that came or left (``sign``).
+
+    A field whose texts come as often as they leave adds nothing and is not analysed: a
+    new title does not have the whole document analysed twice.  Where any text of a field
+    differs, all rows of the document have theirs, since postings of a key that comes
+    several times are counted together.  Texts are partitioned by document first; that
+    is the only shuffle.
+    """
+    keep = list(keep)
+    texts = by_document(df.select(*keep, SIGN, *fields), keep)
+    stacked = stack_fields(texts, [*keep, SIGN], {name: name for name in fields}).where("text IS NOT NULL")
+    net = F.sum(SIGN).over(Window.partitionBy(*keep, "field", "text"))
+    differs = F.bool_or(F.col("net") != 0).over(Window.partitionBy(*keep, "field"))
+    changed = stacked.withColumn("net", net).withColumn("differs", differs).where("differs")
+    return _with_lengths(analyze(changed, [*keep, SIGN, "field"], "text", language), [*keep, SIGN])
+
+
 def field_statistics(posted: DataFrame) -> DataFrame:
     """``(field, term, df)`` over the whole corpus."""
     return posted.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
 
 
-SIGN = "sign"
-
-
 def net_postings(posted: DataFrame, keep: Sequence[str] = tuple(m.KEY)) -> DataFrame:
     """Postings that are left when those with sign -1 take away earlier ones.
 

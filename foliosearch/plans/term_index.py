@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from foliosearch import model as m
 from foliosearch.operators.fulltext import FullTextQuery, fulltext_keys
-from foliosearch.operators.relevance import field_postings, match_postings, net_postings, score_postings
+from foliosearch.operators.relevance import difference_postings, field_postings, match_postings, net_postings, score_postings
 from foliosearch.plans.index_table import IndexTable
 from foliosearch.session import discard, remove, scratch_path
 
@@ -115,7 +115,7 @@ class TermIndex:
         if whole:
             posted, signs = field_postings(rows, m.KEY, self.fields, self.language).withColumn("sign", F.lit(1)), F.lit(1)
         else:
-            posted, signs = field_postings(rows, [*m.KEY, "sign"], self.fields, self.language), F.col("sign")
+            posted, signs = difference_postings(rows, m.KEY, self.fields, self.language), F.col("sign")
         posted.write.parquet(staged)
         self._lay_out(self.spark.read.parquet(staged), n)
         total = rows.agg(F.coalesce(F.sum(signs), F.lit(0)).cast("long").alias("total"))

@@ -103,3 +103,34 @@ def test_a_whole_write_replaces_what_was_there_at_once(spark, tmp_path, index):
 def test_no_term_index(spark, tmp_path):
     with pytest.raises(ValueError):
         TermIndex(spark, str(tmp_path / "none")).total()
+
+
+def test_a_field_that_stays_the_same_is_not_analysed_again(spark, tmp_path, index):
+    """A new title brings postings of the title, not of the note."""
+    terms = TermIndex(spark, str(tmp_path / "terms"))
+    terms.follow(index)
+    source = documents(spark, ("a", "green fox", "fox fox hound"), ("b", "blue bird", "bird"), ("d", "calm", "quiet fox bird"))
+    index.reindex("QUERY", source, "default", predicate=F.lit(True))
+    terms.follow(index)
+    came = spark.read.parquet(f"{terms.path}/postings/n=2")
+    assert {(r[m.UUID], r.field) for r in came.collect()} == {("a", m.TITLE), ("b", m.NOTE), ("d", m.TITLE)}
+    assert held(terms) == held(fresh(spark, index, tmp_path, "one"))
+
+
+def test_a_difference_of_keys_that_come_twice(spark):
+    """Texts that only change places among rows of one key add nothing; else all of a field's rows count."""
+    from foliosearch.operators.relevance import difference_postings
+
+    rows = [
+        ("k", "red", "fox", -1), ("k", "blue", "owl", -1), ("k", "green", "owl", 1), ("k", "blue", "fox", 1),
+        ("l", None, "fox", -2), ("l", "red", "fox", 2), (None, "red", None, -1), (None, "red", "fox", 1),
+    ]
+    df = spark.createDataFrame(rows, f"id string, `{m.TITLE}` string, `{m.NOTE}` string, sign int")
+    posted = difference_postings(df, ["id"], [m.TITLE, m.NOTE])
+    assert posted._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    found = {(r.id, r.field, r.term, r.sign, r.tf, r.length) for r in posted.collect()}
+    assert found == {
+        ("k", m.TITLE, "red", -1, 1, 2), ("k", m.TITLE, "blue", -1, 1, 2),
+        ("k", m.TITLE, "green", 1, 1, 2), ("k", m.TITLE, "blue", 1, 1, 2),
+        ("l", m.TITLE, "red", 2, 1, 1), (None, m.NOTE, "fox", 1, 1, 1),
+    }
