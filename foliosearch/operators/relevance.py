@@ -103,8 +103,9 @@ def field_postings(
 
 
 def _with_lengths(terms: DataFrame, keep: list[str]) -> DataFrame:
+    """Sorted by the narrow part of the key first, where most comparisons end."""
     counted = postings(terms, [*keep, "field"])
-    return counted.withColumn("length", F.sum("tf").over(Window.partitionBy(*keep, "field")))
+    return counted.withColumn("length", F.sum("tf").over(Window.partitionBy(*reversed(keep), "field")))
 
 
 def difference_postings(
@@ -127,7 +128,7 @@ def difference_postings(
     net = F.sum(SIGN).over(Window.partitionBy(*keep, "field", "text"))
     differs = F.bool_or(F.col("net") != 0).over(Window.partitionBy(*keep, "field"))
     changed = stacked.withColumn("net", net).withColumn("differs", differs).where("differs")
-    return _with_lengths(analyze(changed, [*keep, SIGN, "field"], "text", language), [*keep, SIGN])
+    return _with_lengths(analyze(changed, [*keep, SIGN, "field"], "text", language), [SIGN, *keep])
 
 
 def field_statistics(posted: DataFrame) -> DataFrame:

@@ -126,13 +126,15 @@ class TermIndex:
 
     def _lay_out(self, postings: DataFrame, n: int) -> None:
         """The document is part of the range, so that the postings of a term found
-        in every document fill many files."""
+        in every document fill many files.  Its id comes before the repository, which
+        most of them share: comparisons of postings end there."""
+        order = ["term", "field", *reversed(m.KEY)]
         columns = [*m.KEY, "field", "term", F.col("tf").cast("long").alias("tf"), F.col("length").cast("long").alias("length"), "sign"]
         path = f"{self.path}/postings/n={n}"
         (
             postings.select(*columns)
-            .repartitionByRange("term", "field", *m.KEY)
-            .sortWithinPartitions("term", "field", *m.KEY)
+            .repartitionByRange(*order)
+            .sortWithinPartitions(*order)
             .write.mode("overwrite")
             .parquet(path)
         )

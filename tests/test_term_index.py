@@ -134,3 +134,14 @@ def test_a_difference_of_keys_that_come_twice(spark):
         ("k", m.TITLE, "green", 1, 1, 2), ("k", m.TITLE, "blue", 1, 1, 2),
         ("l", m.TITLE, "red", 2, 1, 1), (None, m.NOTE, "fox", 1, 1, 1),
     }
+
+
+def test_postings_of_a_term_are_in_the_order_of_document_ids(spark, tmp_path):
+    """Most documents share a repository, so ids are compared before it."""
+    rows = [("default", "a"), ("archive", "b"), ("default", "c"), ("archive", "d")]
+    df = spark.createDataFrame([(r, id_, ["root"], "fox", None, None) for r, id_ in rows], COLUMNS)
+    terms = TermIndex(spark, str(tmp_path / "terms"))
+    terms.build(df)
+    parts = terms.postings().rdd.glom().map(lambda part: [r[m.UUID] for r in part]).collect()
+    assert all(part == sorted(part) for part in parts) and sorted(sum(parts, [])) == list("abcd")
+    assert max(len(part) for part in parts) > 1
