@@ -101,28 +101,30 @@ def analyze_fields(df: DataFrame, keep: list[str], fields: Mapping[str, str], la
     return analyze(stack_fields(df, keep, fields), [*keep, "field"], "text", language)
 
 
-def by_document(df: DataFrame, keep: list[str]) -> DataFrame:
+def by_document(df: DataFrame, keep: list[str], documents: int | None = None) -> DataFrame:
     """Rows partitioned by document, ahead of analysis that is counted per document.
 
     A text is several times smaller than its postings, each of which repeats the
     document's key.  So the text is what is shuffled, once; groupings by document
     that follow find its terms together.  The number of partitions is explicit,
     since adaptive execution would size them by the small text, not by the work; it
-    follows the size of the input.
+    follows the size of the input.  Where the number of rows is given as ``documents``, a few
+    of them don't spread over more tasks than they are worth, each of which may write a file.
     """
     spark = df.sparkSession
-    partitions = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-        2 * spark.sparkContext.defaultParallelism,
-        -(-_known_bytes(df) // TEXT_BYTES),
-    )
-    return df.repartition(partitions, *keep)
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    if documents is not None:
+        partitions = min(partitions, max(1, -(-documents // TASK_DOCUMENTS)))
+    return df.repartition(max(partitions, -(-_known_bytes(df) // TEXT_BYTES)), *keep)
 
 
 # Bytes of stored text that one task analyses.  The task's hash table of postings took
 # 1,410 MB for some 30 MB of them.
 TEXT_BYTES = 16 << 20
 
+# Documents that are worth a task of their own, unless their texts are long.
+TASK_DOCUMENTS = 128
+
 
 # A table whose size Spark doesn't know counts as larger than this.
 UNKNOWN_BYTES = 1 << 60

@@ -91,14 +91,16 @@ def field_postings(
     keep: Sequence[str],
     fields: Sequence[str] = tuple(m.FIELD_BOOSTS),
     language: str = "fulltext",
+    documents: int | None = None,
 ) -> DataFrame:
     """``(*keep, field, term, tf, length)``: what an index keeps for scoring.
 
     ``length`` is the field's number of terms, summed over the document's own
     postings.  Texts are partitioned by document first; that is the only shuffle.
+    ``documents`` is the number of rows, if it is known.
     """
     keep = list(keep)
-    texts = by_document(df.select(*keep, *fields), keep)
+    texts = by_document(df.select(*keep, *fields), keep, documents)
     return _with_lengths(analyze_fields(texts, keep, {name: name for name in fields}, language), keep)
 
 
@@ -113,6 +115,7 @@ def difference_postings(
     keep: Sequence[str],
     fields: Sequence[str] = tuple(m.FIELD_BOOSTS),
     language: str = "fulltext",
+    documents: int | None = None,
 ) -> DataFrame:
     """``(*keep, sign, field, term, tf, length)`` of documents that came or left (``sign``).
 
@@ -123,7 +126,7 @@ def difference_postings(
     is the only shuffle.
     """
     keep = list(keep)
-    texts = by_document(df.select(*keep, SIGN, *fields), keep)
+    texts = by_document(df.select(*keep, SIGN, *fields), keep, documents)
     stacked = stack_fields(texts, [*keep, SIGN], {name: name for name in fields}).where("text IS NOT NULL")
     net = F.sum(SIGN).over(Window.partitionBy(*keep, "field", "text"))
     differs = F.bool_or(F.col("net") != 0).over(Window.partitionBy(*keep, "field"))

@@ -2,13 +2,14 @@
 
 A folder holds, for each finished write n,
 
-    postings/n=N      (repository, uuid, field, term, tf, length, sign), sorted by term
-    statistics/n=N    (field, term, df), sorted by term
+    postings/n=N      (repository, uuid, field, term, tf, length, sign); a file has those
+                      of some documents, sorted by term
+    statistics/n=N    (field, term, df); each file sorted by term
     corpus/n=N        one row: the number of documents
     commits           one line per finished write
 
-A query names its terms as literals, so the scan skips every file and row group
-of other terms, and only hits are shuffled.
+A query names its terms as literals, so the scan skips the row groups and pages of
+other terms in each file, and only hits are shuffled.
 
 The first write holds a whole corpus.  ``follow`` brings the postings up to an
 index table by the documents that its writes since then name: the postings of
@@ -89,65 +90,53 @@ class TermIndex:
     def fold(self) -> None:
         """One write of all: what has left is no longer stored."""
         before = self.commits()
-        staged = scratch_path(self.spark, "postings")
-        net_postings(self.postings()).withColumn("sign", F.lit(1)).write.parquet(staged)
         n = before[-1].n + 1
-        self._lay_out(self.spark.read.parquet(staged), n)
-        self.spark.createDataFrame([(self.total(),)], "total bigint").write.mode("overwrite").parquet(f"{self.path}/corpus/n={n}")
-        discard(self.spark, staged)
+        self._lay_out(net_postings(self.postings()).withColumn("sign", F.lit(1)), self.total(), n)
         self._commit(n, before[-1].followed, whole=True)
         self._forget_replaced()
 
     def _write(self, rows: DataFrame, followed: int | None, whole: bool) -> None:
-        """Rows are (key, *fields) of a whole corpus, or (key, *fields, sign) of a difference.  They
-        are analysed once, and laid out from a written table: sampling ranges of the
-        analysis itself would run it twice.
+        """Rows are (key, *fields) of a whole corpus, or (key, *fields, sign) of a difference.
 
         Rows of a whole corpus all count 1, which is said after the analysis: Catalyst puts
         a constant among the grouping keys in another place than where the texts are dealt
         by it, and would shuffle all postings for that, twice.
         """
         n = max((line.n for line in self.commits()), default=0) + 1
-        staged, changed = scratch_path(self.spark, "postings"), scratch_path(self.spark, "changed")
+        changed = scratch_path(self.spark, "changed")
         if not whole:  # a difference is used twice
             rows.write.parquet(changed)
             rows = self.spark.read.parquet(changed)
+        signs = F.lit(1) if whole else F.col("sign")
+        found = rows.agg(F.coalesce(F.sum(signs), F.lit(0)).cast("long").alias("total"), F.count(F.lit(1)).alias("documents")).first()
         if whole:
-            posted, signs = field_postings(rows, m.KEY, self.fields, self.language).withColumn("sign", F.lit(1)), F.lit(1)
+            posted = field_postings(rows, m.KEY, self.fields, self.language, found.documents).withColumn("sign", F.lit(1))
         else:
-            posted, signs = difference_postings(rows, m.KEY, self.fields, self.language), F.col("sign")
-        posted.write.parquet(staged)
-        self._lay_out(self.spark.read.parquet(staged), n)
-        total = rows.agg(F.coalesce(F.sum(signs), F.lit(0)).cast("long").alias("total"))
-        total.write.mode("overwrite").parquet(f"{self.path}/corpus/n={n}")
-        for path in (staged, changed):
-            discard(self.spark, path)
+            posted = difference_postings(rows, m.KEY, self.fields, self.language, found.documents)
+        self._lay_out(posted, found.total, n)
+        discard(self.spark, changed)
         self._commit(n, followed, whole)
 
-    def _lay_out(self, postings: DataFrame, n: int) -> None:
-        """The document is part of the range, so that the postings of a term found
-        in every document fill many files.  Its id comes before the repository, which
-        most of them share: comparisons of postings end there."""
+    def _lay_out(self, postings: DataFrame, total: int, n: int) -> None:
+        """Postings come dealt by document, and a task writes those of its documents sorted
+        by term.  So they are neither shuffled nor staged, and a term found in every
+        document fills many files; a query looks into each file for its terms.  Ids come
+        before the repository, which most documents share: comparisons end there.
+        """
         order = ["term", "field", *reversed(m.KEY)]
         columns = [*m.KEY, "field", "term", F.col("tf").cast("long").alias("tf"), F.col("length").cast("long").alias("length"), "sign"]
         path = f"{self.path}/postings/n={n}"
-        (
-            postings.select(*columns)
-            .repartitionByRange(*order)
-            .sortWithinPartitions(*order)
-            .write.mode("overwrite")
-            .parquet(path)
-        )
+        postings.select(*columns).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
         (
             self.spark.read.schema(POSTING_SCHEMA)
             .parquet(path)
             .groupBy("field", "term")
             .agg(F.sum("sign").cast("long").alias("df"))
-            .repartitionByRange("term", "field")
             .sortWithinPartitions("term", "field")
             .write.mode("overwrite")
             .parquet(f"{self.path}/statistics/n={n}")
         )
+        self.spark.createDataFrame([(total,)], "total bigint").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/corpus/n={n}")
 
     def _commit(self, n: int, followed: int | None, whole: bool) -> None:
         line = self.spark.createDataFrame([(n, followed, whole)], COMMIT_SCHEMA)

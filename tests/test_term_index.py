@@ -145,3 +145,31 @@ def test_postings_of_a_term_are_in_the_order_of_document_ids(spark, tmp_path):
     parts = terms.postings().rdd.glom().map(lambda part: [r[m.UUID] for r in part]).collect()
     assert all(part == sorted(part) for part in parts) and sorted(sum(parts, [])) == list("abcd")
     assert max(len(part) for part in parts) > 1
+
+
+def test_a_write_sorts_postings_by_term_in_files_of_whole_documents(spark, tmp_path, index):
+    """Postings stay where their texts were dealt: no document is spread over files, and few documents fill one."""
+    texts = [f"w{n % 7} w{n % 11} w{n % 13} x{n}" for n in range(600)]
+    terms = TermIndex(spark, str(tmp_path / "terms"))
+    terms.build(documents(spark, *[(f"d{n}", text, text) for n, text in enumerate(texts)]))
+    files = {}
+    for row in terms.postings().withColumn("file", F.input_file_name()).collect():
+        files.setdefault(row.file, []).append((row.term, row.field, row[m.UUID]))
+    assert 1 < len(files) <= 5 and all(rows == sorted(rows) for rows in files.values())
+    held_by = [{id_ for _, _, id_ in rows} for rows in files.values()]
+    assert sum(map(len, held_by)) == len(set.union(*held_by)) == 600
+    frequencies = terms.statistics().where("term = 'w0'").collect()
+    assert [(r.field, r.df) for r in sorted(frequencies)] == [(f, sum("w0" in t.split() for t in texts)) for f in (m.TITLE, m.NOTE)]
+    terms = fresh(spark, index, tmp_path, "few")
+    assert len({row.file for row in terms.postings().select(F.input_file_name().alias("file")).collect()}) == 1
+
+
+def test_a_write_reads_its_postings_from_no_other_place(spark, tmp_path, index, monkeypatch):
+    """They were staged, sampled and shuffled for ranges of terms before."""
+    from foliosearch.plans import term_index
+
+    labels = []
+    monkeypatch.setattr(term_index, "scratch_path", lambda spark, label: labels.append(label) or str(tmp_path / f"scratch-{len(labels)}"))
+    terms = fresh(spark, index, tmp_path, "terms")
+    terms.fold()
+    assert "postings" not in labels and terms.total() == len(OLD)
