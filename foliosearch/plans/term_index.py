@@ -37,6 +37,10 @@ from foliosearch.session import discard, remove, scratch_path
 COMMIT_SCHEMA = "n bigint, followed bigint, whole boolean"
 POSTING_SCHEMA = f"`{m.REPOSITORY}` string, `{m.UUID}` string, field string, term string, tf bigint, length bigint, sign int"
 
+# A file's terms are sorted, so a page holds few of them.  Queries read the pages that may
+# hold theirs; a dictionary of all terms of the file would be read before any of them.
+PAGES = {"parquet.page.row.count.limit": "2000", "parquet.enable.dictionary#term": "false"}
+
 
 class TermIndex:
     def __init__(
@@ -126,7 +130,7 @@ class TermIndex:
         order = ["term", "field", *reversed(m.KEY)]
         columns = [*m.KEY, "field", "term", F.col("tf").cast("long").alias("tf"), F.col("length").cast("long").alias("length"), "sign"]
         path = f"{self.path}/postings/n={n}"
-        postings.select(*columns).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+        postings.select(*columns).sortWithinPartitions(*order).write.mode("overwrite").options(**PAGES).parquet(path)
         (
             self.spark.read.schema(POSTING_SCHEMA)
             .parquet(path)

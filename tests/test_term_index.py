@@ -173,3 +173,13 @@ def test_a_write_reads_its_postings_from_no_other_place(spark, tmp_path, index,
     terms = fresh(spark, index, tmp_path, "terms")
     terms.fold()
     assert "postings" not in labels and terms.total() == len(OLD)
+
+
+def test_a_query_needs_no_dictionary_of_all_terms(spark, tmp_path, index):
+    """Pages of sorted terms are told by their bounds."""
+    import pyarrow.parquet as pq
+
+    path = next((tmp_path / "terms" / "postings").rglob("*.parquet")) if fresh(spark, index, tmp_path, "terms") else None
+    group = pq.ParquetFile(path).metadata.row_group(0)
+    columns = {group.column(k).path_in_schema: group.column(k) for k in range(group.num_columns)}
+    assert not columns["term"].has_dictionary_page and columns["field"].has_dictionary_page and columns["term"].has_column_index
