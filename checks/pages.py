@@ -209,6 +209,8 @@ def o5_seek_pages(spark, folder):
         hits = search.hits_after(rows, cursor)
         pages.append(hits.withColumn("page", F.lit(number).cast("long")))
         cursor = cursor_after(hits, search.sort)
+        if cursor is None:  # an empty page; no cursor would begin anew
+            break
     found = pages[0]
     for more in pages[1:]:
         found = found.unionByName(more)
